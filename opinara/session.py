@@ -58,7 +58,7 @@ def small_side(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     At most max_rows + 1 rows reach the driver. A side that is larger goes into
     an ordinary shuffled join, where adaptive execution splits skewed keys.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
