@@ -59,7 +59,7 @@ def lemmatise(
         .when(F.coalesce(content, F.lit(False)), lemma)
     )
     emitted = tagged.select(id_col, "pos", out.alias("out")).where(F.col("out").isNotNull())
-    lists = emitted.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "out"))).alias("o"))
+    lists = emitted.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "out"))).alias("o"))
     return df.join(lists, id_col, "left").withColumn(
         "lemmas", F.coalesce(F.col("o.out"), F.array().cast("array<string>"))
     ).drop("o")
@@ -111,7 +111,7 @@ def apply_phrases(df: DataFrame, phrases: DataFrame, id_col: str = "reviewId", t
         runs.withColumn("k", F.row_number().over(in_run))
         .where(F.col("k") % 2 == 1)
         .groupBy(id_col)
-        .agg(F.array_sort(F.collect_list("pos")).alias("_s"))
+        .agg(F.sort_array(F.collect_list("pos")).alias("_s"))
     )
     joined = df.join(starts, id_col, "left")
     s = F.col("_s")
