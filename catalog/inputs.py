@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opinara.operators.clean import load_reviews
 from opinara.operators.geo import geo_enrich
+from opinara.session import spread_small
 
 APPS = ("AppA", "AppB")
 
@@ -42,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.selectExpr(*[f"{e} as {c}" for c, e in RAW_COLUMNS.items()])
 
 

@@ -25,26 +25,26 @@ from pyspark.sql import functions as F
 from opinara.functions.text import CLEANERS, feature_tokens
 
 
-def ngrams(tokens: Column, low: int = 1, high: int = 3) -> Column:
-    """Blank-joined runs of low to high (at most 3) neighbouring tokens."""
-    n = F.size(tokens)
-
-    def pair(a: Column, b: Column, cut: int) -> Column:
-        left = F.slice(a, F.lit(1), F.greatest(n - cut, F.lit(0)))
-        right = F.slice(b, F.lit(cut + 1), F.greatest(n - cut, F.lit(0)))
-        return F.zip_with(left, right, lambda x, y: F.concat_ws(" ", x, y))
-
-    two = pair(tokens, tokens, 1)
-    three = pair(two, tokens, 2)
-    return F.concat(*[(tokens, two, three)[i - 1] for i in range(low, high + 1)])
+def _pairs(left: str, right: str, cut: int) -> Column:
+    """Each entry of `left` joined with the entry of `right` `cut` places later."""
+    n = F.greatest(F.size(right) - cut, F.lit(0))
+    return F.zip_with(
+        F.slice(left, F.lit(1), n), F.slice(right, F.lit(cut + 1), n), lambda x, y: F.concat_ws(" ", x, y)
+    )
 
 
 def with_terms(
     df: DataFrame, text: Column, ngram_range: tuple[int, int] = (1, 1), stop_words: Sequence[str] = (), name: str = "terms"
 ) -> DataFrame:
-    """Add the list of n-gram terms of a text."""
-    out = df.withColumn("_tok", feature_tokens(text, stop_words))
-    return out.withColumn(name, ngrams(F.col("_tok"), *ngram_range)).drop("_tok")
+    """Add the list of terms of a text: blank-joined runs of low to high (<= 3) tokens."""
+    low, high = ngram_range
+    out = df.withColumn("_g1", feature_tokens(text, stop_words))
+    if high > 1:
+        out = out.withColumn("_g2", _pairs("_g1", "_g1", 1))
+    if high > 2:
+        out = out.withColumn("_g3", _pairs("_g2", "_g1", 2))
+    lists = [f"_g{n}" for n in range(low, high + 1)]
+    return out.withColumn(name, F.concat(*lists)).drop("_g1", "_g2", "_g3")
 
 
 def term_stats(df: DataFrame, terms: str = "terms") -> DataFrame:
@@ -130,11 +130,13 @@ def _weights(
         return (F.log(tf) + 1.0 if sublinear else tf) * F.get(idf_of, i)
 
     raw = counted.withColumn("_w", F.zip_with("_u.indices", "_u.values", weight))
-    normed = raw.withColumn("_l2", F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, x: a + x * x)))
-    values = F.transform("_w", lambda x: x / F.col("_l2"))
-    return normed.withColumn(
+    # The norm is bound once per row by the finish function of the aggregate.
+    values = F.aggregate(
+        "_w", F.lit(0.0), lambda a, x: a + x * x, lambda q: F.transform("_w", lambda x: x / F.sqrt(q))
+    )
+    return raw.withColumn(
         name, F.struct(F.col("_u.indices").alias("indices"), values.alias("values"))
-    ).drop("_u", "_w", "_l2")
+    ).drop("_u", "_w")
 
 
 def pack_vector(indices: Column, values: Column, size: int) -> Column:

@@ -62,3 +62,12 @@ def small_side(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     if rows.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Give an input with fewer splits than cores to all cores.
+
+    A large input has far more splits than cores and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
