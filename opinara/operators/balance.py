@@ -102,26 +102,34 @@ def template_augment(df: DataFrame, app: str = "app", template: str = TEMPLATE)
     return df.unionByName(new, allowMissingColumns=True)
 
 
-def augment_requests(
-    df: DataFrame,
-    label: str,
-    text: str,
-    prompt: Callable[[Column, Column, Column], Column],
-    classes: Sequence | None = None,
-    batch: int = 5,
-    k: int = 3,
-    order: str = "reviewId",
+def plan_requests(
+    deficits: DataFrame, shown: DataFrame, label: str, prompt: Callable[[Column, Column, Column], Column], batch: int
 ) -> DataFrame:
     """One row per request: class, request number, rows wanted and prompt.
 
     Requests of a class ask for `batch` rows each, the last one for the rest.
+    deficits(label, deficit) and shown(label, exemplars) have one row per class.
     """
-    deficits = class_deficit(df, label, classes).where("deficit > 0")
-    shown = exemplars(df, label, text, order, k)
-    base = deficits.join(F.broadcast(shown), label, "left").withColumn("exemplars", F.coalesce("exemplars", F.lit("")))
+    base = deficits.where("deficit > 0").select(label, "deficit").join(F.broadcast(shown), label, "left")
+    base = base.withColumn("exemplars", F.coalesce("exemplars", F.lit("")))
     rows = numbered(base, F.ceil(F.col("deficit") / batch), "request_no")
     wanted = F.least(F.lit(batch).cast("bigint"), F.col("deficit") - F.col("request_no") * batch).cast("int")
     rows = rows.withColumn("n_wanted", wanted)
     return rows.select(
         label, "request_no", "n_wanted", prompt(F.col("n_wanted"), F.col(label), F.col("exemplars")).alias("prompt")
     )
+
+
+def augment_requests(
+    df: DataFrame,
+    label: str,
+    text: str,
+    prompt: Callable[[Column, Column, Column], Column],
+    classes: Sequence | None = None,
+    batch: int = 5,
+    k: int = 3,
+    order: str = "reviewId",
+) -> DataFrame:
+    """Requests that would bring the classes to the size of the largest one."""
+    deficits = class_deficit(df, label, classes)
+    return plan_requests(deficits, exemplars(df, label, text, order, k), label, prompt, batch)

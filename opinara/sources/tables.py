@@ -56,12 +56,13 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return [p for p in paths if exists(p)]
 
 
-def tag_from_file_name(df: DataFrame, apps: dict[str, str], default_app: str) -> DataFrame:
+def tag_from_file_name(df: DataFrame, apps: dict[str, str], default_app: str, level: int = 1) -> DataFrame:
     """Add app and sentiment read from each row's file name.
 
-    `apps` maps a lower-case fragment to an app name; the first hit wins.
+    `apps` maps a lower-case fragment to an app name; the first hit wins. With
+    level=2 the name of the file's folder is read instead.
     """
-    name = F.lower(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    name = F.lower(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -level))
     app = F.lit(default_app)
     for fragment, label in reversed(apps.items()):
         app = F.when(F.contains(name, F.lit(fragment)), label).otherwise(app)
