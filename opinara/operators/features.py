@@ -129,14 +129,14 @@ def _weights(
     def weight(i: Column, tf: Column) -> Column:
         return (F.log(tf) + 1.0 if sublinear else tf) * F.get(idf_of, i)
 
-    raw = counted.withColumn("_w", F.zip_with("_u.indices", "_u.values", weight))
-    # The norm is bound once per row by the finish function of the aggregate.
-    values = F.aggregate(
-        "_w", F.lit(0.0), lambda a, x: a + x * x, lambda q: F.transform("_w", lambda x: x / F.sqrt(q))
-    )
-    return raw.withColumn(
+    raw = counted.withColumn("_raw", F.zip_with("_u.indices", "_u.values", weight))
+    # Two uses of the norm keep it a column of its own, computed once per row.
+    normed = raw.withColumn("_l2", F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda a, x: a + x * x)))
+    l2 = F.col("_l2")
+    values = F.when(l2 > 0, F.transform("_raw", lambda x: x / l2)).otherwise(F.col("_raw"))
+    return normed.withColumn(
         name, F.struct(F.col("_u.indices").alias("indices"), values.alias("values"))
-    ).drop("_u", "_w")
+    ).drop("_u", "_raw", "_l2")
 
 
 def pack_vector(indices: Column, values: Column, size: int) -> Column:
