@@ -112,6 +112,16 @@ def emoji_to_words(text: Column, names: Mapping[str, str]) -> Column:
     return squeeze(F.translate(named, ":_", "  "))
 
 
+def unfold(items: Column) -> Column:
+    """explode() of a computed list column.
+
+    Exploding the bare column makes Catalyst infer a size filter and push it,
+    with a copy of the whole expression, below the projection that computes the
+    list. The slice keeps the expression in one place.
+    """
+    return F.explode(F.slice(items, F.lit(1), F.size(items)))
+
+
 def word_tokens(text: Column, stop_words: Sequence[str] = COUNT_STOP_WORDS, min_length: int = 3) -> Column:
     """Unicode words of the lower-cased text, without stop words and short words."""
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD_CHAR + "+"), F.lit(0))

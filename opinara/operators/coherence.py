@@ -28,11 +28,15 @@ def _topic_rows(df: DataFrame, topics: Sequence[Sequence[str]]) -> DataFrame:
 
 
 def _occurrences(df: DataFrame, tokens: str, topics: Sequence[Sequence[str]]) -> DataFrame:
-    """Reviews with a topic word: positions of the words, words present, length."""
+    """Positions of the topic words in each review, the words present and the length.
+
+    Reviews without a topic word keep empty lists; a filter on the computed list
+    would only make it be computed twice.
+    """
     words = sorted({w for t in topics for w in t})
     place = F.transform(F.col(tokens), lambda w, i: F.struct(i.alias("p"), w.alias("w")))
     occ = df.select(F.filter(place, lambda o: o["w"].isin(*words)).alias("occ"), F.size(tokens).alias("len"))
-    return occ.where(F.size("occ") > 0).withColumn("here", F.array_distinct("occ.w"))
+    return occ.withColumn("here", F.array_distinct("occ.w"))
 
 
 def _present_pairs(topics: Sequence[Sequence[str]]) -> Column:
@@ -70,7 +74,8 @@ def window_counts(df: DataFrame, topics: Sequence[Sequence[str]], tokens: str =
     a, b = F.col("pair.a"), F.col("pair.b")
     both = F.when(a == b, covered(a, a)).otherwise(covered(a, a) + covered(b, b) - covered(a, b))
     counts = each.select(a.alias("a"), b.alias("b"), both.alias("n")).groupBy("a", "b").agg(F.sum("n").alias("n"))
-    return counts, occ.agg(F.sum(last + 1).cast("bigint").alias("n_windows"))
+    relevant = F.when(F.size("occ") > 0, last + 1)
+    return counts, occ.agg(F.sum(relevant).cast("bigint").alias("n_windows"))
 
 
 def document_counts(df: DataFrame, topics: Sequence[Sequence[str]], tokens: str = "tokens") -> DataFrame:

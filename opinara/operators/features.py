@@ -209,11 +209,12 @@ def bag_of_words(df: DataFrame, tokens: str = "tokens", id_col: str = "reviewId"
     The run lengths of the sorted list are the counts; nothing is shuffled.
     """
     s, at = F.col("_s"), F.col("_at")
-    ordered = df.select(id_col, F.sort_array(tokens).alias("_s")).where(F.size("_s") > 0)
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, F.greatest(i - 2, F.lit(0))))
-    )
+    ordered = df.select(id_col, F.sort_array(tokens).alias("_s"))
+    # An empty list gives one run of a null term, dropped after the explode.
+    places = F.sequence(F.lit(1), F.greatest(F.size(s), F.lit(1)))
+    starts = F.filter(places, lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, F.greatest(i - 2, F.lit(0)))))
     marked = ordered.withColumn("_at", starts)
     ends = F.concat(F.slice(at, F.lit(2), F.size(at) - 1), F.array(F.size(s) + 1))
     runs = F.zip_with(at, ends, lambda a, b: F.struct(F.get(s, a - 1).alias("term"), (b - a).cast("bigint").alias("n")))
-    return marked.select(id_col, F.explode(runs).alias("r")).select(id_col, "r.term", "r.n")
+    out = marked.select(id_col, F.explode(runs).alias("r")).select(id_col, "r.term", "r.n")
+    return out.where(F.col("term").isNotNull())

@@ -135,11 +135,13 @@ def nearest(
     `dim`. dist_nano is the cosine distance or the squared Euclidean distance in
     units of 1e-9; equal distances rank by base id.
     """
-    spark = base.sparkSession
     n_base = base.count()
     n_cells = int(min(max(1, -(-n_base // cell_rows)), max_cells, max(1, _PIVOT_CELLS // dim)))
     b = base.select(F.col(base_id).alias("_b"), *carry, F.col(vector).alias("_v"))
     q = queries.select(F.col(query_id).alias("_q"), F.col(vector).alias("_v"))
+    if n_cells > 1:
+        # Both sides are read several times; compute the vectors once.
+        b, q = saved(b, "base-vectors"), saved(q, "query-vectors")
 
     if n_cells == 1:
         pivots, cells = None, [n_base]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from opinara.session import small_side
+from opinara.functions.text import unfold
+from opinara.session import saved, small_side
 
 # Fixed values of the lemma filter.
 NEGATIONS = ("not", "no", "never")
@@ -33,7 +34,7 @@ def lemmatise(
     token, so no window over the review is needed; the only shuffle regroups the
     emitted lemmas by review. Reviews without a lemma keep an empty list.
     """
-    lex = small_side(lexicon.select("token", F.struct("lemma", "pos").alias("tag")), max_rows=200_000)
+    lex = small_side(lexicon.select("token", F.struct("lemma", "pos").alias("tag")), max_rows=500_000)
     docs = df.select(id_col, F.col(tokens).alias("_t"))
     flat = docs.select(
         id_col, F.posexplode(F.arrays_zip(shift(F.col("_t"), -1).alias("prev"), F.col("_t").alias("tok"), shift(F.col("_t"), 1).alias("next"))).alias("pos", "z")
@@ -72,20 +73,24 @@ def learn_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, thr
     pairs. Rare pairs are dropped before the two joins with the word counts.
     """
     t = F.col(tokens)
-    words = df.select(F.explode(t).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    words = df.select(unfold(t).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    words = saved(words, "word-counts")
     pairs = (
         df.select(F.explode(F.arrays_zip(t.alias("a"), shift(t, 1).alias("b"))).alias("p"))
         .where(F.col("p.b").isNotNull())
         .groupBy("p.a", "p.b")
         .agg(F.count(F.lit(1)).alias("n_ab"))
     )
-    vocabulary = words.agg(F.count(F.lit(1))).scalar() + pairs.agg(F.count(F.lit(1))).scalar()
-    frequent = pairs.where(F.col("n_ab") >= min_count)
-    counted = frequent.join(words.select(F.col("w").alias("a"), F.col("n").alias("n_a")), "a").join(
+    # The distinct pairs are counted while the frequent ones are written.
+    seen = Observation()
+    counted = pairs.observe(seen, F.count(F.lit(1)).alias("n")).where(F.col("n_ab") >= min_count)
+    frequent = saved(counted, "pair-counts")
+    vocabulary = words.count() + seen.get["n"]
+    joined = frequent.join(words.select(F.col("w").alias("a"), F.col("n").alias("n_a")), "a").join(
         words.select(F.col("w").alias("b"), F.col("n").alias("n_b")), "b"
     )
     score = (F.col("n_ab") - min_count).cast("double") * vocabulary / F.col("n_a") / F.col("n_b")
-    return counted.select("a", "b", "n_ab", "n_a", "n_b", score.alias("score")).where(F.col("score") > threshold)
+    return joined.select("a", "b", "n_ab", "n_a", "n_b", score.alias("score")).where(F.col("score") > threshold)
 
 
 def apply_phrases(df: DataFrame, phrases: DataFrame, id_col: str = "reviewId", tokens: str = "tokens") -> DataFrame:
@@ -96,7 +101,7 @@ def apply_phrases(df: DataFrame, phrases: DataFrame, id_col: str = "reviewId", t
     place from slices.
     """
     t = F.col(tokens)
-    side = small_side(phrases.select("a", "b"), max_rows=200_000)
+    side = small_side(phrases.select("a", "b"), max_rows=500_000)
     hits = (
         df.select(id_col, F.posexplode(F.arrays_zip(t.alias("a"), shift(t, 1).alias("b"))).alias("pos", "p"))
         .where(F.col("p.b").isNotNull())
@@ -134,9 +139,8 @@ def vocabulary(
     df: DataFrame, tokens: str = "tokens", no_below: int = 5, no_above: float = 0.5, keep_n: int = 100_000
 ) -> DataFrame:
     """Terms in at least no_below and at most a share no_above of the reviews."""
-    docs = df.select(F.array_distinct(tokens).alias("t"))
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    terms = docs.select(F.explode("t").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    n_docs = df.agg(F.count(F.lit(1))).scalar()
+    terms = df.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     kept = terms.where((F.col("df") >= no_below) & (F.col("df") <= n_docs * no_above))
     return kept.orderBy(F.desc("df"), "term").limit(keep_n)
 
