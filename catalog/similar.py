@@ -11,6 +11,7 @@ from catalog.texts import sql_clean_letters
 from opinara.operators.balance import stratified_split
 from opinara.operators.features import TfidfVectoriser
 from opinara.operators.neighbours import knn_classify, nearest, smote
+from opinara.operators.topics import assign_to_centroids
 from opinara.session import saved
 
 _DENSE = {
@@ -142,3 +143,22 @@ def _(spark, sf):
     v = v.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
     both = v.select("label").unionByName(smote(v, 64, "vec_id", "label", vector="embedding").select("label"))
     return both.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "m12_fixed_centroids",
+    sql(
+        "",
+        """select vec_id, cluster, dist_nano from (select v.vec_id, c.vec_id as cluster,
+        cast(floor((list_dot_product(v.v, v.v) + list_dot_product(c.v, c.v) - 2 * list_dot_product(v.v, c.v)) * 1e9 + 0.5)
+            as bigint) as dist_nano,
+        row_number() over (partition by v.vec_id order by dist_nano, c.vec_id) as rn
+        from vec v, (select * from vec where vec_id < 4) c) where rn = 1""",
+        vec=_DENSE["vec"],
+    ),
+)
+def _(spark, sf):
+    """One assignment step of K-Means with the first four vectors as centroids."""
+    v = _vectors(spark, sf).select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    centroids = v.where("vec_id < 4").withColumnRenamed("vec_id", "cluster")
+    return assign_to_centroids(v, centroids, 64, "vec_id")

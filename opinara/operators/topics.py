@@ -8,10 +8,10 @@ from pyspark.ml.clustering import LDA, KMeans, KMeansModel, LDAModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from opinara.functions.text import feature_tokens, first_k, split_words
 from opinara.operators.features import count_terms, fit_tfidf, pack_vector, term_stats
+from opinara.operators.neighbours import nearest
 from opinara.session import saved, small_side
 
 # Topic names by sentiment and cluster.
@@ -94,12 +94,20 @@ def tfidf_features(
 
 
 def elbow_sweep(features: DataFrame, ks: Sequence[int] = range(2, 8), n_init: int = 10, seed: int = 42) -> list[tuple[int, float]]:
-    """(k, inertia) for each k. The features are cached for the fits."""
-    features = features.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return [(k, kmeans_best(features, k, n_init, seed)[1]) for k in ks]
-    finally:
-        features.unpersist()
+    """(k, inertia) for each k. The features are written once for all the fits."""
+    features = saved(features.select("features"), "sweep-features")
+    return [(k, kmeans_best(features, k, n_init, seed)[1]) for k in ks]
+
+
+def assign_to_centroids(
+    df: DataFrame, centroids: DataFrame, dim: int, id_col: str, vector: str = "vector", cluster: str = "cluster"
+) -> DataFrame:
+    """(id, cluster, squared distance in nano units) for fixed centroids; ties to the lower cluster."""
+    found = nearest(
+        df.withColumnRenamed(id_col, "_id"), centroids.select(cluster, vector), 1, dim,
+        query_id="_id", base_id=cluster, vector=vector, metric="euclidean",
+    )
+    return found.select(F.col("_id").alias(id_col), cluster, "dist_nano")
 
 
 def with_counts(df: DataFrame, tokens: str, max_vocab: int = 100_000) -> tuple[DataFrame, list[str]]:

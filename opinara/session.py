@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ship_by_value(*packages: str) -> None:
+    """Send the packages' functions to Python workers with the job itself.
+
+    For sessions whose workers cannot import them, because they were not given
+    to spark-submit as --py-files.
+    """
+    for name in packages:
+        cloudpickle.register_pickle_by_value(sys.modules[name])
+
+
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
     """A local session for tests and the benchmark. Clusters bring their own."""
     return (
