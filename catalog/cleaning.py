@@ -280,7 +280,7 @@ def _(spark, sf):
 
 
 @query(
-    "j2_geo_missing_summary",
+    "j2_geo_missing_report",
     sql(
         "geo",
         f"""select count(*) as n, count(*) filter (lat is null) as n_missing,

@@ -133,7 +133,7 @@ def _(spark, sf):
     return model.predict(test).select("reviewId", "label", "prediction")
 
 
-@query("s10_model_sink_source", sql("labelled", "select count(*) as n_rows, 0 as n_changed from split where split = 'dev'", **_SPLIT))
+@query("s10_model_sink", sql("labelled", "select count(*) as n_rows, 0 as n_changed from split where split = 'dev'", **_SPLIT))
 def _(spark, sf):
     model, dev, _ = _fitted(spark, sf)
     path = scratch_path(spark, "model")
@@ -314,7 +314,7 @@ def _(spark, sf):
     return c.select("topic", F.floor(F.col("coherence") * 1e6 + 0.5).alias("coherence_micro"))
 
 
-@query("m16_coherence_sweep")
+@query("m16_coherence_cv_sweep")
 def _(spark, sf):
     """Mean c_v of the LDA topics for k = 2 .. 6 on one segment."""
     segment = saved(_segment(spark, sf), "segment")

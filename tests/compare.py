@@ -1,11 +1,12 @@
 """Run a query and its SQL twin and compare them row by row.
 
-Usage: python tests/compare.py [sf_dir] [name part ...]
+Usage: python tests/compare.py [sf_dir] [name pattern ...]
 """
 
 from __future__ import annotations
 
 import os
+import re
 import sys
 import time
 from collections import Counter
@@ -68,7 +69,7 @@ if __name__ == "__main__":
     twins = e.oracle_sql()
     bad = 0
     for name, fn in e.queries().items():
-        if parts and not any(p in name for p in parts):
+        if parts and not any(re.search(p, name) for p in parts):
             continue
         start = time.time()
         try:
