@@ -55,7 +55,7 @@ def _(spark, sf):
 
 @query(
     "p5_nonblank_text",
-    sql("raw", "select reviewId, length(content) as n_chars from raw where regexp_matches(content, '\\S')"),
+    sql("raw", "select reviewId, cast(length(content) as int) as n_chars from raw where regexp_matches(content, '\\S')"),
 )
 def _(spark, sf):
     return raw(spark, sf).where(clean.nonblank(F.col("content"))).select("reviewId", F.length("content").alias("n_chars"))

@@ -128,14 +128,17 @@ def nearest(
     block_rows: int = 4096,
     query_rows: int = 4096,
     max_cells: int = 1024,
+    n_base: int | None = None,
+    n_queries: int | None = None,
 ) -> DataFrame:
     """The k nearest base rows of every query: query_id, base_id, carry..., dist_nano, rank.
 
     `vector` is an array of `dim` numbers or a struct (indices, values) below
     `dim`. dist_nano is the cosine distance or the squared Euclidean distance in
-    units of 1e-9; equal distances rank by base id.
+    units of 1e-9; equal distances rank by base id. Row counts that are already
+    known may be passed in.
     """
-    n_base = base.count()
+    n_base = base.count() if n_base is None else n_base
     n_cells = int(min(max(1, -(-n_base // cell_rows)), max_cells, max(1, _PIVOT_CELLS // dim)))
     b = base.select(F.col(base_id).alias("_b"), *carry, F.col(vector).alias("_v"))
     q = queries.select(F.col(query_id).alias("_q"), F.col(vector).alias("_v"))
@@ -173,7 +176,7 @@ def nearest(
 
     if n_cells == 1:
         wide = q.withColumns({"_ub": F.lit(int(far)), "_cells": F.array(F.lit(0))})
-        per_cell = {0: queries.count()}
+        per_cell = {0: queries.count() if n_queries is None else n_queries}
     else:
         wide = _bounded(q, placed, pivots, cells, radius, blocks, k, dim, metric, exclude_self, query_rows)
         wide = saved(wide, "bounded-queries")
@@ -325,7 +328,8 @@ def smote(
         nearest(
             rows.where(F.col(label) == c).withColumnRenamed(id_col, "query_id"),
             rows.where(F.col(label) == c).withColumnRenamed(id_col, "base_id"),
-            min(k, sizes[c] - 1), dim, vector=vector, metric=metric, exclude_self=True, **options,
+            min(k, sizes[c] - 1), dim, vector=vector, metric=metric, exclude_self=True,
+            n_base=sizes[c], n_queries=sizes[c], **options,
         )
         for c in short
     ]

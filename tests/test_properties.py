@@ -302,12 +302,12 @@ def test_small_rules(spark):
 
 
 def test_csv_edge_cases(spark, tmp_path):
-    path = tmp_path / "boo_positive.csv"
+    path = tmp_path / "first_positive.csv"
     path.write_text('id,text,score\n1,"two\nlines, ""quoted""",5\n2,None,4\n3,short\n4,a,b,surplus\n5,,1\n')
     df = tb.read_csv(spark, str(path), ["id", "text", "score"])
     rows = {r["id"]: (r["text"], r["score"]) for r in df.collect()}
     assert rows == {"1": ('two\nlines, "quoted"', "5"), "2": (None, "4"), "3": ("short", None), "5": (None, "1")}
-    tagged = tb.tag_from_file_name(df, {"boo": "First"}, "Second").first()
+    tagged = tb.tag_from_file_name(df, {"first": "First"}, "Second").first()
     assert (tagged["app"], tagged["sentimiento_analisis"]) == ("First", "positive")
     assert tb.existing_paths(spark, [str(path), str(tmp_path / "none.csv")]) == [str(path)]
     assert tb.header_columns(spark, str(path)) == ["id", "text", "score"]
