@@ -311,3 +311,25 @@ def test_csv_edge_cases(spark, tmp_path):
     assert (tagged["app"], tagged["sentimiento_analisis"]) == ("First", "positive")
     assert tb.existing_paths(spark, [str(path), str(tmp_path / "none.csv")]) == [str(path)]
     assert tb.header_columns(spark, str(path)) == ["id", "text", "score"]
+
+
+def test_empty_inputs(spark):
+    docs = spark.createDataFrame([("1", ["a", "b"]), ("2", [])], "reviewId string, tokens array<string>")
+    none = spark.createDataFrame([], "a string, b string")
+    got = {r["reviewId"]: r["tokens"] for r in apply_phrases(docs, none).collect()}
+    assert got == {"1": ["a", "b"], "2": []}
+    assert features.fit_tfidf(docs.where("false"), "tokens").terms == []
+    rows = spark.createDataFrame([], "reviewId string, content string, label int")
+    assert balance.class_deficit(rows, "label", [0, 1]).collect() == [(0, 0, 0, 0), (1, 0, 0, 0)]
+    assert balance.stratified_split(rows).count() == 0
+
+
+def test_hot_class_is_cut_exactly(spark):
+    """A class with nearly all rows gets the same exact shares as a small one."""
+    df = spark.range(30000).select(
+        F.concat(F.lit("r"), F.col("id")).alias("reviewId"), F.when(F.col("id") % 100 == 0, 1).otherwise(0).alias("label")
+    )
+    got = {(r["label"], r["split"]): r["count"] for r in balance.stratified_split(df).groupBy("label", "split").count().collect()}
+    assert got == {
+        (0, "train"): 20790, (0, "dev"): 4455, (0, "test"): 4455, (1, "train"): 210, (1, "dev"): 45, (1, "test"): 45
+    }
