@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opinara.llm.common import table
 from opinara.llm.contamination import contamination
+from opinara.llm.pseudonyms import pseudonymise
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -53,3 +54,8 @@ own as (select k, count(*) as n_items, string_agg(i, ',' order by i) as ids
 select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
   sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from docs left join pos using (k) left join own using (k)"""
+
+
+@query
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="corpus-2024")
