@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from opinara.llm.common import table
 from opinara.llm.contamination import contamination
 from opinara.llm.pseudonyms import pseudonymise
+from opinara.llm.warc import frames_of, read_frames, write_bundles
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -59,3 +60,23 @@ from docs left join pos using (k) left join own using (k)"""
 @query
 def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="corpus-2024")
+
+
+@query
+def op1_warc_seekable_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_bundles(table(spark, sf_dir, "pages"))
+    records = read_frames(frames_of(spark, index), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op1_warc_seekable_bundles"] = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+d as (select page_id, h, octet_length(encode(h)) as n, sha1(h) as x from p),
+bits as (select *, max(page_id) over (partition by h) as top from d),
+b32 as (select x, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        cast(('0x' || substr(x, 1 + 5 * (k // 4), 5))::bigint // power(32, 3 - k % 4)::bigint % 32 as int) + 1, 1), '' order by k) as b
+        from (select distinct x from d), range(32) t(k) group by x)
+select page_id, n as payload_bytes, b as payload_digest,
+  case when page_id = top then 'response' else 'revisit' end as record_type,
+  case when page_id <> top then top end as refers_to
+from bits join b32 using (x)"""
