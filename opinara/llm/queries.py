@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opinara.llm.common import table
 from opinara.llm.contamination import contamination
+from opinara.llm.order_minhash import near_duplicates
 from opinara.llm.pseudonyms import pseudonymise
 from opinara.llm.warc import frames_of, read_frames, write_bundles
 
@@ -80,3 +81,8 @@ select page_id, n as payload_bytes, b as payload_digest,
   case when page_id = top then 'response' else 'revisit' end as record_type,
   case when page_id <> top then top end as refers_to
 from bits join b32 using (x)"""
+
+
+@query
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
