@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opinara.llm.common import table
 from opinara.llm.contamination import contamination
+from opinara.llm.line_dedup import line_report
 from opinara.llm.order_minhash import near_duplicates
 from opinara.llm.pseudonyms import pseudonymise
 from opinara.llm.warc import frames_of, read_frames, write_bundles
@@ -86,3 +87,8 @@ from bits join b32 using (x)"""
 @query
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
