@@ -47,19 +47,24 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def _hash_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of every word of a blank-separated text."""
+def _hash_words(text: bytes, lead: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of every word of a blank-separated text, or of its first `lead` bytes."""
     data = np.frombuffer(b" " + text + b" ", np.uint8)
     inside = data != 32
     starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
     ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+    if lead:
+        ends = np.minimum(ends, starts + lead)
     sums = np.zeros(len(data) + 1, U)
     np.cumsum((data.astype(U) + U(1)) * powers(_BASE, len(data)), out=sums[1:])
     return starts - 1, mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(data))[starts])
 
 
-def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word of all texts in order, number of words of each text)."""
+def hashed_words(texts: list[bytes], lead: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word of all texts in order, number of words of each text).
+
+    With `lead`, words count as far as their first so many bytes.
+    """
     hashes: list[np.ndarray] = []
     counts = np.zeros(len(texts), np.int64)
     group: list[bytes] = []
@@ -68,7 +73,7 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     def flush(end: int) -> None:
         nonlocal group, first, size
         if group:
-            starts, found = _hash_words(b" ".join(group))
+            starts, found = _hash_words(b" ".join(group), lead)
             edges = np.cumsum([0] + [len(t) + 1 for t in group])
             counts[first:end] = np.diff(np.searchsorted(starts, edges))
             hashes.append(found)
@@ -79,7 +84,7 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(text) > _PIECE:
             flush(k)
             for piece in _pieces(text):
-                found = _hash_words(piece)[1]
+                found = _hash_words(piece, lead)[1]
                 hashes.append(found)
                 counts[k] += len(found)
             first = k + 1

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm.common import table
+from opinara.llm.common import crc_remainder, table
 from opinara.llm.contamination import contamination
 from opinara.llm.line_dedup import line_report
 from opinara.llm.order_minhash import near_duplicates
 from opinara.llm.pseudonyms import pseudonymise
+from opinara.llm.toxicity import rejected, toxicity, train
 from opinara.llm.warc import frames_of, read_frames, write_bundles
 
 QUERIES: dict = {}
@@ -92,3 +93,19 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_remainder("doc_id", 5) == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = train(docs.where(~held_out).join(labels, "doc_id"))
+    scored = toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        rejected(model).alias("rejected"),
+    )
