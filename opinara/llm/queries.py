@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from opinara.llm.common import crc_remainder, table
 from opinara.llm.contamination import contamination
 from opinara.llm.line_dedup import line_report
+from opinara.llm.mixing import mixture
 from opinara.llm.order_minhash import near_duplicates
+from opinara.llm.paragraph_dedup import repeated_paragraphs
 from opinara.llm.pseudonyms import pseudonymise
 from opinara.llm.toxicity import rejected, toxicity, train
 from opinara.llm.warc import frames_of, read_frames, write_bundles
@@ -109,3 +111,15 @@ def op3_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
         rejected(model).alias("rejected"),
     )
+
+
+@query
+def op7_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_paragraphs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "paragraph", "first_doc_id", "first_paragraph", "members", "removed")
+
+
+@query
+def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixture(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "copy", "position")

@@ -95,7 +95,7 @@ def families():
 
 
 def test_families_and_shared_passages(spark, monkeypatch):
-    monkeypatch.setattr("opinara.llm.order_minhash.BLOCK", 16)
+    monkeypatch.setattr("opinara.llm.linking.BLOCK", 16)
     rows = families()
     got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == expected(rows)
