@@ -9,6 +9,7 @@ from opinara.llm.common import crc_remainder, table
 from opinara.llm.contamination import contamination
 from opinara.llm.line_dedup import line_report
 from opinara.llm.mixing import mixture
+from opinara.llm.neural_lm import language_scores
 from opinara.llm.order_minhash import near_duplicates
 from opinara.llm.paragraph_dedup import repeated_paragraphs
 from opinara.llm.pseudonyms import pseudonymise
@@ -101,8 +102,7 @@ def op6_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_remainder("doc_id", 5) == 0
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = train(docs.where(~held_out).join(labels, "doc_id"))
+    model = train(docs, table(spark, sf_dir, "labels").where(~held_out))
     scored = toxicity(docs, model)
     return scored.select(
         "doc_id",
@@ -123,3 +123,9 @@ def op7_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixture(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "source", "copy", "position")
+
+
+@query
+def op8_log_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language_scores(docs, held_out=crc_remainder("doc_id", 7) == 2)
