@@ -1,13 +1,64 @@
-"""A corpus pipeline of five filtering and mixing stages over the documents table."""
+"""A corpus pipeline: toxic documents go, repeated lines go, one of each group of near
+copies stays, documents that hold benchmark text go, and the sources are mixed.
+
+Each stage takes (spark, docs, sf_dir) and returns the rows it keeps; all but the last
+return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from opinara.llm.contamination import contamination
+from opinara.llm.line_dedup import without_repeated_lines
+from opinara.llm.mixing import mixture
+from opinara.llm.order_minhash import deduplicated
+from opinara.llm.toxicity import rejected, toxicity, train
+from opinara.session import saved
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score stays below the threshold of their language."""
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity(docs, model, out="__toxicity")
+    return scored.where(~rejected(model, "__toxicity")).select(*[f"`{c}`" for c in docs.columns])
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that repeat an earlier one; documents that this empties go."""
+    return without_repeated_lines(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return deduplicated(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of the benchmark."""
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out="__contamination")
+    return found.where("__contamination.n_hit = 0").select(*[f"`{c}`" for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, source, copy, position): the mixture at production parameters."""
+    return mixture(docs).select("doc_id", "source", "copy", "position")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("near-dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
+
+#: The stages train a model and search by hashing, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)

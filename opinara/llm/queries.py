@@ -14,6 +14,7 @@ from opinara.llm.order_minhash import near_duplicates
 from opinara.llm.paragraph_dedup import repeated_paragraphs
 from opinara.llm.pseudonyms import pseudonymise
 from opinara.llm.toxicity import rejected, toxicity, train
+from opinara.llm.vector_links import vector_links
 from opinara.llm.warc import frames_of, read_frames, write_bundles
 
 QUERIES: dict = {}
@@ -129,3 +130,22 @@ def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_log_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return language_scores(docs, held_out=crc_remainder("doc_id", 7) == 2)
+
+
+@query
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+ORACLE["op5_nn_descent"] = """
+with recursive v as (select row_number() over () as k, vec_id, embedding::double[] as e from embeddings),
+ok as (select k, vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) as n from v
+       where e is not null and len(e) > 0 and list_count(e) = len(e)
+         and len(list_filter(e, lambda x: not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+links as (select a.k as a, b.k as b, b.vec_id as other from ok a join ok b on a.k <> b.k and len(a.e) = len(b.e)
+          where list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+reach as (select k as a, k as b from v union select r.a, l.b from reach r join links l on r.b = l.a),
+comps as (select r.a as k, min(v.vec_id) as component_id from reach r join v on v.k = r.b group by 1),
+degrees as (select a as k, count(*) as n_links from links group by 1)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+from v join comps using (k) left join degrees using (k)"""
