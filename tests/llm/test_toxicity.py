@@ -50,7 +50,7 @@ def test_pieces_of_long_texts_change_nothing(monkeypatch):
 
 
 def test_missing_labels(spark):
-    df = spark.createDataFrame([("a", None, "en"), (None, 5, None)], "text string, toxic int, lang string")
-    assert np.allclose(T.score(T.train(df), T.word_rows([b"a", b""])), 0.5)
-    one = spark.createDataFrame([("a b", 1, "en"), (None, 1, None)], "text string, toxic int, lang string")
-    assert (T.score(T.train(one), T.word_rows([b"x"])) > 0.9).all()
+    docs = spark.createDataFrame([(1, "a b", "en"), (2, None, None), (None, "c", "en")], "doc_id long, text string, lang string")
+    labels = lambda *rows: spark.createDataFrame(rows, "doc_id long, toxic int")
+    assert np.allclose(T.score(T.train(docs, labels((1, None), (2, 5), (None, 1), (9, 1))), T.word_rows([b"a", b""])), 0.5)
+    assert (T.score(T.train(docs, labels((1, 1), (2, 1))), T.word_rows([b"x"])) > 0.9).all()
