@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.inputs import APPS, countries, geo, raw, reviews, sql, sql_percent
+from catalog.inputs import APPS, FILLED, SQL_CITY, SQL_COUNTRY, countries, geo, raw, reviews, sql, sql_percent
 from opinara.functions.labels import class_label, sentiment, to_number
 from opinara.operators import clean
 from opinara.operators import geo as g
@@ -55,7 +55,7 @@ def _(spark, sf):
 
 @query(
     "p5_nonblank_text",
-    sql("raw", "select reviewId, cast(length(content) as int) as n_chars from raw where regexp_matches(content, '\\S')"),
+    sql("raw", f"select reviewId, cast(length(content) as int) as n_chars from raw where regexp_matches(content, '{FILLED}')"),
 )
 def _(spark, sf):
     return raw(spark, sf).where(clean.nonblank(F.col("content"))).select("reviewId", F.length("content").alias("n_chars"))
@@ -83,9 +83,7 @@ def _(spark, sf):
     "p8_split_location",
     sql(
         "raw",
-        """select reviewId,
-        case when trim(location) <> '' and contains(location, ',') then trim(split_part(location, ',', 1)) end as city,
-        case when trim(location) <> '' then trim(split_part(location, ',', -1)) end as country from raw""",
+        f"select reviewId, {SQL_CITY} as city, {SQL_COUNTRY} as country from raw",
     ),
 )
 def _(spark, sf):
@@ -93,10 +91,10 @@ def _(spark, sf):
     return raw(spark, sf).select("reviewId", city.alias("city"), country.alias("country"))
 
 
-@query("p9_tag_app", sql("raw", "select reviewId, 'AppA' as app from raw where app = 'AppA'"))
+@query("p9_tag_app", sql("raw", "select reviewId, app from raw"))
 def _(spark, sf):
-    one = raw(spark, sf).where(F.col("app") == APPS[0]).drop("app")
-    return one.withColumn("app", F.lit(APPS[0])).select("reviewId", "app")
+    first, second = (raw(spark, sf).where(F.col("app") == a).drop("app").withColumn("app", F.lit(a)) for a in APPS)
+    return first.union(second).select("reviewId", "app")
 
 
 @query(
@@ -139,11 +137,19 @@ def _(spark, sf):
 
 @query(
     "p15_require_columns",
-    sql("raw", "select app, count(*) as n from raw group by app"),
+    sql("raw", "select app, count(*) as n, true as accepted, 'refused' as without_text from raw group by app"),
 )
 def _(spark, sf):
-    checked = clean.require_columns(raw(spark, sf), ("label", "score"), ("content",))
-    return checked.groupBy("app").agg(F.count(F.lit(1)).alias("n"))
+    """The check passes the raw table and refuses it without its text."""
+    df = raw(spark, sf)
+    groups = (("label", "score"), ("content",))
+    try:
+        clean.require_columns(df.drop("content"), *groups)
+        outcome = "accepted"
+    except ValueError:
+        outcome = "refused"
+    counted = clean.require_columns(df, *groups).groupBy("app").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("app", "n", F.lit(True).alias("accepted"), F.lit(outcome).alias("without_text"))
 
 
 @query(
@@ -154,10 +160,10 @@ def _(spark, sf):
         count(*) filter (reason = 'score') as dropped_score, count(*) filter (reason = 'gender') as dropped_gender,
         count(*) filter (reason = 'date') as dropped_date, count(*) filter (reason = 'content') as dropped_content
         from tagged group by app""",
-        tagged="""select app, case when not coalesce(num between 1 and 5, false) then 'score'
+        tagged=f"""select app, case when not coalesce(num between 1 and 5, false) then 'score'
         when not coalesce(gender in ('male', 'female'), false) then 'gender'
         when try_cast(date as date) is null then 'date'
-        when not coalesce(regexp_matches(content, '\\S'), false) then 'content' end as reason from scored""",
+        when not coalesce(regexp_matches(content, '{FILLED}'), false) then 'content' end as reason from scored""",
     ),
 )
 def _(spark, sf):

@@ -27,18 +27,23 @@ _TOKENS = "(" + ", ".join(f"'{t}'" for t in tb.NULL_TOKENS) + ")"
     ),
 )
 def _(spark, sf):
-    """Files with a header, rows with a surplus field and rows that lack the last one."""
+    """Two header orders, one with a junk column; rows with a surplus field, rows that lack the last one."""
     doc = F.substring("reviewId", 2, 30).cast("bigint")
     df = raw(spark, sf).withColumn("gender", F.when(doc % 13 == 0, "NA").otherwise(F.col("gender")))
+    df = df.withColumn("app", F.when(doc % 19 != 0, F.col("app")))
     options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    full, short = F.to_csv(F.struct(*_FIELDS), options), F.to_csv(F.struct(*_FIELDS[:-1]), options)
-    line = F.when(doc % 17 == 0, F.concat(full, F.lit(",surplus"))).when(doc % 19 == 0, short).otherwise(full)
-    body = df.select((doc % 8).alias("part"), F.lit(1).alias("ord"), line.alias("value"))
-    head = spark.range(8).select(F.col("id").alias("part"), F.lit(0).alias("ord"), F.lit(",".join(_FIELDS)).alias("value"))
+    turned = ["Unnamed: 0", *reversed(_FIELDS)]
+    df = df.withColumn("Unnamed: 0", doc.cast("string"))
+    line = lambda names: F.to_csv(F.struct(*[F.col(f"`{c}`") for c in names]), options)
+    full = F.when(doc % 2 == 0, F.when((doc % 19 == 0) & (doc % 17 != 0), line(_FIELDS[:-1])).otherwise(line(_FIELDS))).otherwise(line(turned))
+    surplus = F.when(doc % 34 == 0, ",").when(doc % 17 == 0, ",surplus").otherwise("")
+    head = F.when(F.col("id") % 2 == 0, ",".join(_FIELDS)).otherwise(",".join(turned))
+    body = df.select((doc % 8).alias("part"), F.lit(1).alias("ord"), F.concat(full, surplus).alias("value"))
+    heads = spark.range(8).select(F.col("id").alias("part"), F.lit(0).alias("ord"), head.alias("value"))
     path = scratch_path(spark, "csv")
-    lines = body.unionByName(head).repartition("part").sortWithinPartitions("part", "ord")
+    lines = body.unionByName(heads).repartition("part").sortWithinPartitions("part", "ord")
     lines.select("part", "value").write.partitionBy("part").text(path)
-    return tb.read_csv(spark, path, _FIELDS)
+    return tb.read_csv(spark, path, _FIELDS, multi_line=True)
 
 
 @query(
@@ -53,7 +58,7 @@ def _(spark, sf):
         part = df.where((F.col("app") == a) & (F.col("sentiment") == s)).select("reviewId", "content")
         tb.write_table(part, f"{root}/{a.lower()}_{s}.csv", "csv")
     wanted = [f"{root}/{a.lower()}_{s}.csv" for a, s in names] + [f"{root}/appc_positive.csv"]
-    scan = tb.read_csv(spark, tb.existing_paths(spark, wanted), ["reviewId", "content"])
+    scan = tb.read_csv(spark, tb.existing_paths(spark, wanted), ["reviewId", "content"], multi_line=True, with_file=True)
     tagged = tb.tag_from_file_name(scan, {"appa": "AppA"}, "AppB", level=2)
     return tagged.groupBy("app", "sentimiento_analisis").agg(F.count(F.lit(1)).alias("n"))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from opinara.functions.text import SPACE, SPACE_CHARS
 from opinara.operators.clean import load_reviews
 from opinara.operators.geo import geo_enrich
 from opinara.session import spread_small
@@ -16,14 +17,14 @@ APPS = ("AppA", "AppB")
 
 RAW_COLUMNS = {
     "reviewId": "'r' || cast(doc_id as string)",
-    "content": "case when doc_id % 59 = 0 then null when doc_id % 53 = 0 then '   ' else text end",
+    "content": "case when doc_id % 59 = 0 then null when doc_id % 53 = 0 then ' \u00a0\u3000\t' else text end",
     "score": """case when doc_id % 41 = 0 then 'bad' when doc_id % 43 = 0 then '9' when doc_id % 47 = 0 then '2.5'
         when (doc_id * 7919) % 100 < 45 then '5' when (doc_id * 7919) % 100 < 60 then '4'
         when (doc_id * 7919) % 100 < 72 then '3' when (doc_id * 7919) % 100 < 80 then '2' else '1' end""",
     "gender": "case when doc_id % 31 = 0 then 'unknown' when doc_id % 3 = 0 then 'female' else 'male' end",
     "location": """case when doc_id % 29 = 0 then null
         when doc_id % 23 = 0 then 'NATION_' || cast(doc_id % 25 as string)
-        else 'City_' || cast(doc_id % 7 as string) || ', NATION_' || cast(doc_id % 25 as string) end""",
+        else 'City_' || cast(doc_id % 7 as string) || case when doc_id % 11 = 0 then '\u00a0,\u3000NATION_' else ', NATION_' end || cast(doc_id % 25 as string) end""",
     "date": """case when doc_id % 37 = 0 then 'not a date'
         else cast(DATE '2013-02-01' + cast((doc_id * 17) % 4500 as int) as string) end""",
     "app": "case when (doc_id * 31) % 10 < 5 then 'AppA' else 'AppB' end",
@@ -70,22 +71,31 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # SQL twins, as named common table expressions.
 
+def sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{SPACE}|{SPACE}$', '', 'g')"
+
+
+FILLED = f"[^{SPACE_CHARS}]"
+
+SQL_CITY = f"case when {sql_strip('location')} <> '' and contains(location, ',') then {sql_strip("split_part(location, ',', 1)")} end"
+SQL_COUNTRY = f"case when {sql_strip('location')} <> '' then {sql_strip("split_part(location, ',', -1)")} end"
+
 _CTES = {
     "raw": "select " + ", ".join(f"{e} as {c}" for c, e in RAW_COLUMNS.items()) + " from documents",
     "dim_country": "select " + ", ".join(f"{e} as {c}" for c, e in COUNTRY_COLUMNS.items())
     + " from nation join region on n_regionkey = r_regionkey where n_nationkey <> 24",
     "scored": "select *, try_cast(score as double) as num from raw",
-    "valid": """select * exclude (score, date, num), cast(trunc(num) as int) as score, try_cast(date as date) as date
+    "valid": f"""select * exclude (score, date, num), cast(trunc(num) as int) as score, try_cast(date as date) as date
         from scored where num between 1 and 5 and gender in ('male', 'female')
-        and try_cast(date as date) is not null and regexp_matches(content, '\\S')""",
-    "reviews": """select *,
+        and try_cast(date as date) is not null and regexp_matches(content, '{FILLED}')""",
+    "reviews": f"""select *,
         case when score <= 2 then 'negative' when score = 3 then 'neutral' else 'positive' end as sentiment,
-        case when trim(location) <> '' and contains(location, ',') then trim(split_part(location, ',', 1)) end as city,
-        case when trim(location) <> '' then trim(split_part(location, ',', -1)) end as country,
+        {SQL_CITY} as city,
+        {SQL_COUNTRY} as country,
         cast(year(date) as int) as "year", strftime(date, '%Y-%m') as year_month,
         year(date) || 'Q' || quarter(date) as "quarter",
         cast(length(content) as int) as content_length,
-        cast(len(regexp_extract_all(content, '\\S+')) as int) as word_count
+        cast(len(regexp_extract_all(content, '{FILLED}+')) as int) as word_count
         from valid""",
     "geo": "select r.*, lat, lon, iso3, continent from reviews r left join dim_country d on r.country = d.country",
     "labelled": """select reviewId, content,

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from opinara.functions.labels import score_band
 from opinara.operators.hash_order import cut_by_hash, group_sizes, numbered, share_out
-from opinara.session import small_side
 
 SPLITS = ("train", "dev", "test")
 
@@ -57,7 +56,7 @@ def exemplars(df: DataFrame, label: str, text: str, order: str = "reviewId", k:
     some = df.where(F.col(text).isNotNull() & F.col(label).isNotNull())
     w = Window.partitionBy(label).orderBy(order)
     keys = some.select(label, order).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-    first = some.select(label, text, order).join(small_side(keys.select(label, order).distinct()), [label, order])
+    first = some.select(label, text, order).join(keys.select(label, order).distinct(), [label, order])
     texts = F.slice(F.sort_array(F.collect_list(F.struct(order, text))), 1, k)[text]
     return first.groupBy(label).agg(F.array_join(texts, " | ").alias("exemplars"))
 
@@ -116,7 +115,7 @@ def plan_requests(
     Requests of a class ask for `batch` rows each, the last one for the rest.
     deficits(label, deficit) and shown(label, exemplars) have one row per class.
     """
-    base = deficits.where("deficit > 0").select(label, "deficit").join(small_side(shown, max_rows=1_000), label, "left")
+    base = deficits.where("deficit > 0").select(label, "deficit").join(shown, label, "left")
     base = base.withColumn("exemplars", F.coalesce("exemplars", F.lit("")))
     rows = numbered(base, F.ceil(F.col("deficit") / batch), "request_no")
     wanted = F.least(F.lit(batch).cast("bigint"), F.col("deficit") - F.col("request_no") * batch).cast("int")

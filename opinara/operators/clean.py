@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.labels import class_label, sentiment, to_number
+from opinara.functions.text import SPACE_CHARS, strip_space
 
 # Gender values that count as valid.
 VALID_GENDERS = ("male", "female")
@@ -23,6 +24,9 @@ UNIFIED_COLUMNS = (
 )
 
 
+_FILLED = f"[^{SPACE_CHARS}]"
+
+
 def drop_junk_columns(df: DataFrame) -> DataFrame:
     """Drop unnamed index columns left by spreadsheet exports."""
     return df.select([F.col(f"`{c}`") for c in df.columns if not c.startswith("Unnamed")])
@@ -67,15 +71,15 @@ def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
 
 def nonblank(text: Column) -> Column:
     """True for text with a visible character; false for null."""
-    return F.coalesce(text.rlike(r"\S"), F.lit(False))
+    return F.coalesce(text.rlike(_FILLED), F.lit(False))
 
 
 def split_location(location: Column) -> tuple[Column, Column]:
     """'City, Country' to (city, country); one part is a country; blank is neither."""
     parts = F.split(location, ",")
-    filled = F.trim(location) != ""
-    city = F.when(filled & (F.size(parts) > 1), F.trim(F.element_at(parts, 1)))
-    country = F.when(filled, F.trim(F.element_at(parts, -1)))
+    filled = strip_space(location) != ""
+    city = F.when(filled & (F.size(parts) > 1), strip_space(F.element_at(parts, 1)))
+    country = F.when(filled, strip_space(F.element_at(parts, -1)))
     return city, country
 
 
@@ -111,7 +115,7 @@ def validate(raw: DataFrame) -> DataFrame:
         raw.where(F.col("gender").isin(*VALID_GENDERS))
         .where(to_number(F.col("score")).between(1, 5))
         .where(parse_date(F.col("date")).isNotNull())
-        .where(F.col("content").rlike(r"\S"))
+        .where(F.col("content").rlike(_FILLED))
         .withColumns({"score": to_number(F.col("score")).cast("int"), "date": parse_date(F.col("date"))})
     )
 
@@ -129,7 +133,7 @@ def derive(valid: DataFrame) -> DataFrame:
             "year_month": F.date_format(date, "yyyy-MM"),
             "quarter": F.concat(F.year(date), F.lit("Q"), F.quarter(date)),
             "content_length": F.length("content"),
-            "word_count": F.size(F.regexp_extract_all("content", F.lit(r"\S+"), F.lit(0))),
+            "word_count": F.size(F.regexp_extract_all("content", F.lit(_FILLED + "+"), F.lit(0))),
         }
     )
 

@@ -64,7 +64,8 @@ def augment(
 
     The strict form keeps at most the wanted rows of a reply and so ends exactly
     at the target; the loose form keeps all of them and may overshoot. Classes
-    that still lack rows are asked again, for at most max_rounds rounds.
+    that still lack rows are asked again; if some still do after max_rounds rounds, an
+    error names them, and the replies stay stored.
 
     Replies are appended to the table at `path` as they come, partitioned by
     class; a run that is started again with the same path asks only for what is
@@ -97,12 +98,14 @@ def augment(
         pieces = parse_replies_strict(F.col("reply"), F.col("n_wanted")) if strict else parse_replies(F.col("reply"))
         return answers.select(label, "round", F.explode(pieces).alias(text))
 
-    for turn in range(max_rounds):
+    for turn in range(max_rounds + 1):
         got = group_sizes(rows(replies().where(F.col("round") < turn)), label)
         lack = [(c, target - sizes.get(c, 0) - got.get(c, 0)) for c in wanted]
         lack = [(c, n) for c, n in lack if n > 0]
         if not lack:
             break
+        if turn == max_rounds:
+            raise RuntimeError(f"classes still short after {max_rounds} rounds: {dict(lack)}; replies are kept in {path}")
         requests = plan_requests(spark.createDataFrame(lack, deficit_schema), shown, label, prompt, batch)
         done = replies().where(F.col("round") == turn).select(label, "request_no")
         new = ask(requests.join(done, [label, "request_no"], "left_anti"), reply, key=[label, "request_no"])

@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.rounding import percent
-from opinara.session import small_side
 
 GEO_COLUMNS = ("lat", "lon", "iso3", "continent")
 
 
+def unique(dim: DataFrame, key: str) -> DataFrame:
+    """One row for each key: the smallest, so that a repeated name cannot multiply rows."""
+    others = [c for c in dim.columns if c != key]
+    return dim.groupBy(key).agg(F.min(F.struct(*others)).alias("r")).select(key, *[F.col(f"r.{c}").alias(c) for c in others])
+
+
 def geo_enrich(reviews: DataFrame, countries: DataFrame) -> DataFrame:
     """Add lat, lon, iso3, continent by exact country name; keep unmatched rows."""
     dim = countries.select("country", *GEO_COLUMNS)
-    return reviews.join(small_side(dim), "country", "left")
+    return reviews.join(unique(dim, "country"), "country", "left")
 
 
 def geo_missing_summary(geo: DataFrame) -> DataFrame:
@@ -41,12 +46,12 @@ def resolve_names(names: DataFrame, index: DataFrame, aliases: DataFrame) -> Dat
     """
     fields = ("iso3", "lat", "lon", "continent")
     found = F.struct(*fields)
-    direct = small_side(index.select("name", found.alias("direct")))
-    via = small_side(index.select(F.col("name").alias("canonical"), found.alias("via_alias")))
+    direct = unique(index.select("name", *fields), "name").select("name", found.alias("direct"))
+    via = direct.select(F.col("name").alias("canonical"), F.col("direct").alias("via_alias"))
     hit = F.coalesce("direct", "via_alias")
     return (
         names.join(direct, "name", "left")
-        .join(small_side(aliases), F.col("name") == F.col("alias"), "left")
+        .join(unique(aliases.select("alias", "canonical"), "alias"), F.col("name") == F.col("alias"), "left")
         .join(via, "canonical", "left")
         .select("name", *[hit[f].alias(f) for f in fields], hit.isNotNull().alias("resolved"))
     )

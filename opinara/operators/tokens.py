@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.text import unfold
-from opinara.session import saved, small_side
+from opinara.session import saved
 
 # Fixed values of the lemma filter.
 NEGATIONS = ("not", "no", "never")
@@ -34,7 +34,7 @@ def lemmatise(
     token, so no window over the review is needed; the only shuffle regroups the
     emitted lemmas by review. Reviews without a lemma keep an empty list.
     """
-    lex = small_side(lexicon.select("token", F.struct("lemma", "pos").alias("tag")), max_rows=500_000)
+    lex = lexicon.select("token", F.struct("lemma", "pos").alias("tag"))
     docs = df.select(id_col, F.col(tokens).alias("_t"))
     flat = docs.select(
         id_col, F.posexplode(F.arrays_zip(shift(F.col("_t"), -1).alias("prev"), F.col("_t").alias("tok"), shift(F.col("_t"), 1).alias("next"))).alias("pos", "z")
@@ -101,7 +101,7 @@ def apply_phrases(df: DataFrame, phrases: DataFrame, id_col: str = "reviewId", t
     place from slices.
     """
     t = F.col(tokens)
-    side = small_side(phrases.select("a", "b"), max_rows=500_000)
+    side = phrases.select("a", "b")
     hits = (
         df.select(id_col, F.posexplode(F.arrays_zip(t.alias("a"), shift(t, 1).alias("b"))).alias("pos", "p"))
         .where(F.col("p.b").isNotNull())

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from opinara.functions.text import feature_tokens, first_k, split_words
 from opinara.operators.features import count_terms, fit_tfidf, pack_vector, term_stats
 from opinara.operators.neighbours import nearest
-from opinara.session import saved, small_side
+from opinara.session import saved
 
 # Topic names by sentiment and cluster.
 TOPIC_NAMES = {
@@ -58,7 +58,7 @@ def name_topics(df: DataFrame, names: DataFrame, sentiment: str = "sentiment", c
     dim = names.select(
         F.col("sentiment").alias(sentiment), F.col("cluster").alias(cluster), F.col("name").alias("Tema_Nombre")
     )
-    return df.join(small_side(dim), [sentiment, cluster], "left")
+    return df.join(dim, [sentiment, cluster], "left")
 
 
 def dominant_topic(probabilities: Column) -> Column:

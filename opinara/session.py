@@ -37,16 +37,24 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g") ->
     )
 
 
+_local_roots: dict[str, str] = {}
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir.
 
-    Only where nothing is set (a bare local session) is a temporary folder made.
+    Where it is unset, a local session gets a temporary folder of its own; any other
+    master is an error, since executors would write to their own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="opinara-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="opinara-")
+    return _local_roots[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -64,18 +72,6 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """Mark df for broadcast after checking its size, else return it unmarked.
-
-    At most max_rows + 1 rows reach the driver. A side that is larger goes into
-    an ordinary shuffled join, where adaptive execution splits skewed keys.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def spread_small(df: DataFrame, key: str) -> DataFrame:
     """Give an input with fewer splits than cores to all cores.
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,35 +17,78 @@ NULL_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_TOO_LONG = "_surplus"
+#: Added by read_csv: the file of each row.
+FILE_PATH = "_file_path"
 
 
 def read_csv(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], multi_line: bool = True
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, *, multi_line: bool = False,
+    with_file: bool = False,
 ) -> DataFrame:
-    """Tolerant CSV scan: every field a string, rows with surplus fields dropped.
-
-    Short rows are padded with nulls. There is no schema inference pass. Quoted
-    line breaks need `multi_line`, which makes a file the unit of parallelism;
-    switch it off for large files without them, so that files are split.
+    """Tolerant CSV scan by header name: every field a string, rows with surplus fields dropped.
+
+    Each file's own header line names its fields, so files may order them differently
+    and have more of them; files with the same header are read together. The result
+    has the wanted `columns` (missing ones null), or all columns of all files without
+    those left over from spreadsheets. Short rows are padded with nulls; a surplus
+    field drops its row, a single one even when it is empty. There is no schema inference pass.
+    Quoted line breaks need `multi_line`, which makes a file the unit of parallelism.
+    `with_file` adds the path of each row's file.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _TOO_LONG]])
+    paths = [path] if isinstance(path, str) else list(path)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in _files(spark, paths):
+        by_header.setdefault(tuple(header_columns(spark, file)), []).append(file)
+    wanted = columns if columns is not None else list(dict.fromkeys(c for h in by_header for c in h if not c.startswith("Unnamed")))
+    parts = [_read_fields(spark, files, header, wanted, multi_line) for header, files in by_header.items() if header]
+    if not parts:
+        fields = [*wanted, *[FILE_PATH] * with_file]
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in fields]))
+    out = reduce(DataFrame.union, parts)
+    return out if with_file else out.drop(FILE_PATH)
+
+
+def _read_fields(spark: SparkSession, files: list[str], header: Sequence[str], wanted: Sequence[str], multi_line: bool) -> DataFrame:
+    """Files of one header, read by position, then selected by name; the first of equal names counts."""
+    names = [*[f"_f{k}" for k in range(len(header) + 1)], "_uneven"]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
     df = (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
         .option("multiLine", multi_line)
         .option("escape", '"')
+        .option("columnNameOfCorruptRecord", "_uneven")
+        .option("columnPruning", False)
         .option("mode", "PERMISSIVE")
-        .csv(path if isinstance(path, str) else list(path))
+        .csv(files)
     )
-    kept = df.where(F.col(_TOO_LONG).isNull()).drop(_TOO_LONG)
-    return kept.select([F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in columns])
+    # With room for one surplus field, a row is even only if it has just one.
+    # (As expressions that are not pushed into the parser, which would not count fields then.)
+    surplus = F.coalesce(F.col(f"_f{len(header)}"), F.lit("")) != ""
+    kept = df.where((F.coalesce(F.col("_uneven"), F.lit("")) != "") & ~surplus)
+    place = {name: F.col(f"_f{k}") for k, name in reversed(list(enumerate(header)))}
+    field = lambda c: F.when(~place[c].isin(*NULL_TOKENS), place[c]) if c in place else F.lit(None).cast("string")
+    name = F.col("_metadata.file_path")
+    return kept.select(*[field(c).alias(c) for c in wanted], name.alias(FILE_PATH))
+
+
+def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The data files at the paths, in order, as the file system lists them."""
+    found = spark.read.option("recursiveFileLookup", True).text(list(paths)).inputFiles() if paths else []
+    return sorted(unquote(f) for f in found)
 
 
 def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file, from its first line only."""
-    return spark.read.option("header", True).csv(path).columns
+    """Column names of a CSV file, from its first line only; none for an empty file."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return next(csv.reader([line.removeprefix("\ufeff")])) if line else []
 
 
 def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
@@ -57,12 +103,12 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 
 
 def tag_from_file_name(df: DataFrame, apps: dict[str, str], default_app: str, level: int = 1) -> DataFrame:
-    """Add app and sentiment read from each row's file name.
+    """Add app and sentiment read from each row's file name, see read_csv(with_file=True).
 
     `apps` maps a lower-case fragment to an app name; the first hit wins. With
     level=2 the name of the file's folder is read instead.
     """
-    name = F.lower(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -level))
+    name = F.lower(F.element_at(F.split(F.col(FILE_PATH), "/"), -level))
     app = F.lit(default_app)
     for fragment, label in reversed(apps.items()):
         app = F.when(F.contains(name, F.lit(fragment)), label).otherwise(app)
@@ -71,7 +117,7 @@ def tag_from_file_name(df: DataFrame, apps: dict[str, str], default_app: str, le
         .when(F.contains(name, F.lit("negative")), "negative")
         .otherwise("neutral")
     )
-    return df.select("*", app.alias("app"), sentiment.alias("sentimiento_analisis"))
+    return df.select("*", app.alias("app"), sentiment.alias("sentimiento_analisis")).drop(FILE_PATH)
 
 
 def read_countries(spark: SparkSession, path: str) -> DataFrame:

@@ -304,7 +304,7 @@ def test_small_rules(spark):
 def test_csv_edge_cases(spark, tmp_path):
     path = tmp_path / "first_positive.csv"
     path.write_text('id,text,score\n1,"two\nlines, ""quoted""",5\n2,None,4\n3,short\n4,a,b,surplus\n5,,1\n')
-    df = tb.read_csv(spark, str(path), ["id", "text", "score"])
+    df = tb.read_csv(spark, str(path), ["id", "text", "score"], multi_line=True, with_file=True)
     rows = {r["id"]: (r["text"], r["score"]) for r in df.collect()}
     assert rows == {"1": ('two\nlines, "quoted"', "5"), "2": (None, "4"), "3": ("short", None), "5": (None, "1")}
     tagged = tb.tag_from_file_name(df, {"first": "First"}, "Second").first()
@@ -313,6 +313,57 @@ def test_csv_edge_cases(spark, tmp_path):
     assert tb.header_columns(spark, str(path)) == ["id", "text", "score"]
 
 
+def test_csv_fields_go_by_header_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("score,id,text\n5,1,one\n4,2,two,\n3,3\n")
+    (tmp_path / "b c.csv").write_text("Unnamed: 0,text,score,id,Unnamed: 9\n0,four,1,4,x\n1,five,2,5,x,surplus\n")
+    (tmp_path / "empty.csv").write_text("")
+    got = sorted(tuple(r) for r in tb.read_csv(spark, str(tmp_path), ["id", "text", "score"]).collect())
+    assert got == [("1", "one", "5"), ("3", None, "3"), ("4", "four", "1")]
+    every = tb.read_csv(spark, str(tmp_path))
+    assert sorted(every.columns) == ["id", "score", "text"] and every.count() == 3
+    assert tb.read_csv(spark, str(tmp_path / "empty.csv"), ["id"]).count() == 0
+
+
+def test_white_space_of_any_kind(spark):
+    from opinara.operators.clean import derive, nonblank, reject_report, validate
+
+    row = {"reviewId": "r", "content": "one\u00a0two\u3000three", "score": "5", "gender": "male", "date": "2020-01-02", "app": "A"}
+    df = spark.createDataFrame([{**row, "location": "\tLima\u00a0,\u00a0Peru\u3000"}, {**row, "content": "\u00a0\t\u3000", "location": "x"}])
+    got = derive(validate(df)).select("city", "country", "word_count").collect()
+    assert [tuple(r) for r in got] == [("Lima", "Peru", 3)]
+    assert df.where(nonblank(F.col("content"))).count() == 1
+    assert reject_report(df).first()["dropped_content"] == 1
+
+
+def test_repeated_names_do_not_multiply_reviews(spark):
+    from opinara.operators.geo import geo_enrich, resolve_names
+
+    dim = spark.createDataFrame([("Peru", 1.0, 2.0, "PER", "S"), ("Peru", 3.0, 4.0, "PER", "S")], "country string, lat double, lon double, iso3 string, continent string")
+    assert geo_enrich(spark.createDataFrame([("Peru",)], "country string"), dim).count() == 1
+    names = spark.createDataFrame([("Peru",), ("Pe",)], "name string")
+    aliases = spark.createDataFrame([("Pe", "Peru"), ("Pe", "Peru")], "alias string, canonical string")
+    assert resolve_names(names, dim.withColumnRenamed("country", "name"), aliases).count() == 2
+
+
+def test_augmentation_that_cannot_reach_its_target_fails(spark):
+    from opinara.operators.generate import augment
+
+    df = spark.createDataFrame([("1", "a", 0), ("2", "b", 0), ("3", "c", 1)], "reviewId string, content string, label int")
+    short = lambda prompts: ["no"] * len(prompts)
+    with pytest.raises(RuntimeError, match="still short"):
+        augment(df, "label", "content", short, lambda c, n, t: F.concat_ws(" ", c.cast("string"), n.cast("string")), max_rounds=1)
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from opinara.session import work_root
+
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="x"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_root(fake)
+
+
 def test_empty_inputs(spark):
     docs = spark.createDataFrame([("1", ["a", "b"]), ("2", [])], "reviewId string, tokens array<string>")
     none = spark.createDataFrame([], "a string, b string")
