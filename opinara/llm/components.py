@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from opinara.session import saved
 
+PART_EDGES = 200_000
 
 def _forest(edges: DataFrame) -> DataFrame:
     """Each partition's edges replaced by a star for each of its own components."""
@@ -56,23 +57,24 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
+def _settled(stars: DataFrame) -> bool:
+    """Whether every node has one leader and no leader has one."""
+    state = stars.agg(F.count("*"), F.count_distinct("a")).first()
+    return state[0] == state[1] and stars.join(stars.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of edges (a, b); component is the smallest id reachable.
 
-    Alternating large and small stars, each round written to the work folder. Nodes
-    may have any ordered type; loops, repeated edges, and edges with a null end are
-    harmless. An empty edge list has no nodes.
+    Partitions first contract their own edges, then parts of PART_EDGES of what is
+    left; alternating large and small stars, each round written to the work folder, do
+    the rest. Nodes may have any ordered type; loops, repeated edges, and edges with a
+    null end are harmless. An empty edge list has no nodes.
     """
     pairs = edges.select("a", "b").where("a is not null and b is not null and a <> b")
     now = saved(_forest(pairs), "edges")
-    if now.isEmpty():
-        return now.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    before = None
-    while True:
+    now = saved(_forest(now.repartition(max(1, -(-now.count() // PART_EDGES)))), "edges")
+    while not _settled(now):
         now = saved(_star(saved(_star(now, large=True), "large-star"), large=False), "small-star")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     leaders = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(leaders)
+    return saved(now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(leaders), "components")

@@ -20,6 +20,7 @@ from opinara.llm.components import components
 from opinara.session import saved
 
 BLOCK = 256
+_SLICE = 8192
 
 
 @dataclass
@@ -29,7 +30,8 @@ class Rules:
     agreement(x, y): how many sampled values agree, by row (paired) or as a matrix;
     samples come as arrays made by `samples`. enough(n, m): the number that calls for
     verification. similar(a, b): the exact test on payloads. least: no two items link
-    whose sizes n differ by more than this ratio.
+    whose sizes n differ by more than this ratio. least_overlap: nor do two that share
+    less than this part of the sum of their payloads' lengths.
     """
 
     samples: Callable[[list[bytes]], np.ndarray]
@@ -37,6 +39,7 @@ class Rules:
     enough: Callable[[np.ndarray, np.ndarray], np.ndarray]
     similar: Callable[[np.ndarray, np.ndarray], bool]
     least: float
+    least_overlap: float
 
 
 def members_of(items: DataFrame) -> DataFrame:
@@ -102,6 +105,31 @@ def _candidates(block: pa.Table, rules: Rules) -> tuple[np.ndarray, np.ndarray,
     return x[mine], y[mine], comp
 
 
+def _overlaps(runs: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many runs the pairs (x, y) of items share, repeats included: matrix products over slices of the runs."""
+    rows = np.unique(np.concatenate([x, y]))
+    keys = []
+    for r in rows:
+        ordered = np.sort(runs[r]).astype(np.int64)
+        first = np.searchsorted(ordered, ordered)
+        keys.append(ordered << 31 | (np.arange(len(ordered)) - first))
+    owner = np.repeat(np.arange(len(rows)), [len(k) for k in keys])
+    code = np.unique(np.concatenate(keys), return_inverse=True)[1]
+    shared = np.bincount(code)[code] > 1
+    code, owner = code[shared], owner[shared]
+    common = np.zeros((len(rows), len(rows)), np.float32)
+    if len(code):
+        code = np.unique(code, return_inverse=True)[1]
+        order = np.argsort(code, kind="stable")
+        code, owner = code[order], owner[order]
+        for low in range(0, int(code[-1]) + 1, _SLICE):
+            part = slice(*np.searchsorted(code, [low, low + _SLICE]))
+            has = np.zeros((len(rows), _SLICE), np.float32)
+            has[owner[part], code[part] - low] = 1
+            common += has @ has.T
+    return common[np.searchsorted(rows, x), np.searchsorted(rows, y)]
+
+
 def _parts(size) -> Column:
     return F.greatest(F.ceil(size / BLOCK).cast("int"), F.lit(1))
 
@@ -164,6 +192,10 @@ def similar_components(items: DataFrame, members: DataFrame, payload: DataFrame,
     def link(block: pa.Table) -> pa.Table:
         x, y, comp = _candidates(block, rules)
         seq = [np.frombuffer(r, np.int32) for r in block["runs"].to_pylist()]
+        if len(x):
+            size = np.array([len(r) for r in seq])
+            enough = _overlaps(seq, x, y) >= rules.least_overlap * (size[x] + size[y]) - 1e-6
+            x, y = x[enough], y[enough]
         root = list(range(int(comp.max()) + 1))
 
         def top(c: int) -> int:

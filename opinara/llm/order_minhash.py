@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from opinara.llm.alignment import sequence_similarity
 from opinara.llm.common import add_column, slices, utf8
-from opinara.llm.components import components
+from opinara.llm.linking import Rules, members_of, similar_components
 from opinara.llm.hashing import U, hashed_words, labelled, mix, positions, sequence_digests, shingles
 from opinara.session import saved
 
@@ -27,7 +27,6 @@ _NONE = U(0xFFFFFFFFFFFFFFFF)
 #: Of the 32 sampled runs, as many must agree before a pair is aligned; at similarity
 #: 0.8 about 25 do, and fewer than 14 with a probability below 1e-5.
 AGREE = 14
-BLOCK = 512
 
 _SKETCH_DDL = "struct<digest: binary, n: int, keys: array<bigint>, sample: binary>"
 _SKETCH_ARROW = pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("sample", pa.binary())])
@@ -72,8 +71,14 @@ def sketch(texts: list[bytes]) -> list[dict | None]:
     return out
 
 
-def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Matrix of the numbers of sampled runs that two sets of samples share."""
+def _samples(column: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint32).reshape(-1, SKETCHES, 2)
+
+
+def _agreement(x: np.ndarray, y: np.ndarray, matrix: bool) -> np.ndarray:
+    """How many sampled runs two sets of samples share."""
+    if not matrix:
+        return sum((x[:, :, p] == y[:, :, q]).sum(axis=1) for p in (0, 1) for q in (0, 1))
     out = np.zeros((len(x), len(y)), np.uint8)
     for j in range(SKETCHES):
         for p in (0, 1):
@@ -82,43 +87,13 @@ def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def _samples(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SKETCHES, 2)
-
-
 def _enough(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """How many sampled runs must agree; a text with one run has only one in each sketch."""
     return np.where(np.minimum(n, m) > 1, AGREE, AGREE // 2)
 
 
-def _with_agreement(pairs: DataFrame) -> DataFrame:
-    """The pairs (sample_a, n_a, sample_b, n_b, ...) whose samples agree enough."""
-
-    def run(batches):
-        for batch in slices(batches, 4096):
-            names = batch.schema.names
-            x, y = (_samples(batch.column(names.index(c))) for c in ("sample_a", "sample_b"))
-            n, m = (np.asarray(batch.column(names.index(c))) for c in ("n_a", "n_b"))
-            same = sum((x[:, :, p] == y[:, :, q]).sum(axis=1) for p in (0, 1) for q in (0, 1))
-            yield batch.filter(pa.array(same >= _enough(n, m))).select(["a", "b"])
-
-    return pairs.mapInArrow(run, "a binary, b binary")
-
-
-def _aligned(least: float):
-    def run(batches):
-        for batch in slices(batches, 256):
-            keep = [
-                sequence_similarity(np.frombuffer(x, np.int32), np.frombuffer(y, np.int32), least) > 0
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            ]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    return run
-
-
 def _runs_of(docs: DataFrame) -> DataFrame:
-    """(digest, runs): the run hashes (int32) of every text that has words."""
+    """(id, runs): the digest and the run hashes (int32) of every text that has words."""
 
     def run(batches):
         for batch in slices(batches):
@@ -134,49 +109,10 @@ def _runs_of(docs: DataFrame) -> DataFrame:
                     pa.array([digest[k].tobytes() for k in full], pa.binary()),
                     pa.array([low[ends[k] - per_text[k] : ends[k]].tobytes() for k in full], pa.binary()),
                 ],
-                ["digest", "runs"],
+                ["id", "runs"],
             )
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "digest binary, runs binary")
-
-
-def _candidates(least: float):
-    """Within a block: index pairs of different components that agree enough, each in its first common bucket."""
-
-    def find(block: pa.Table):
-        n = np.asarray(block["n"].combine_chunks())
-        sample = _samples(block["sample"].combine_chunks())
-        keys = np.array(block["keys"].to_pylist(), np.int64).reshape(-1, SKETCHES)
-        chunk = np.asarray(block["chunk"].combine_chunks())
-        codes: dict = {}
-        comp = np.array([codes.setdefault(c, len(codes)) for c in block["comp"].to_pylist()])
-        key, i, j = (block[c][0].as_py() for c in ("key", "i", "j"))
-        left = np.flatnonzero(chunk == i)
-        right = left if i == j else np.flatnonzero(chunk == j)
-        ok = agreement(sample[left], sample[right]) >= _enough(n[left][:, None], n[right][None, :])
-        ok &= comp[left][:, None] != comp[right][None, :]
-        big, small = np.maximum(n[left][:, None], n[right][None, :]), np.minimum(n[left][:, None], n[right][None, :])
-        ok &= small >= least * big
-        if i == j:
-            ok &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
-        x, y = np.nonzero(ok)
-        x, y = left[x], right[y]
-        first = (keys[x] == keys[y]).argmax(axis=1)
-        mine = keys[x, first] == key
-        return x[mine], y[mine], comp
-
-    return find
-
-
-def _blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Members of buckets dealt to pairs of chunks of about BLOCK members."""
-    cut = members.join(sizes, "key")
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    cut = cut.withColumn("chunk", F.pmod(F.xxhash64("id"), parts).cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return cut.select(
-        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "id", "comp"
-    )
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "id binary, runs binary")
 
 
 def order_minhash_classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
@@ -186,12 +122,7 @@ def order_minhash_classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
     number of rows, comp its smallest digest. Word sequences that occur once and link with nothing are not
     listed, nor are null texts and texts without words, which link with nothing.
 
-    1. Equal word sequences become one item. 2. Each item is aligned with the smallest
-    item of each of its buckets that its samples agree with, which joins large groups
-    in a number of alignments linear in their size. 3. Buckets that still span several
-    components are compared in blocks of pairs of chunks, where pairs of different
-    components whose samples agree are aligned until one is known to link. No bucket
-    is cut short; a pair meets in its first common bucket only.
+    Equal word sequences become one item first; linking.similar_components does the rest.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -206,64 +137,11 @@ def order_minhash_classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
         ),
         "omh-items",
     )
-    keyed = items.select("id", F.explode("keys").alias("key"))
-    buckets = saved(keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("least")).where("size > 1"), "omh-buckets")
-    members = saved(keyed.join(buckets, "key").select("key", "id", "least"), "omh-members")
-
-    facts = items.select("id", "n", "sample")
-    side = lambda c: facts.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sample").alias(f"sample_{c}"))
-    stars = members.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
-    stars = stars.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * least)
-    stars = saved(_with_agreement(stars), "omh-stars")
-
-    runs = saved(
-        _runs_of(docs).join(members.select(F.col("id").alias("digest")).distinct(), "digest", "left_semi").dropDuplicates(["digest"]),
-        "omh-runs",
-    )
-    payload = lambda c, name: runs.select(F.col("digest").alias(c), F.col("runs").alias(name))
-    linked = stars.join(payload("a", "x"), "a").join(payload("b", "y"), "b").select("a", "b", "x", "y")
-    linked = saved(linked.mapInArrow(_aligned(least), "a binary, b binary"), "omh-links")
-    comps = saved(components(linked), "omh-comps")
-
-    placed = members.join(comps, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-    placed = saved(placed, "omh-placed")
-    open_keys = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    open_keys = saved(open_keys.where("lo <> hi").select("key", "size"), "omh-open")
-    blocks = _blocks(placed, open_keys).join(items.select("id", "n", "keys", "sample"), "id")
-    find = _candidates(least)
-
-    def near(block: pa.Table) -> pa.Table:
-        x, y, _ = find(block)
-        return block.take(pa.array(np.union1d(x, y))).select(["key", "i", "j", "chunk", "id", "comp"])
-
-    spec = "key bigint, i int, j int, chunk int, id binary, comp binary"
-    close = saved(blocks.groupBy("key", "i", "j").applyInArrow(near, spec), "omh-close")
-
-    def link(block: pa.Table) -> pa.Table:
-        x, y, comp = find(block)
-        seq = [np.frombuffer(r, np.int32) for r in block["runs"].to_pylist()]
-        root = list(range(int(comp.max()) + 1))
-
-        def top(c: int) -> int:
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
-        found = []
-        for p, q in zip(x.tolist(), y.tolist(), strict=True):
-            c, d = top(comp[p]), top(comp[q])
-            if c != d and sequence_similarity(seq[p], seq[q], least) > 0:
-                root[max(c, d)] = min(c, d)
-                found.append((p, q))
-        ids = block["id"].to_pylist()
-        return pa.table({"a": pa.array([ids[p] for p, _ in found], pa.binary()), "b": pa.array([ids[q] for _, q in found], pa.binary())})
-
-    full = close.join(items.select("id", "n", "keys", "sample"), "id").join(runs.withColumnRenamed("digest", "id"), "id")
-    more = saved(full.groupBy("key", "i", "j").applyInArrow(link, "a binary, b binary"), "omh-more")
-    if not more.isEmpty():
-        comps = saved(components(linked.union(more)), "omh-comps")
-
+    members = members_of(items)
+    listed = members.select("id").distinct()
+    runs = saved(_runs_of(docs).join(listed, "id", "left_semi").dropDuplicates(["id"]), "omh-runs")
+    rules = Rules(_samples, _agreement, _enough, lambda a, b: sequence_similarity(a, b, least) > 0, least, least / (1 + least))
+    comps = similar_components(items, members, runs, rules)
     grouped = items.join(comps, "id", "left").select("id", "doc_id", "copies", F.coalesce("component", "id").alias("comp"))
     classes = saved(grouped.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("members")).where("members > 1"), "omh-classes")
     return saved(grouped.join(classes, "comp").select(F.col("id").alias("digest"), "class_id", "members", "comp"), "omh-result")

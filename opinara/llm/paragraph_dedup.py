@@ -138,7 +138,7 @@ def repeated_paragraphs(
     payload = paragraphs.select("text").mapInArrow(sets, "id binary, runs binary")
     payload = saved(payload.join(listed, "id", "left_semi").dropDuplicates(["id"]), "paragraph-sets")
     # The smallest hashes estimate the similarity with a deviation of 0.05; at 0.8 fewer than 40 of 72 agree once in 10^6.
-    rules = Rules(_samples, _agreement, lambda n, m: 40, lambda a, b: _jaccard(a, b) >= least, 0.5 * least)
+    rules = Rules(_samples, _agreement, lambda n, m: 40, lambda a, b: _jaccard(a, b) >= least, 0.5 * least, least / (1 + least))
     comps = similar_components(items, members, payload, rules)
     order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"), F.col("version"), F.col("paragraph"))
     places = sketched.select("doc_id", "version", "paragraph", "id").dropDuplicates(["doc_id", "version", "paragraph"])

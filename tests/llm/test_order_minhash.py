@@ -58,7 +58,9 @@ def test_words_hash_alike_wherever_they_stand():
     assert len(set(by_word.values())) == len(by_word)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("part", [200_000, 90])
+def test_components(spark, monkeypatch, part):
+    monkeypatch.setattr("opinara.llm.components.PART_EDGES", part)
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5)]
     edges += [(2000, k) for k in range(2001, 2300)]
