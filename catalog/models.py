@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import query
@@ -102,7 +104,7 @@ def _(spark, sf):
 
 # Sentiment models.
 
-_FEATURES = 2000
+_FEATURES = 7000
 
 
 def _tables(spark, sf):
@@ -211,48 +213,72 @@ def _topic_texts(spark, sf):
     return reviews(spark, sf).withColumn("texto_limpio", clean_letters(F.col("content")))
 
 
-def _segment(spark, sf):
-    one = _topic_texts(spark, sf).where("app = 'AppA' and sentiment = 'positive'")
-    return one.select("reviewId", "texto_limpio", F.split("texto_limpio", " ").alias("tokens"))
+_SEGMENTS = [(a, s) for a in ("AppA", "AppB") for s in ("negative", "neutral", "positive")]
+
+
+def _segments(spark, sf):
+    """(app, sentiment, rows) of every segment; the texts are written once and read by partition."""
+    texts = _topic_texts(spark, sf).select("reviewId", "app", "sentiment", "texto_limpio")
+    path = scratch_path(spark, "segments")
+    texts.write.partitionBy("app", "sentiment").parquet(path)
+    rows = spark.read.parquet(path).withColumn("tokens", F.split("texto_limpio", " "))
+    for a, s in _SEGMENTS:
+        one = rows.where((F.col("app") == a) & (F.col("sentiment") == s))
+        if not one.isEmpty():
+            yield a, s, one
+
+
+def _stacked(parts):
+    return reduce(DataFrame.union, parts)
 
 
 @query("m12_kmeans_assign")
 def _(spark, sf):
-    features = saved(tp.tfidf_features(_segment(spark, sf), "texto_limpio", stop_words=STOP, keep=["reviewId"]), "features")
-    model, _ = tp.kmeans_best(features, 4, n_init=3)
-    return model.transform(features).select("reviewId", "kmeans_cluster")
+    parts = []
+    for a, s, one in _segments(spark, sf):
+        features = saved(tp.tfidf_features(one, "texto_limpio", stop_words=STOP, keep=["reviewId"]), "features")
+        model, _ = tp.kmeans_best(features, 4)
+        parts.append(model.transform(features).select("reviewId", F.lit(a).alias("app"), F.lit(s).alias("sentiment"), "kmeans_cluster"))
+    return _stacked(parts)
 
 
 @query("m13_elbow_sweep")
 def _(spark, sf):
     rows = []
-    texts = _topic_texts(spark, sf)
-    for a in ("AppA", "AppB"):
-        for s in ("negative", "neutral", "positive"):
-            one = texts.where((F.col("app") == a) & (F.col("sentiment") == s))
-            features = tp.tfidf_features(one, "texto_limpio", stop_words=STOP)
-            rows += [(a, s, k, i) for k, i in tp.elbow_sweep(features, n_init=1)]
+    for a, s, one in _segments(spark, sf):
+        features = tp.tfidf_features(one, "texto_limpio", stop_words=STOP)
+        rows += [(a, s, k, i) for k, i in tp.elbow_sweep(features, n_init=1)]
     return spark.createDataFrame(rows, "app string, sentiment string, k int, inertia double")
 
 
-def _lda(spark, sf, k=4, passes=3):
-    bow, vocabulary = tp.with_counts(saved(_segment(spark, sf), "segment"), "tokens", max_vocab=5000)
-    return bow, vocabulary, tp.fit_lda(bow, k, passes)
-
-
 @query("m14_lda_fit")
 def _(spark, sf):
-    _, vocabulary, model = _lda(spark, sf)
-    words = tp.top_topic_words(model, vocabulary, 10)
-    rows = [(t, i, w) for t, ws in enumerate(words) for i, w in enumerate(ws)]
-    return spark.createDataFrame(rows, "topic int, rank int, word string")
+    rows = []
+    for a, s, one in _segments(spark, sf):
+        bow, vocabulary = tp.with_counts(one, "tokens")
+        words = tp.top_topic_words(tp.fit_lda(bow), vocabulary, 10)
+        rows += [(a, s, t, i, w) for t, ws in enumerate(words) for i, w in enumerate(ws)]
+    return spark.createDataFrame(rows, "app string, sentiment string, topic int, rank int, word string")
 
 
-@query("m15_topic_probabilities")
+@query(
+    "m15_topic_probabilities",
+    sql("reviews", "select reviewId, app, sentiment, 4 as n_topics, true as adds_up, true as non_negative from reviews"),
+)
 def _(spark, sf):
-    bow, _, model = _lda(spark, sf)
-    p = tp.with_topic_probabilities(bow, model)
-    return p.select("reviewId", *[F.col("lda_probs")[i].alias(f"Prob_Topico_{i}") for i in range(4)])
+    """Every review has four probabilities, none negative, that add up to one."""
+    parts = []
+    for a, s, one in _segments(spark, sf):
+        bow, _ = tp.with_counts(one, "tokens")
+        p = tp.with_topic_probabilities(bow, tp.fit_lda(bow))
+        total = F.aggregate("lda_probs", F.lit(0.0), lambda x, y: x + y)
+        parts.append(
+            p.select(
+                "reviewId", F.lit(a).alias("app"), F.lit(s).alias("sentiment"), F.size("lda_probs").alias("n_topics"),
+                (F.abs(total - 1) < 1e-6).alias("adds_up"), F.forall("lda_probs", lambda x: x >= 0).alias("non_negative"),
+            )
+        )
+    return _stacked(parts)
 
 
 _TOPIC_WORDS = [["the", "and", "of", "onin", "ering"], ["la", "le", "les", "du", "en"]]
@@ -316,20 +342,20 @@ def _(spark, sf):
 
 @query("m16_coherence_cv_sweep")
 def _(spark, sf):
-    """Mean c_v of the LDA topics for k = 2 .. 6 on one segment."""
-    segment = saved(_segment(spark, sf), "segment")
-    bow, vocabulary = tp.with_counts(segment, "tokens", max_vocab=5000)
+    """Mean c_v of the LDA topics for k = 2 .. 6 in every segment."""
     rows = []
-    for k in range(2, 7):
-        words = tp.top_topic_words(tp.fit_lda(bow, k, passes=2), vocabulary)
-        rows.append((k, co.coherence_cv(segment, words).agg(F.avg("coherence")).first()[0]))
-    return spark.createDataFrame(rows, "k int, coherence double")
+    for a, s, one in _segments(spark, sf):
+        bow, vocabulary = tp.with_counts(one, "tokens")
+        for k in range(2, 7):
+            words = tp.top_topic_words(tp.fit_lda(bow, k, passes=5), vocabulary)
+            rows.append((a, s, k, co.coherence_cv(one, words).agg(F.avg("coherence")).first()[0]))
+    return spark.createDataFrame(rows, "app string, sentiment string, k int, coherence double")
 
 
 @query("m19_topic_table")
 def _(spark, sf):
     segments = [(a, s) for a in ("AppA", "AppB") for s in ("positive", "negative", "neutral")]
     texts = _topic_texts(spark, sf).drop("country", "city")
-    return tp.topic_table(texts, segments, tp.topic_names(spark), n_init=2, passes=2, stop_words=STOP).withColumn(
+    return tp.topic_table(texts, segments, tp.topic_names(spark), stop_words=STOP).withColumn(
         "date", F.col("date").cast("string")
     )

@@ -110,20 +110,22 @@ def assign_to_centroids(
     return found.select(F.col("_id").alias(id_col), cluster, "dist_nano")
 
 
-def with_counts(df: DataFrame, tokens: str, max_vocab: int = 100_000) -> tuple[DataFrame, list[str]]:
-    """Add the count vector `bow` and give its vocabulary (most frequent first)."""
-    stats = term_stats(df, tokens)
-    vocabulary = [r["term"] for r in stats.orderBy(F.desc("ctf"), "term").limit(max_vocab).collect()]
+def with_counts(df: DataFrame, tokens: str, max_vocab: int | None = None) -> tuple[DataFrame, list[str]]:
+    """Add the count vector `bow` and give its vocabulary (most frequent first).
+
+    The vocabulary is that of the whole corpus unless the caller bounds it.
+    """
+    stats = term_stats(df, tokens).orderBy(F.desc("ctf"), "term")
+    vocabulary = [r["term"] for r in (stats if max_vocab is None else stats.limit(max_vocab)).select("term").collect()]
     return count_terms(df, vocabulary, tokens, "bow"), vocabulary
 
 
-def fit_lda(bow: DataFrame, k: int = 4, passes: int = 10, seed: int = 42, chunk: int = 2000, column: str = "bow") -> LDAModel:
+def fit_lda(bow: DataFrame, k: int = 4, passes: int = 10, seed: int = 42, rate: float = 1.0, column: str = "bow") -> LDAModel:
     """Online variational LDA over `passes` passes of the corpus.
 
-    A step uses `chunk` documents, but never less than 5 % of the corpus, so the
-    number of steps stays bounded when the corpus grows.
+    A step uses the share `rate` of the corpus, the same at any size. Each step reads
+    the whole (persisted) corpus, so a large rate means few reads for each pass.
     """
-    rate = min(1.0, max(chunk / max(1, bow.count()), 0.05))
     return LDA(
         k=k, maxIter=max(1, round(passes / rate)), seed=seed, featuresCol=column, optimizer="online",
         subsamplingRate=rate, learningOffset=1.0, learningDecay=0.5, docConcentration=[1.0 / k],
