@@ -59,6 +59,8 @@ def augment(
     order: str = "reviewId",
     max_rounds: int = 20,
     path: str | None = None,
+    commit_every: int = 500,
+    max_commits: int = 100,
 ) -> DataFrame:
     """Append model-written rows until every wanted class has the majority size.
 
@@ -67,9 +69,10 @@ def augment(
     that still lack rows are asked again; if some still do after max_rounds rounds, an
     error names them, and the replies stay stored.
 
-    Replies are appended to the table at `path` as they come, partitioned by
-    class; a run that is started again with the same path asks only for what is
-    not stored yet.
+    Replies are appended to the table at `path`, partitioned by class, after about every
+    `commit_every` requests (more where a round would need over `max_commits` writes);
+    a run that is started again with the same path asks only for what is not stored
+    yet. A round in which every reply fails is an error.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "replies")
@@ -107,11 +110,16 @@ def augment(
         if turn == max_rounds:
             raise RuntimeError(f"classes still short after {max_rounds} rounds: {dict(lack)}; replies are kept in {path}")
         requests = plan_requests(spark.createDataFrame(lack, deficit_schema), shown, label, prompt, batch)
-        done = replies().where(F.col("round") == turn).select(label, "request_no")
-        new = ask(requests.join(done, [label, "request_no"], "left_anti"), reply, key=[label, "request_no"])
-        new.select(F.lit(turn).alias("round"), "request_no", "n_wanted", "reply", label).write.mode(
-            "append"
-        ).partitionBy(label).parquet(path)
+        commits = max(1, min(max_commits, -(-sum(-(-n // batch) for _, n in lack) // commit_every)))
+        for part in range(commits):
+            mine = requests.where(F.pmod(F.xxhash64(label, "request_no"), F.lit(commits)) == part)
+            done = replies().where(F.col("round") == turn).select(label, "request_no")
+            new = ask(mine.join(done, [label, "request_no"], "left_anti"), reply, key=[label, "request_no"])
+            new.select(F.lit(turn).alias("round"), "request_no", "n_wanted", "reply", label).write.mode(
+                "append"
+            ).partitionBy(label).parquet(path)
+        if replies().where((F.col("round") == turn) & F.col("reply").isNotNull()).isEmpty():
+            raise RuntimeError(f"no request of round {turn} got a reply")
     return df.unionByName(rows(replies()).select(text, label), allowMissingColumns=True)
 
 

@@ -354,6 +354,37 @@ def test_augmentation_that_cannot_reach_its_target_fails(spark):
         augment(df, "label", "content", short, lambda c, n, t: F.concat_ws(" ", c.cast("string"), n.cast("string")), max_rounds=1)
 
 
+def test_a_stopped_round_goes_on_where_it_was(spark, tmp_path, monkeypatch):
+    from opinara.operators import generate
+
+    df = spark.createDataFrame([(str(k), f"text {k}", int(k == 0)) for k in range(12)], "reviewId string, content string, label int")
+    log = tmp_path / "asked"
+
+    def reply(batch):
+        with open(log, "a") as f:
+            f.writelines("x\n" for _ in batch)
+        return write_reviews(batch)
+
+    args = (df, "label", "content", reply, prompts.sector_prompt("app"))
+    options = {"batch": 1, "path": str(tmp_path / "replies"), "commit_every": 1}
+    calls, real = [], generate.ask
+
+    def stops(*a, **k):
+        calls.append(1)
+        if len(calls) == 4:
+            raise KeyboardInterrupt
+        return real(*a, **k)
+
+    monkeypatch.setattr(generate, "ask", stops)
+    with pytest.raises(KeyboardInterrupt):
+        augment(*args, **options)
+    first = len(log.read_text().splitlines())
+    monkeypatch.setattr(generate, "ask", real)
+    full = augment(*args, **options)
+    assert dict(full.groupBy("label").count().collect()) == {0: 11, 1: 11}
+    assert 0 <= first < 10 and len(log.read_text().splitlines()) == 10
+
+
 def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
     from types import SimpleNamespace
 
