@@ -231,7 +231,9 @@ def frames_of(spark: SparkSession, bundles: DataFrame) -> DataFrame:
                     ["bundle", "frame", "frame_start", "frame_bytes"],
                 )
 
-    return bundles.select("bundle").distinct().mapInArrow(run, "bundle string, frame int, frame_start bigint, frame_bytes bigint")
+    names = bundles.select("bundle").distinct()
+    tasks = max(1, -(-names.count() // 64))  # opening a footer takes longer than its row is wide
+    return names.repartition(tasks, "bundle").mapInArrow(run, "bundle string, frame int, frame_start bigint, frame_bytes bigint")
 
 
 def read_frames(frames: DataFrame, payloads: bool = True, task_bytes: int = 32 << 20) -> DataFrame:
