@@ -230,25 +230,29 @@ def _calibrate(model: Model, texts: list[np.ndarray], labels: np.ndarray, langs:
             model.thresholds[lang] = float(_sigmoid(np.array(_best_logit(logits[mine] - cut, labels[mine]))))
 
 
-def train(labelled: DataFrame, max_each: int = 3000) -> Model:
-    """Fit on (text, toxic, lang): at most `max_each` rows of each label, the first by hash.
+def train(docs: DataFrame, labels: DataFrame, max_each: int = 3000) -> Model:
+    """Fit on docs (doc_id, text, lang) with labels (doc_id, toxic 0 or 1).
 
-    Only word rows, twelve bytes a word, come to the driver. Rows with another or no label are left out.
+    At most `max_each` ids of each label are learnt from, the first by hash of the id.
+    They are chosen among the labels alone, so that only these texts leave their tasks,
+    as word rows of twelve bytes a word. Labels that are null or of another value, and
+    ids without a document, teach nothing; a document with several labels counts once for each.
     """
-    rows = labelled.where("toxic in (0, 1)").select(
-        F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"), F.col("lang").cast("string").alias("lang")
+    known = labels.where("toxic in (0, 1) and doc_id is not null")
+    known = known.select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("__toxic")).distinct()
+    chosen = [known.where(F.col("__toxic") == k).orderBy(F.xxhash64("__id"), "__id").limit(max_each) for k in (0, 1)]
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     )
+    sample = rows.join(F.broadcast(chosen[0].union(chosen[1])), F.col("id") == F.col("__id"))
 
     def build():
         return lambda batch: pa.array([t.tobytes() for t in word_rows(utf8(batch.column(0)))], pa.binary())
 
-    sample = [
-        add_column(rows.where(F.col("toxic") == k).orderBy(F.xxhash64("text"), "text").limit(max_each), "words", "binary", build, ["text"])
-        .select("words", "toxic", "lang").toArrow().to_pylist()
-        for k in (0, 1)
-    ]
-    found = sample[0] + sample[1]
-    return fit([np.frombuffer(r["words"], np.int32).reshape(-1, 3) for r in found], np.array([r["toxic"] for r in found]), [r["lang"] for r in found])
+    found = add_column(sample.select("id", "text", "lang", "__toxic"), "words", "binary", build, ["text"])
+    found = found.select("id", "words", "lang", "__toxic").toArrow().to_pylist()
+    found.sort(key=lambda r: (r["id"], r["__toxic"], r["words"]))
+    return fit([np.frombuffer(r["words"], np.int32).reshape(-1, 3) for r in found], np.array([r["__toxic"] for r in found]), [r["lang"] for r in found])
 
 
 def toxicity(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
