@@ -24,6 +24,7 @@ MIN_CHARS = 20
 MAX_EDITS = 2
 BLOCK = 512
 _PART_BYTES = 32 << 20
+_MAP_WORDS = 1 << 19
 
 
 def allowed(length: int) -> int:
@@ -222,7 +223,9 @@ def line_links(lines: DataFrame) -> DataFrame:
     met = saved(_meetings(published), "line-meetings")
     sizes = saved(met.groupBy("key").agg(F.count("*").alias("size")), "line-keys")
     wanted = met.select(F.col("line").alias("h1")).distinct()
-    texts = lines.select("h1", "h2", "line").join(wanted, "h1", "left_semi").dropDuplicates(["h1", "h2"])
+    likely = _likely(lines.select("h1", "h2", "line"), wanted)
+    # An inner join with distinct hashes: a semi-join would be moved below the map.
+    texts = likely.join(wanted, "h1").dropDuplicates(["h1", "h2"])
     texts = saved(texts.select(F.col("h1").alias("line"), _line_id().alias("id"), F.col("line").alias("text")), "line-texts")
     parts_of = F.ceil(F.col("size") / BLOCK).cast("int")
     cut = met.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("line"), parts_of).cast("int"))
@@ -231,6 +234,19 @@ def line_links(lines: DataFrame) -> DataFrame:
     return cut.join(texts, "line").groupBy("key", "i", "j").applyInArrow(_verified, "a binary, b binary")
 
 
+def _likely(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The lines whose bit is set in a map of 2^25 bits of the wanted hashes, before they are shuffled.
+
+    The map is broadcast: at most _MAP_WORDS rows, whatever the number of hashes. A full
+    map lets all lines through; the join that follows is exact either way.
+    """
+    word = lambda h: F.pmod(F.shiftright(h, 6), F.lit(_MAP_WORDS))
+    bit = lambda h: F.expr(f"shiftleft(1L, cast({h} & 63 as int))")
+    words = wanted.groupBy(word("h1").alias("word")).agg(F.bit_or(bit("h1")).alias("bits"))
+    hits = lines.withColumn("word", word("h1")).join(F.broadcast(saved(words, "line-map")), "word")
+    return hits.where(F.col("bits").bitwiseAND(bit("h1")) != 0).select("h1", "h2", "line")
+
+
 def _line_id() -> Column:
     return F.unhex(F.concat(F.lpad(F.hex("h1"), 16, "0"), F.lpad(F.hex("h2"), 16, "0")))
 
