@@ -10,7 +10,7 @@ from opinara.llm.common import WORD_BYTES
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_PIECE = 1 << 21
+_PIECE = 1 << 19
 _COEFFICIENTS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _powers: dict[int, np.ndarray] = {}
 
