@@ -3,13 +3,16 @@
 A neighbour graph starts from random hyperplane cells and is refined through joins of
 neighbours of neighbours. Edges at or above the threshold give components. A vector
 whose list holds nothing below the threshold is saturated: its list is enlarged to its
-whole component, compared in blocks, and its places in the graph go to vectors outside.
+whole component, compared in blocks, and saturated vectors search again among those of
+other components, from fresh cells. Every pair at the threshold that any block meets
+counts as a link, whether or not it stays in a list.
 A sample is compared with all vectors to audit the recall; short of it, descent goes on.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,7 @@ TABLES = 6
 CELL = 256
 BLOCK = 512
 _LIST = "array<struct<sim: double, id: binary>>"
-_STATE = f"id binary, near {_LIST}"
+_STATE = f"id binary, near {_LIST}, link binary"
 
 
 def _items(vectors: DataFrame) -> tuple[DataFrame, type]:
@@ -61,22 +64,57 @@ def _cosines(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> np
     return (x @ y.T) / (nx[:, None] * ny[None, :])
 
 
-def _top_lists(ids: list[bytes], sims: np.ndarray, floors: np.ndarray, names: list[bytes], k: int) -> pa.Table:
-    """For each row its best k columns above its floor, as (id, near)."""
-    out_ids, out = [], []
+def _roots(hit: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix the first row that it is connected with."""
+    root, waiting = np.arange(len(hit)), hit.any(axis=1)
+    for r in np.flatnonzero(waiting).tolist():
+        front = np.array([r]) if waiting[r] else np.array([], int)
+        waiting[r] = False
+        while len(front):
+            root[front] = r
+            front = np.flatnonzero(hit[front].any(axis=0) & waiting)
+            waiting[front] = False
+    return root
+
+
+def _met_in(ids: list[bytes], sims: np.ndarray, floors: np.ndarray, k: int, threshold: float) -> pa.Table:
+    """For each row its best k columns above its floor, and one row that links at the threshold connect it with."""
+    hit = sims >= threshold
+    root = _roots(hit | hit.T)
+    out_ids, out, links = [], [], []
     k = min(k, sims.shape[1])
     best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
     for r in range(len(ids)):
-        found = [{"sim": float(sims[r, c]), "id": names[c]} for c in best[r].tolist() if sims[r, c] > floors[r]]
-        if found:
+        found = [{"sim": float(sims[r, c]), "id": ids[c]} for c in best[r].tolist() if sims[r, c] > floors[r]]
+        if found or root[r] != r:
             out_ids.append(ids[r])
-            out.append(found)
+            out.append(found or None)
+            links.append(ids[root[r]] if root[r] != r else None)
     kind = pa.list_(pa.struct([("sim", pa.float64()), ("id", pa.binary())]))
-    return pa.table({"id": pa.array(out_ids, pa.binary()), "near": pa.array(out, kind)})
+    return pa.table({"id": pa.array(out_ids, pa.binary()), "near": pa.array(out, kind), "link": pa.array(links, pa.binary())})
 
 
-def _first_graph(items: DataFrame, n: int, kind, seed: int) -> DataFrame:
-    """(id, near) from the cells of TABLES sets of random hyperplanes; large cells are cut into chunks."""
+def _lists(found: DataFrame) -> DataFrame:
+    return found.where("near is not null").select("id", "near")
+
+
+def _links(found: DataFrame) -> DataFrame:
+    """(a, b) that connect what links at the threshold connect in the blocks."""
+    return found.where("link is not null").select(F.col("id").alias("a"), F.col("link").alias("b"))
+
+
+def _different(column: pa.ChunkedArray) -> np.ndarray:
+    """Which pairs of rows are of different components."""
+    codes: dict = {}
+    comp = np.array([codes.setdefault(c, len(codes)) for c in column.to_pylist()])
+    return comp[:, None] != comp[None, :]
+
+
+def _first_graph(items: DataFrame, n: int, kind, seed: int, threshold: float, outside: bool = False) -> DataFrame:
+    """(id, near, link) from the cells of TABLES sets of random hyperplanes; large cells are cut into chunks.
+
+    With `outside`, only pairs of different components (column comp of items) count.
+    """
     bits = max(1, round(np.log2(max(2, n / CELL))))
 
     def cells(batches):
@@ -91,10 +129,12 @@ def _first_graph(items: DataFrame, n: int, kind, seed: int) -> DataFrame:
                 keys = signs @ (1 << np.arange(bits)) + (np.arange(TABLES) << bits)
                 taken = batch.take(pa.array(np.repeat(rows, TABLES)))
                 yield pa.RecordBatch.from_arrays(
-                    [taken.column(0), taken.column(1), pa.array(keys.ravel() * 1_000_003 + int(size))], ["id", "vec", "cell"]
+                    [taken.column(0), taken.column(1), taken.column(2), pa.array(keys.ravel() * 1_000_003 + int(size))],
+                    ["id", "vec", "comp", "cell"],
                 )
 
-    dealt = items.select("id", "vec").mapInArrow(cells, "id binary, vec binary, cell bigint")
+    comp = F.col("comp") if outside else F.lit(None).cast("binary").alias("comp")
+    dealt = items.select("id", "vec", comp).mapInArrow(cells, "id binary, vec binary, comp binary, cell bigint")
     sizes = saved(dealt.groupBy("cell").agg(F.ceil(F.count("*") / (4 * CELL)).cast("int").alias("parts")), "nn-cells")
     dealt = dealt.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("id"), "parts"))
 
@@ -102,10 +142,12 @@ def _first_graph(items: DataFrame, n: int, kind, seed: int) -> DataFrame:
         ids = block["id"].to_pylist()
         x, nx = _matrix(block["vec"].to_pylist(), kind)
         sims = _cosines(x, nx, x, nx)
+        if outside:
+            sims[~_different(block["comp"])] = -2
         np.fill_diagonal(sims, -2)
-        return _top_lists(ids, sims, np.full(len(ids), -1.5), ids, NEIGHBOURS)
+        return _met_in(ids, sims, np.full(len(ids), -1.5), NEIGHBOURS, threshold)
 
-    return dealt.groupBy("cell", "chunk").applyInArrow(best, _STATE)
+    return saved(dealt.groupBy("cell", "chunk").applyInArrow(best, _STATE), "nn-first")
 
 
 def _merged(lists: DataFrame, k: int) -> DataFrame:
@@ -114,11 +156,16 @@ def _merged(lists: DataFrame, k: int) -> DataFrame:
     return pool.select("id", F.slice(F.sort_array(F.array_distinct("near"), asc=False), 1, k).alias("near"))
 
 
-def _descended(graph: DataFrame, items: DataFrame, n: int, kind, outside: bool, rounds: int = 12) -> DataFrame:
-    """The graph after joins of neighbours' neighbours, until fewer than 1 in 1000 entries are new.
+def _descended(
+    graph: DataFrame, items: DataFrame, n: int, kind, threshold: float, guides: DataFrame | None = None, rounds: int = 12
+) -> tuple[DataFrame, DataFrame]:
+    """The graph after joins of neighbours' neighbours, until fewer than 1 in 1000 entries are new; and the links met.
 
-    With `outside`, only pairs of different components (column comp of items) count.
+    With `guides` (id, o), only pairs of different components (column comp of items) count;
+    the guides are further neighbours, through which a vector meets those of its company.
     """
+    outside = guides is not None
+    links = items.sparkSession.createDataFrame([], "a binary, b binary")
     state = saved(graph.withColumn("fresh", F.transform("near", lambda s: s["id"])), "nn-state")
 
     def joined(block: pa.Table) -> pa.Table:
@@ -128,23 +175,24 @@ def _descended(graph: DataFrame, items: DataFrame, n: int, kind, outside: bool,
         fresh = np.asarray(block["fresh"].combine_chunks())
         skip = ~(fresh[:, None] | fresh[None, :])
         if outside:
-            codes: dict = {}
-            comp = np.array([codes.setdefault(c, len(codes)) for c in block["comp"].to_pylist()])
-            skip |= comp[:, None] == comp[None, :]
+            skip |= ~_different(block["comp"])
         sims[skip] = -2
         np.fill_diagonal(sims, -2)
-        return _top_lists(ids, sims, np.asarray(block["floor"].combine_chunks()), ids, NEIGHBOURS)
+        return _met_in(ids, sims, np.asarray(block["floor"].combine_chunks()), NEIGHBOURS, threshold)
 
     for _ in range(rounds):
         edges = state.select("id", "fresh", F.explode("near.id").alias("o")).select("id", "o", F.expr("array_contains(fresh, o)").alias("new"))
+        if outside:
+            edges = edges.union(guides.select("id", "o", F.lit(False).alias("new")))
         both = edges.select(F.col("id").alias("v"), F.col("o").alias("u"), "new").union(edges.select(F.col("o").alias("v"), F.col("id").alias("u"), "new"))
         both = saved(both.groupBy("v", "u").agg(F.max("new").alias("fresh")), "nn-edges")
         busy = both.groupBy("v").agg(F.max("fresh").alias("any"), F.ceil(F.count("*") / 128).cast("int").alias("parts")).where("any")
         floor = F.when(F.size("near") >= NEIGHBOURS, F.element_at("near", -1)["sim"]).otherwise(-1.5)
         facts = items.join(state.select("id", floor.alias("floor")), "id", "left").select(F.col("id").alias("u"), "vec", "comp", F.coalesce("floor", F.lit(-1.5)).alias("floor"))
         rows = both.join(saved(busy.drop("any"), "nn-busy"), "v").withColumn("part", F.pmod(F.xxhash64("u"), "parts"))
-        found = rows.join(saved(facts, "nn-facts"), "u").groupBy("v", "part", F.octet_length("vec")).applyInArrow(joined, _STATE)
-        merged = _merged(state.select("id", "near").union(found), NEIGHBOURS)
+        found = saved(rows.join(saved(facts, "nn-facts"), "u").groupBy("v", "part", F.octet_length("vec")).applyInArrow(joined, _STATE), "nn-found")
+        links = links.union(_links(found))
+        merged = _merged(state.select("id", "near").union(_lists(found)), NEIGHBOURS)
         before = state.select("id", F.transform("near", lambda s: s["id"]).alias("was"))
         state = merged.join(before, "id", "left").select(
             "id", "near", F.array_except(F.transform("near", lambda s: s["id"]), F.coalesce("was", F.array().cast("array<binary>"))).alias("fresh")
@@ -152,7 +200,7 @@ def _descended(graph: DataFrame, items: DataFrame, n: int, kind, outside: bool,
         state = saved(state, "nn-state")
         if (state.agg(F.sum(F.size("fresh"))).first()[0] or 0) < 0.001 * n * NEIGHBOURS:
             break
-    return state.select("id", "near")
+    return state.select("id", "near"), links
 
 
 def _edges(graph: DataFrame, threshold: float) -> DataFrame:
@@ -233,17 +281,23 @@ def vector_links(vectors: DataFrame, threshold: float = 0.95, least_recall: floa
     items = rows.where("id is not null").groupBy("id").agg(F.any_value("vec").alias("vec"), F.count("*").alias("copies"))
     items = saved(items.withColumn("comp", F.col("id")), "nn-items")
     n = items.count()
-    graph, links, comps = None, None, None
+    graph, links, comps, edges = None, None, None, None
     for attempt in range(attempts if n > 1 else 0):
-        first = _first_graph(items, n, kind, seed=attempt)
-        graph = _merged(first if graph is None else first.union(graph), NEIGHBOURS)
-        graph = _descended(graph, items, n, kind, outside=False)
-        edges = saved(_edges(graph, threshold), "nn-links")
+        first = _first_graph(items, n, kind, attempt, threshold)
+        graph = _merged(_lists(first) if graph is None else _lists(first).union(graph), NEIGHBOURS)
+        graph, met = _descended(graph, items, n, kind, threshold)
+        more = _edges(graph, threshold).union(_links(first)).union(met)
+        edges = saved((more if edges is None else edges.union(more)).distinct(), "nn-links")
         comps = saved(components(edges), "nn-components")
+        # A link that no list holds was squeezed out of both, so both its ends are saturated.
         full = graph.where((F.size("near") >= NEIGHBOURS) & (F.element_at("near", -1)["sim"] >= threshold))
-        while not full.isEmpty():
-            placed = saved(items.drop("comp").join(comps, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component"), "nn-placed")
-            more = saved(_edges(_descended(_outside(graph, placed), placed, n, kind, outside=True), threshold), "nn-links")
+        full = saved(items.drop("comp").join(full.select("id"), "id", "left_semi"), "nn-full")
+        n_full = full.count()
+        for turn in itertools.count(1):
+            crowd = saved(full.join(comps, "id").withColumnRenamed("component", "comp"), "nn-placed")
+            if crowd.select("comp").distinct().limit(2).count() < 2:
+                break
+            more = _outside_links(graph, crowd, n_full, kind, threshold, seed=attempt + 1000 * turn)
             if more.isEmpty():
                 break
             edges = saved(edges.union(more).distinct(), "nn-links")
@@ -266,11 +320,15 @@ def vector_links(vectors: DataFrame, threshold: float = 0.95, least_recall: floa
     )
 
 
-def _outside(graph: DataFrame, placed: DataFrame) -> DataFrame:
-    """The graph without entries inside a component, and with the reverse entries."""
-    comp = placed.select("id", "comp")
-    pairs = graph.select("id", F.explode("near").alias("o")).select("id", F.col("o.id").alias("other"), F.col("o.sim").alias("sim"))
-    pairs = pairs.join(comp, "id").join(comp.select(F.col("id").alias("other"), F.col("comp").alias("there")), "other").where("comp <> there")
-    pairs = saved(pairs, "nn-outside")
-    both = pairs.select("id", "sim", "other").union(pairs.select(F.col("other").alias("id"), "sim", F.col("id").alias("other")))
-    return _merged(both.select("id", F.array(F.struct("sim", F.col("other").alias("id"))).alias("near")), NEIGHBOURS)
+def _outside_links(graph: DataFrame, crowd: DataFrame, n: int, kind, threshold: float, seed: int) -> DataFrame:
+    """(a, b): links between components of crowd, from fresh cells, the graph's own entries and a descent from both."""
+    first = _first_graph(crowd, n, kind, seed, threshold, outside=True)
+    among = crowd.select("id", "comp")
+    pairs = graph.select("id", F.explode("near").alias("o")).select("id", F.col("o.id").alias("o"), F.col("o.sim").alias("sim"))
+    pairs = saved(pairs.join(among, "id").join(among.select(F.col("id").alias("o"), F.col("comp").alias("there")), "o"), "nn-pairs")
+    apart = pairs.where("comp <> there")
+    both = apart.select("id", "sim", "o").union(apart.select(F.col("o").alias("id"), "sim", F.col("id").alias("o")))
+    start = both.select("id", F.array(F.struct("sim", F.col("o").alias("id"))).alias("near")).union(_lists(first))
+    guides = pairs.where("comp = there").select("id", "o")
+    found, met = _descended(_merged(start, NEIGHBOURS), crowd, n, kind, threshold, guides)
+    return saved(_edges(found, threshold).union(_links(first)).union(met).distinct(), "nn-links")

@@ -51,6 +51,20 @@ def test_clusters_copies_and_bridges(spark):
     assert found(df) == expected(rows)
 
 
+def test_links_between_saturated_groups(spark):
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x)
+    out = [rng.normal(size=32) for _ in range(300)]
+    for _ in range(3):
+        centre = unit(rng.normal(size=32))
+        for _ in range(20):  # each of 20, tight, and linked with all others of its centre
+            sub = unit(centre + 0.14 * unit(rng.normal(size=32)))
+            out += [sub + rng.normal(size=32) * 0.001 for _ in range(20)]
+    rows = [(k, [float(np.float32(v)) for v in x]) for k, x in enumerate(out)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    assert found(df) == expected(rows)
+
+
 def test_edge_cases(spark):
     nan = float("nan")
     rows = [
