@@ -6,17 +6,20 @@ whose list holds nothing below the threshold is saturated: its list is enlarged
 whole component, compared in blocks, and saturated vectors search again among those of
 other components, from fresh cells. Every pair at the threshold that any block meets
 counts as a link, whether or not it stays in a list.
-A sample is compared with all vectors to audit the recall; short of it, descent goes on.
+A sample is compared with all vectors to audit the recall; short of it, descent goes on,
+and it is an error if the last attempt falls short too. Large cells and hubs are cut
+anew in every table, hub, round and attempt.
 """
 
 from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.common import slices
@@ -110,6 +113,11 @@ def _different(column: pa.ChunkedArray) -> np.ndarray:
     return comp[:, None] != comp[None, :]
 
 
+def _cut(*salted) -> Column:
+    """A number below the column parts, drawn anew for each value of what follows the id."""
+    return F.pmod(F.xxhash64(*salted), "parts")
+
+
 def _first_graph(items: DataFrame, n: int, kind, seed: int, threshold: float, outside: bool = False) -> DataFrame:
     """(id, near, link) from the cells of TABLES sets of random hyperplanes; large cells are cut into chunks.
 
@@ -136,7 +144,7 @@ def _first_graph(items: DataFrame, n: int, kind, seed: int, threshold: float, ou
     comp = F.col("comp") if outside else F.lit(None).cast("binary").alias("comp")
     dealt = items.select("id", "vec", comp).mapInArrow(cells, "id binary, vec binary, comp binary, cell bigint")
     sizes = saved(dealt.groupBy("cell").agg(F.ceil(F.count("*") / (4 * CELL)).cast("int").alias("parts")), "nn-cells")
-    dealt = dealt.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("id"), "parts"))
+    dealt = dealt.join(sizes, "cell").withColumn("chunk", _cut("id", "cell", F.lit(seed)))
 
     def best(block: pa.Table) -> pa.Table:
         ids = block["id"].to_pylist()
@@ -157,7 +165,7 @@ def _merged(lists: DataFrame, k: int) -> DataFrame:
 
 
 def _descended(
-    graph: DataFrame, items: DataFrame, n: int, kind, threshold: float, guides: DataFrame | None = None, rounds: int = 12
+    graph: DataFrame, items: DataFrame, n: int, kind, threshold: float, seed: int, guides: DataFrame | None = None, rounds: int = 12
 ) -> tuple[DataFrame, DataFrame]:
     """The graph after joins of neighbours' neighbours, until fewer than 1 in 1000 entries are new; and the links met.
 
@@ -173,14 +181,15 @@ def _descended(
         x, nx = _matrix(block["vec"].to_pylist(), kind)
         sims = _cosines(x, nx, x, nx)
         fresh = np.asarray(block["fresh"].combine_chunks())
-        skip = ~(fresh[:, None] | fresh[None, :])
+        # A hub in parts shows other pairs in each round, so there no pair is known to have met.
+        skip = np.full(sims.shape, False) if block["parts"][0].as_py() > 1 else ~(fresh[:, None] | fresh[None, :])
         if outside:
             skip |= ~_different(block["comp"])
         sims[skip] = -2
         np.fill_diagonal(sims, -2)
         return _met_in(ids, sims, np.asarray(block["floor"].combine_chunks()), NEIGHBOURS, threshold)
 
-    for _ in range(rounds):
+    for number in range(rounds):
         edges = state.select("id", "fresh", F.explode("near.id").alias("o")).select("id", "o", F.expr("array_contains(fresh, o)").alias("new"))
         if outside:
             edges = edges.union(guides.select("id", "o", F.lit(False).alias("new")))
@@ -189,7 +198,7 @@ def _descended(
         busy = both.groupBy("v").agg(F.max("fresh").alias("any"), F.ceil(F.count("*") / 128).cast("int").alias("parts")).where("any")
         floor = F.when(F.size("near") >= NEIGHBOURS, F.element_at("near", -1)["sim"]).otherwise(-1.5)
         facts = items.join(state.select("id", floor.alias("floor")), "id", "left").select(F.col("id").alias("u"), "vec", "comp", F.coalesce("floor", F.lit(-1.5)).alias("floor"))
-        rows = both.join(saved(busy.drop("any"), "nn-busy"), "v").withColumn("part", F.pmod(F.xxhash64("u"), "parts"))
+        rows = both.join(saved(busy.drop("any"), "nn-busy"), "v").withColumn("part", _cut("u", "v", F.lit(seed), F.lit(number)))
         found = saved(rows.join(saved(facts, "nn-facts"), "u").groupBy("v", "part", F.octet_length("vec")).applyInArrow(joined, _STATE), "nn-found")
         links = links.union(_links(found))
         merged = _merged(state.select("id", "near").union(_lists(found)), NEIGHBOURS)
@@ -210,7 +219,7 @@ def _edges(graph: DataFrame, threshold: float) -> DataFrame:
 
 
 def _counted(items: DataFrame, comps: DataFrame, kind, threshold: float) -> DataFrame:
-    """(id, links): copies of other items linked with it, all pairs of each component compared in blocks."""
+    """(id, links, pairs): copies of other items linked with it, and these items; all pairs of each component compared in blocks."""
     mine = saved(items.select("id", "vec", "copies").join(comps, "id"), "nn-members")
     sizes = saved(mine.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "nn-sizes")
     cut = mine.join(sizes, "component").withColumn("chunk", F.pmod(F.xxhash64("id"), "parts").cast("int"))
@@ -223,43 +232,69 @@ def _counted(items: DataFrame, comps: DataFrame, kind, threshold: float) -> Data
         x, nx = _matrix(block["vec"].to_pylist(), kind)
         left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
         hit = _cosines(x[left], nx[left], x[right], nx[right]) >= threshold
-        links = np.zeros(len(x), np.int64)
+        links, pairs = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
         if i == j:
             np.fill_diagonal(hit, False)
         else:
             links[right] += hit.T @ copies[left]
+            pairs[right] += hit.sum(axis=0)
         links[left] += hit @ copies[right]
-        return pa.table({"id": block["id"], "links": pa.array(links)})
+        pairs[left] += hit.sum(axis=1)
+        return pa.table({"id": block["id"], "links": pa.array(links), "pairs": pa.array(pairs)})
+
+    blocks = cut.groupBy("component", "i", "j").applyInArrow(count, "id binary, links bigint, pairs bigint")
+    return blocks.groupBy("id").agg(F.sum("links").alias("links"), F.sum("pairs").alias("pairs"))
 
-    blocks = cut.groupBy("component", "i", "j").applyInArrow(count, "id binary, links bigint")
-    return blocks.groupBy("id").agg(F.sum("links").alias("links"))
 
+def audited(n: int) -> int:
+    """Items in the sample of an audit of n items."""
+    return min(n, max(200, math.ceil(4 * math.sqrt(n))))
 
-def audit(items: DataFrame, links: DataFrame, kind, threshold: float, sample: int = 200) -> tuple[int, int]:
-    """(links found, links there are) of `sample` items, the first by hash, against all items."""
-    chosen = items.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "vec").toArrow().to_pylist()
-    sent = items.sparkSession.sparkContext.broadcast(chosen)
+
+def audit(items: DataFrame, links: DataFrame, kind, threshold: float, sample: int, seed: int = 0) -> tuple[int, int]:
+    """(pairs found, pairs there are) of two samples against all items: `sample` of all items and of those with links.
+
+    Pairs of different items count once, however many copies they have. If neither
+    sample has a pair, one of 16 times as many items is taken.
+    """
+    order = [F.xxhash64("id", F.lit(seed)), F.col("id")]
+    linked = links.where("pairs > 0").orderBy(*order).limit(sample).select("id")
+    either = items.select("id").orderBy(*order).limit(sample).union(linked).distinct()
+    got, there = _audited(items, links, kind, threshold, items.select("id", "vec").join(either, "id", "left_semi"))
+    if there:
+        return got, there
+    return _audited(items, links, kind, threshold, items.orderBy(*order).limit(16 * sample).select("id", "vec"))
+
+
+def _audited(items: DataFrame, links: DataFrame, kind, threshold: float, sample: DataFrame) -> tuple[int, int]:
+    chosen = sample.toArrow().to_pylist()
+    place = {r["id"]: k for k, r in enumerate(chosen)}
+    sent = items.sparkSession.sparkContext.broadcast((chosen, place))
 
     def run(batches):
-        total = np.zeros(len(sent.value), np.int64)
-        sizes = np.array([len(r["vec"]) for r in sent.value])
+        chosen, place = sent.value
+        total = np.zeros(len(chosen), np.int64)
+        sizes = np.array([len(r["vec"]) for r in chosen])
+        groups = {}
+        for size in np.unique(sizes):
+            rows = np.flatnonzero(sizes == size)
+            groups[size] = [(part, *_matrix([chosen[k]["vec"] for k in part], kind)) for part in np.split(rows, range(4096, len(rows), 4096))]
         for batch in slices(batches, 1024):
             vecs, names = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            copies = np.asarray(batch.column(2))
             own = np.array([len(v) for v in vecs])
             for size in np.intersect1d(sizes, own):
-                a, b = np.flatnonzero(sizes == size), np.flatnonzero(own == size)
-                x, nx = _matrix([sent.value[k]["vec"] for k in a], kind)
+                b = np.flatnonzero(own == size)
                 y, ny = _matrix([vecs[k] for k in b], kind)
-                hit = _cosines(x, nx, y, ny) >= threshold
-                hit &= np.array([[sent.value[p]["id"] != names[q] for q in b] for p in a])
-                total[a] += hit @ copies[b]
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([sent.value[k]["id"] for k in some], pa.binary()), pa.array(total[some])], ["id", "links"])
-
-    there = items.select("id", "vec", "copies").mapInArrow(run, "id binary, links bigint").agg(F.sum("links")).first()[0] or 0
+                for part, x, nx in groups[size]:
+                    total[part] += (_cosines(x, nx, y, ny) >= threshold).sum(axis=1)
+            # Each chosen item met itself once.
+            for k in filter(None.__ne__, map(place.get, names)):
+                total[k] -= 1
+        yield pa.RecordBatch.from_arrays([pa.array([int(total.sum())])], ["pairs"])
+
+    there = items.select("id", "vec").mapInArrow(run, "pairs bigint").agg(F.sum("pairs")).first()[0] or 0
     ids = items.sparkSession.createDataFrame([(r["id"],) for r in chosen], "id binary")
-    return (links.join(F.broadcast(ids), "id").agg(F.sum("links")).first()[0] or 0), there
+    return (links.join(ids, "id").agg(F.sum("pairs")).first()[0] or 0), there
 
 
 def vector_links(vectors: DataFrame, threshold: float = 0.95, least_recall: float = 0.99, attempts: int = 3) -> DataFrame:
@@ -274,7 +309,8 @@ def vector_links(vectors: DataFrame, threshold: float = 0.95, least_recall: floa
     id. Labels and other columns are not read. An empty table gives no rows.
 
     If the audit finds fewer than `least_recall` of the links, the graph is joined with a
-    fresh set of cells and descends again, at most `attempts` times in all.
+    fresh set of cells and descends again, at most `attempts` times in all; a last
+    attempt that falls short too is an error.
     """
     found, kind = _items(vectors)
     rows = saved(found, "nn-rows")
@@ -285,7 +321,7 @@ def vector_links(vectors: DataFrame, threshold: float = 0.95, least_recall: floa
     for attempt in range(attempts if n > 1 else 0):
         first = _first_graph(items, n, kind, attempt, threshold)
         graph = _merged(_lists(first) if graph is None else _lists(first).union(graph), NEIGHBOURS)
-        graph, met = _descended(graph, items, n, kind, threshold)
+        graph, met = _descended(graph, items, n, kind, threshold, attempt)
         more = _edges(graph, threshold).union(_links(first)).union(met)
         edges = saved((more if edges is None else edges.union(more)).distinct(), "nn-links")
         comps = saved(components(edges), "nn-components")
@@ -303,9 +339,12 @@ def vector_links(vectors: DataFrame, threshold: float = 0.95, least_recall: floa
             edges = saved(edges.union(more).distinct(), "nn-links")
             comps = saved(components(edges), "nn-components")
         links = saved(_counted(items, comps, kind, threshold), "nn-counted")
-        got, there = audit(items, links, kind, threshold)
+        got, there = audit(items, links, kind, threshold, audited(n), attempt)
         if got >= least_recall * there:
             break
+    else:
+        if n > 1:
+            raise RuntimeError(f"{attempts} attempts found {got} of {there} audited links, less than a share of {least_recall}")
     spark = vectors.sparkSession
     links = links if links is not None else spark.createDataFrame([], "id binary, links bigint")
     comps = comps if comps is not None else spark.createDataFrame([], "id binary, component binary")
@@ -330,5 +369,5 @@ def _outside_links(graph: DataFrame, crowd: DataFrame, n: int, kind, threshold:
     both = apart.select("id", "sim", "o").union(apart.select(F.col("o").alias("id"), "sim", F.col("id").alias("o")))
     start = both.select("id", F.array(F.struct("sim", F.col("o").alias("id"))).alias("near")).union(_lists(first))
     guides = pairs.where("comp = there").select("id", "o")
-    found, met = _descended(_merged(start, NEIGHBOURS), crowd, n, kind, threshold, guides)
+    found, met = _descended(_merged(start, NEIGHBOURS), crowd, n, kind, threshold, seed, guides)
     return saved(_edges(found, threshold).union(_links(first)).union(met).distinct(), "nn-links")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pytest
 from brute import classes
 
+from opinara.llm import vector_links as V
 from opinara.llm.vector_links import vector_links
 
 
@@ -65,6 +67,28 @@ def test_links_between_saturated_groups(spark):
     assert found(df) == expected(rows)
 
 
+def test_cuts_change_with_table_and_attempt(spark):
+    ids = spark.range(200).selectExpr("cast(cast(id as string) as binary) as id", "4 as parts")
+    cuts = ids.select(*[V._cut("id", V.F.lit(cell), V.F.lit(seed)).alias(f"c{cell}{seed}") for cell in range(2) for seed in range(2)]).collect()
+    assert len({tuple(r[k] for r in cuts) for k in range(4)}) == 4 and {r[0] for r in cuts} == {0, 1, 2, 3}
+
+
+def test_audit_counts_pairs_once_and_short_recall_is_an_error(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(30, 16))
+    out = [b + rng.normal(size=16) * 0.01 for b in base for _ in range(2)]
+    rows = [(k, [float(np.float32(v)) for v in x]) for k, x in enumerate([*out, *[out[0], out[1]] * 500])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    raw, kind = V._items(df)
+    items = raw.groupBy("id").agg(V.F.any_value("vec").alias("vec"), V.F.count("*").alias("copies")).withColumn("comp", V.F.col("id")).localCheckpoint()
+    heavy = items.orderBy(V.F.desc("copies")).limit(2).select("id", V.F.lit(501).alias("links"), V.F.lit(1).alias("pairs")).localCheckpoint()
+    assert V.audit(items, heavy, kind, 0.95, 200) == (2, 60)
+    assert V.audited(10**6) > V.audited(10**4) > V.audited(100) == 100
+    monkeypatch.setattr(V, "audit", lambda *a: (9, 10))
+    with pytest.raises(RuntimeError, match="9 of 10"):
+        vector_links(df, attempts=1)
+
+
 def test_edge_cases(spark):
     nan = float("nan")
     rows = [
