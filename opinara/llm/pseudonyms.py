@@ -6,10 +6,13 @@ the result is printed in the same format. So each key is a permutation of every
 format, and equal values stay equal across documents, tasks and runs.
 
 Formats: payment card numbers (13 to 19 digits with a right Luhn digit; the first
-digit stays, the check digit is computed anew), IBAN (right mod-97 check; country
-and leading part stay), telephone numbers (+country code, or the ten digits of
-North America), US social security numbers, IPv4 addresses, and dates of the years
-1800 to 2199 as yyyy-mm-dd or dd-mm-yyyy with any of the separators - / and dot.
+digit stays, the check digit is computed anew), IBAN (right mod-97 check, with or
+without blanks after every fourth character; country and leading part stay, digits
+become digits and letters letters), telephone numbers (+country code, or the ten digits
+of North America with hyphens, dots or blanks), US social security numbers, IPv4
+addresses, and dates of the years 1800 to 2199 as yyyy-mm-dd, dd-mm-yyyy or, where that
+is no date, mm-dd-yyyy, with any of the separators - / and dot; days and months may have
+one digit, and keep one.
 Numbers that fail their check, and all other text, stay as they are.
 """
 
@@ -22,17 +25,35 @@ ROUNDS = 10
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
+#: Countries by the length of their IBAN, to tell where one with blanks ends.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _grouped_iban(length: int, countries: str) -> str:
+    whole, rest = divmod(length - 4, 4)
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{whole}}}" + (f" [A-Z0-9]{{{rest}}}" if rest else "")
+
+
+_GROUPED_IBAN = "|".join(_grouped_iban(*x) for x in _IBAN_LENGTHS.items())
+
 #: Candidates, tried in this order at each place of a text.
 CANDIDATES = "|".join(
     [
-        r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}[A-Z0-9]{5,24}[0-9]{6}(?![0-9A-Za-z])",
-        r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{4}\.[0-9]{2}\.[0-9]{2})(?![0-9]|[./-][0-9])",
-        r"(?<![0-9./-])(?:[0-9]{2}-[0-9]{2}-[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])",
+        rf"(?<![0-9A-Za-z])(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|{_GROUPED_IBAN})(?![0-9A-Za-z])",
+        r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{4}\.[0-9]{1,2}\.[0-9]{1,2})(?![0-9]|[./-][0-9])",
+        r"(?<![0-9./-])(?:[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9]|[./-][0-9])",
         rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
         r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
         r"(?<![0-9])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
         r"(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
         r"(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9]|-[0-9])",
+        r"(?<![0-9.])[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9]|\.[0-9])",
+        r"(?<![0-9])(?<![0-9] )[0-9]{3} [0-9]{3} [0-9]{4}(?![0-9]| [0-9])",
         r"(?<![0-9])(?:[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7})(?![0-9])",
         r"(?<![0-9])(?:[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5}|[0-9]{13,19})(?![0-9])",
     ]
@@ -41,6 +62,9 @@ CANDIDATES = "|".join(
 #: The days of any 400 years of the Gregorian calendar are 189 * 773.
 _DAYS_A, _DAYS_B, _FIRST_DAY = 189, 773, "1800-01-01"
 
+#: The rarest form of a date has more than a fifth of all days, so no walk is this long.
+_WALK = 400
+
 
 def feistel(left: Column, right: Column, a: Column, b: Column, tag: str, inverse: bool) -> Column:
     """struct(l, r): the keyed permutation of the pairs below (a, b), or its inverse."""
@@ -92,15 +116,34 @@ def _permuted_digits(digits: Column, tag: str, inverse: bool) -> Column:
     )
 
 
-def _refilled(form: Column, digits: Column) -> Column:
-    """`form` with its digits replaced, in order, by `digits`."""
+def _permuted_letters(letters: Column, tag: str, inverse: bool) -> Column:
+    """A string of 1 to 12 letters A-Z permuted among the strings of its length."""
+    n = F.length(letters)
+    n_left = F.floor(n / 2).cast("int")
+    number = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda v, c: v * 26 + F.ascii(c) - 65)
+    power = lambda k: F.pow(F.lit(26), k).cast("long")
+    left, right = F.slice(_chars(letters), F.lit(1), n_left), F.slice(_chars(letters), n_left + 1, n - n_left)
+    pair = feistel(number(left), number(right), power(n_left), power(n - n_left), tag, inverse)
+
+    def printed(_, p: Column) -> Column:
+        def letter(k: Column) -> Column:
+            half, place = F.when(k <= n_left, p["l"]).otherwise(p["r"]), F.when(k <= n_left, n_left - k).otherwise(n - k)
+            return F.char(F.floor(half / power(place)) % 26 + 65)
+
+        return F.array_join(F.transform(F.sequence(F.lit(1), n), letter), "")
+
+    return F.aggregate(F.array(pair), F.lit(""), printed)
+
+
+def _refilled(form: Column, fresh: Column, kind: str = "[0-9]") -> Column:
+    """`form` with its characters of a kind (digits) replaced, in order, by those of `fresh`."""
     state = F.struct(F.lit("").alias("out"), F.lit(1).alias("next"))
 
     def step(s: Column, c: Column) -> Column:
-        digit = c.rlike("[0-9]")
+        mine = c.rlike(kind)
         return F.struct(
-            F.concat(s["out"], F.when(digit, F.substr(digits, s["next"], F.lit(1))).otherwise(c)).alias("out"),
-            (s["next"] + digit.cast("int")).alias("next"),
+            F.concat(s["out"], F.when(mine, F.substr(fresh, s["next"], F.lit(1))).otherwise(c)).alias("out"),
+            (s["next"] + mine.cast("int")).alias("next"),
         )
 
     return F.aggregate(_chars(form), state, step, lambda s: s["out"])
@@ -134,12 +177,23 @@ def _card(m: Column, key: str, inverse: bool) -> Column:
 
 
 def _iban(m: Column, key: str, inverse: bool) -> Column:
-    tail = F.regexp_extract(_sub(m, 5), "[0-9]{6,18}$", 0)
-    head = _sub(m, 5, F.length(m) - 4 - F.length(tail))
-    fresh = F.concat(head, _permuted_digits(tail, f"{key}|iban", inverse))
-    check = lambda bban: _pad(98 - _mod97(F.concat(bban, _sub(m, 1, 2), F.lit("00"))), F.lit(2))
-    valid = _mod97(F.concat(_sub(m, 5), _sub(m, 1, 4))) == 1
-    return F.when(valid, F.aggregate(F.array(fresh), F.lit(""), lambda _, b: F.concat(_sub(m, 1, 2), check(b), b)))
+    """The last 18 digits are permuted, and the last 12 letters beyond the bank's four characters."""
+    plain = F.replace(m, F.lit(" "), F.lit(""))
+    bban = _sub(plain, 5)
+    tail = lambda s, n: F.when(F.length(s) > n, F.right(s, F.lit(n))).otherwise(s)
+    digits = _digits(bban)
+    last = tail(digits, 18)
+    changed = F.when(F.length(last) > 1, _permuted_digits(last, f"{key}|iban", inverse)).otherwise(last)
+    refilled = _refilled(bban, F.concat(_sub(digits, 1, F.length(digits) - F.length(last)), changed))
+    letters = F.regexp_replace(_sub(bban, 5), "[^A-Z]", "")
+    end = tail(letters, 12)
+    other = F.concat(_sub(letters, 1, F.length(letters) - F.length(end)), _permuted_letters(end, f"{key}|iban-letters", inverse))
+    with_letters = lambda r: F.concat(_sub(r, 1, 4), _refilled(_sub(r, 5), other, "[A-Z]"))
+    fresh = F.aggregate(F.array(refilled), F.lit(""), lambda _, r: F.when(F.length(letters) > 0, with_letters(r)).otherwise(r))
+    check = lambda b: _pad(98 - _mod97(F.concat(b, _sub(plain, 1, 2), F.lit("00"))), F.lit(2))
+    valid = _mod97(F.concat(bban, _sub(plain, 1, 4))) == 1
+    whole = F.aggregate(F.array(fresh), F.lit(""), lambda _, b: F.concat(_sub(plain, 1, 2), check(b), b))
+    return F.when(valid, F.when(F.contains(m, F.lit(" ")), _refilled(m, whole, "[^ ]")).otherwise(whole))
 
 
 def _ssn(m: Column, key: str, inverse: bool) -> Column:
@@ -176,31 +230,46 @@ def _phone(m: Column, key: str, inverse: bool) -> Column:
     return F.when(n.between(7, 14), F.concat(code, _refilled(rest, _permuted_digits(_digits(rest), f"{key}|phone", inverse))))
 
 
-def _date(m: Column, year: int, day: int, key: str, inverse: bool) -> Column:
-    """`year` and `day`: where these parts begin in m; the month is always in the middle."""
-    month = 6 if year == 1 else 4
-    date = F.try_to_date(F.concat_ws("-", _sub(m, year, 4), _sub(m, month, 2), _sub(m, day, 2)), "yyyy-MM-dd")
+def _date(m: Column, key: str, inverse: bool) -> Column:
+    """Permuted among the dates of its order and of as many digits; other dates on the way are walked over."""
+    part = lambda i: F.element_at(F.split(m, "[-/.]"), i)
+    made = lambda y, mo, d: F.try_to_date(F.concat_ws("-", part(y), _pad(part(mo), F.lit(2)), _pad(part(d), F.lit(2))), "yyyy-MM-dd")
+    year_first = F.length(part(1)) == 4
+    month_first = ~year_first & made(3, 2, 1).isNull()
+    date = F.when(year_first, made(1, 2, 3)).otherwise(F.coalesce(made(3, 2, 1), made(3, 1, 2)))
+    month_digits = F.length(F.when(month_first, part(1)).otherwise(part(2)))
+    day_digits = F.length(F.when(year_first, part(3)).when(month_first, part(2)).otherwise(part(1)))
     first = F.lit(_FIRST_DAY).cast("date")
-    number = F.datediff(date, first)
+    number = F.datediff(date, first).cast("long")
     valid = date.isNotNull() & number.between(0, _DAYS_A * _DAYS_B - 1)
-    pair = feistel(F.floor(number / _DAYS_B), number % _DAYS_B, F.lit(_DAYS_A), F.lit(_DAYS_B), f"{key}|date", inverse)
-    sep = _sub(m, month - 1, 1)
-    order = ("yyyy", "MM", "dd") if year == 1 else ("dd", "MM", "yyyy")
+    at = lambda n: F.date_add(first, n.cast("int"))
 
-    def printed(_, p: Column) -> Column:
-        fresh = F.date_add(first, (p["l"] * _DAYS_B + p["r"]).cast("int"))
-        return F.concat_ws(sep_text, *[F.date_format(fresh, f) for f in order])
+    def of_form(n: Column) -> Column:
+        day, month = F.dayofmonth(at(n)), F.month(at(n))
+        return ((month_digits == 2) | (month < 10)) & ((day_digits == 2) | (day < 10)) & (~month_first | (day > 12))
+
+    def step(s: Column, _: Column) -> Column:
+        pair = feistel(F.floor(s["n"] / _DAYS_B), s["n"] % _DAYS_B, F.lit(_DAYS_A), F.lit(_DAYS_B), f"{key}|date", inverse)
+        moved = lambda _, p: F.struct((p["l"] * _DAYS_B + p["r"]).alias("n"), of_form(p["l"] * _DAYS_B + p["r"]).alias("done"))
+        return F.when(s["done"], s).otherwise(F.aggregate(F.array(pair), s, moved))
+
+    start = F.struct(number.alias("n"), F.lit(False).alias("done"))
+    sep = F.regexp_extract(m, "[-/.]", 0)
+
+    def printed(s: Column) -> Column:
+        digits = lambda n, width: F.when(width == 2, _pad(n, F.lit(2))).otherwise(n.cast("string"))
+        year, month, day = F.date_format(at(s["n"]), "yyyy"), digits(F.month(at(s["n"])), month_digits), digits(F.dayofmonth(at(s["n"])), day_digits)
+        text = F.when(year_first, F.concat(year, sep, month, sep, day)).when(month_first, F.concat(month, sep, day, sep, year))
+        return F.when(s["done"], text.otherwise(F.concat(day, sep, month, sep, year)))
 
-    sep_text = "\x00"
-    return F.when(valid, F.replace(F.aggregate(F.array(pair), F.lit(""), printed), F.lit(sep_text), sep))
+    return F.when(valid, F.aggregate(F.sequence(F.lit(1), F.lit(_WALK)), start, step, printed))
 
 
 def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
     """The pseudonym of one candidate; the candidate itself where its check fails."""
     rule = (
         F.when(m.rlike("^[A-Z]{2}"), _iban(m, key, inverse))
-        .when(m.rlike("^[0-9]{4}([-/.])[0-9]{2}\\1[0-9]{2}$"), _date(m, 1, 9, key, inverse))
-        .when(m.rlike("^[0-9]{2}([-/.])[0-9]{2}\\1[0-9]{4}$"), _date(m, 7, 1, key, inverse))
+        .when(m.rlike("^(?:[0-9]{4}([-/.])[0-9]{1,2}\\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\\2[0-9]{4})$"), _date(m, key, inverse))
         .when(m.rlike("^[0-9]{1,3}([.][0-9]{1,3}){3}$"), _ipv4(m, key, inverse))
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), _ssn(m, key, inverse))
         .when(m.rlike("^[0-9][0-9 -]{11,}[0-9]$"), _card(m, key, inverse))

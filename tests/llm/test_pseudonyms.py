@@ -56,6 +56,29 @@ def test_formats_linking_and_inverse(spark):
     assert run(spark, rows, key="other")[0].text != got[0].text
 
 
+WIDER = [
+    "DE89 3704 0044 0532 0130 00", "FR1420041010050500013M02606", "FR14 2004 1010 0505 0001 3M02 606",
+    "MT84MALT011000012345MTLCAST001S", "MU17BOMM0101101030300200000MUR",
+    "12/31/2024", "3/4/2024", "12/3/2024", "5-28-1999", "2024.3.14", "555.123.4567", "555 123 4567",
+]
+
+
+def test_wider_forms_change_within_their_form_and_back(spark):
+    rows = [(k, f"see {v} THEN", None, None, None) for k, v in enumerate(WIDER)]
+    got = run(spark, rows)
+    kind = lambda s: ["d" if c.isdigit() else "a" if c.isalpha() else c for c in s]
+    for k, value in enumerate(WIDER):
+        new = got[k].text[4:-5]
+        assert got[k].text == f"see {new} THEN" and new != value and kind(new) == kind(value) and got[k].n_pseudonyms == 1, value
+        if value[0].isalpha():
+            plain = new.replace(" ", "")
+            assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1 and new[:2] == value[:2]
+        if value in ("12/31/2024", "5-28-1999"):
+            assert int(new[:2].rstrip("-")) <= 12 < int(new[-7:-5])
+    back = run(spark, [(k, r.text, None, None, None) for k, r in got.items()], inverse=True)
+    assert {k: r.text for k, r in back.items()} == {r[0]: r[1] for r in rows}
+
+
 def test_against_plain_python(spark):
     got = run(spark, [(1, "10.20.30.40", None, None, None), (2, "+1 (017) 555-7713", None, None, None)])
     l, r = permuted(10 * 256 + 20, 30 * 256 + 40, 65536, 65536, "k|ipv4")  # noqa: E741
