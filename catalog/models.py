@@ -4,23 +4,24 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.inputs import labelled, reviews, sql
 from catalog.learning import _SECTOR_SQL, _SPLIT, _prompt_sql, _requests_sql
-from catalog.texts import STOP, WORD, _in, sql_words
+from catalog.texts import STOP, WORD, _in, sql_clean_letters, sql_words
 from opinara.functions import prompts
 from opinara.functions.text import clean_letters
 from opinara.operators import coherence as co
 from opinara.operators import topics as tp
 from opinara.operators.balance import stratified_split
+from opinara.operators.centroids import fit_clusters
 from opinara.operators.features import TfidfVectoriser
 from opinara.operators.generate import augment, classify_with_model
 from opinara.operators.hash_order import group_sizes
+from opinara.operators.lda import fit_topics
 from opinara.plans import classification as cl
 from opinara.session import saved, scratch_path
 
@@ -216,49 +217,120 @@ def _topic_texts(spark, sf):
 _SEGMENTS = [(a, s) for a in ("AppA", "AppB") for s in ("negative", "neutral", "positive")]
 
 
-def _segments(spark, sf):
-    """(app, sentiment, rows) of every segment; the texts are written once and read by partition."""
-    texts = _topic_texts(spark, sf).select("reviewId", "app", "sentiment", "texto_limpio")
-    path = scratch_path(spark, "segments")
-    texts.write.partitionBy("app", "sentiment").parquet(path)
-    rows = spark.read.parquet(path).withColumn("tokens", F.split("texto_limpio", " "))
-    for a, s in _SEGMENTS:
-        one = rows.where((F.col("app") == a) & (F.col("sentiment") == s))
-        if not one.isEmpty():
-            yield a, s, one
+_KEYS = ["app", "sentiment"]
 
 
-def _stacked(parts):
-    return reduce(DataFrame.union, parts)
+def _segment_rows(spark, sf):
+    """The reviews of all segments with their words; written once."""
+    texts = _topic_texts(spark, sf).select("reviewId", *_KEYS, "texto_limpio")
+    return saved(texts.withColumn("tokens", F.split("texto_limpio", " ")), "segments")
+
+
+def _clusters(spark, sf, ks, n_init=10):
+    features, _ = tp.segment_features(_segment_rows(spark, sf), "texto_limpio", _KEYS, stop_words=STOP)
+    features = saved(features, "features")
+    return features, fit_clusters(features, "reviewId", 1000, _KEYS, ks, n_init)
+
+
+def _distances(spark, features, models, ks):
+    """(reviewId, keys, k, cluster, d): squared distance of each review to every centroid of the best models."""
+    cells, norms = [], []
+    for s in sorted({key[0] for key in models.centroids}):
+        for k in ks:
+            for c, v in enumerate(models.centroids[models.best(s, k)]):
+                norms.append((*s, k, c, float(v @ v)))
+                cells += [(*s, k, c, i, float(v[i])) for i in v.nonzero()[0].tolist()]
+    table_ = spark.createDataFrame(cells, "app string, sentiment string, k int, cluster int, i int, v double")
+    centres = spark.createDataFrame(norms, "app string, sentiment string, k int, cluster int, cc double")
+    long = features.select("reviewId", *_KEYS, F.explode(F.arrays_zip("features.indices", "features.values")).alias("f"))
+    long = long.select("reviewId", *_KEYS, F.col("f.indices").alias("i"), F.col("f.values").alias("x"))
+    dots = long.join(F.broadcast(table_), [*_KEYS, "i"]).groupBy("reviewId", *_KEYS, "k", "cluster").agg(F.sum(F.col("x") * F.col("v")).alias("xc"))
+    squares = F.aggregate("features.values", F.lit(0.0), lambda a, x: a + x * x)
+    every = features.select("reviewId", *_KEYS, squares.alias("xx")).join(F.broadcast(centres), _KEYS)
+    joined = every.join(dots, ["reviewId", *_KEYS, "k", "cluster"], "left")
+    return joined.withColumn("d", F.col("xx") + F.col("cc") - 2 * F.coalesce("xc", F.lit(0.0)))
 
 
 @query("m12_kmeans_assign")
 def _(spark, sf):
-    parts = []
-    for a, s, one in _segments(spark, sf):
-        features = saved(tp.tfidf_features(one, "texto_limpio", stop_words=STOP, keep=["reviewId"]), "features")
-        model, _ = tp.kmeans_best(features, 4)
-        parts.append(model.transform(features).select("reviewId", F.lit(a).alias("app"), F.lit(s).alias("sentiment"), "kmeans_cluster"))
-    return _stacked(parts)
+    features, models = _clusters(spark, sf, [4])
+    return features.select("reviewId", *_KEYS, models.assign(F.col("features"), 4).alias("kmeans_cluster"))
+
+
+@query("m12_kmeans_nearest", sql("reviews", "select reviewId, app, sentiment, true as nearest from reviews"))
+def _(spark, sf):
+    """Every review is in the cluster whose centroid is nearest by distances computed term by term."""
+    features, models = _clusters(spark, sf, [4])
+    given = features.select("reviewId", *_KEYS, models.assign(F.col("features"), 4).alias("given"))
+    d = _distances(spark, features, models, [4]).join(given, ["reviewId", *_KEYS])
+    own = F.min(F.when(F.col("cluster") == F.col("given"), F.col("d")))
+    return d.groupBy("reviewId", *_KEYS).agg((own <= F.min("d") + 1e-9).alias("nearest"))
+
+
+_ELBOW = range(2, 8)
 
 
 @query("m13_elbow_sweep")
 def _(spark, sf):
+    _, models = _clusters(spark, sf, _ELBOW)
+    return spark.createDataFrame(models.elbow(), "app string, sentiment string, k int, inertia double")
+
+
+@query(
+    "m13_elbow_adds_up",
+    sql("reviews", """select app, sentiment, cast(k as int) as k, count(*) as n_reviews, 10 as n_starts, true as adds_up,
+        true as least from reviews, range(2, 8) r(k) group by all"""),
+)
+def _(spark, sf):
+    """The inertia is the sum of the reviews' distances to their nearest centroid, and that of the best start."""
+    features, models = _clusters(spark, sf, _ELBOW)
+    near = _distances(spark, features, models, _ELBOW).groupBy("reviewId", *_KEYS, "k").agg(F.min("d").alias("d"))
     rows = []
-    for a, s, one in _segments(spark, sf):
-        features = tp.tfidf_features(one, "texto_limpio", stop_words=STOP)
-        rows += [(a, s, k, i) for k, i in tp.elbow_sweep(features, n_init=1)]
-    return spark.createDataFrame(rows, "app string, sentiment string, k int, inertia double")
+    for *s, k, inertia in models.elbow():
+        starts = [v for key, v in models.inertia.items() if key[:2] == (tuple(s), k)]
+        rows.append((*s, k, inertia, len(starts), min(starts)))
+    swept = spark.createDataFrame(rows, "app string, sentiment string, k int, inertia double, n_starts int, low double")
+    sums = near.groupBy(*_KEYS, "k").agg(F.count(F.lit(1)).alias("n_reviews"), F.sum("d").alias("d"))
+    return sums.join(swept, [*_KEYS, "k"]).select(
+        *_KEYS, "k", "n_reviews", "n_starts", (F.abs(F.col("d") - F.col("inertia")) <= 1e-6 * F.col("d") + 1e-6).alias("adds_up"),
+        (F.col("inertia") <= F.col("low")).alias("least"),
+    )
+
+
+def _topic_models(spark, sf, ks=(4,), passes=10):
+    rows = _segment_rows(spark, sf)
+    return rows, fit_topics(rows, "tokens", "reviewId", _KEYS, ks, passes)
 
 
 @query("m14_lda_fit")
 def _(spark, sf):
-    rows = []
-    for a, s, one in _segments(spark, sf):
-        bow, vocabulary = tp.with_counts(one, "tokens")
-        words = tp.top_topic_words(tp.fit_lda(bow), vocabulary, 10)
-        rows += [(a, s, t, i, w) for t, ws in enumerate(words) for i, w in enumerate(ws)]
-    return spark.createDataFrame(rows, "app string, sentiment string, topic int, rank int, word string")
+    _, models = _topic_models(spark, sf)
+    return models.top_words(10).select(*_KEYS, "topic", "rank", "word")
+
+
+@query(
+    "m14_lda_vocabulary",
+    sql(
+        "reviews",
+        f"""select app, sentiment, t as topic, cast(least(10, count(distinct w)) as bigint) as n_words, true as in_segment,
+        true as falls, true as adds_up from (select app, sentiment, unnest(string_split({sql_clean_letters("content")}, ' ')) as w from reviews),
+        range(4) r(t) group by app, sentiment, t""".replace("t as topic", "cast(t as int) as topic"),
+    ),
+)
+def _(spark, sf):
+    """Each topic: its words are those of its segment, weights fall, and all word weights add up to one."""
+    rows, models = _topic_models(spark, sf)
+    words = saved(models.top_words(10), "topic-words")
+    own = rows.select(*_KEYS, F.explode("tokens").alias("word")).distinct().withColumn("own", F.lit(True))
+    whole = models.top_words(1 << 30).groupBy(*_KEYS, "topic").agg(F.sum("weight").alias("total"))
+    listed = words.join(own, [*_KEYS, "word"], "left").groupBy(*_KEYS, "topic").agg(
+        F.count_distinct("word").alias("n_words"), F.bool_and(F.coalesce("own", F.lit(False))).alias("in_segment"),
+        F.sort_array(F.collect_list(F.struct("rank", "weight")))["weight"].alias("w"),
+    )
+    falls = F.forall(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: F.coalesce(F.get("w", i) <= F.get("w", i - 1), F.lit(True)))
+    return listed.join(whole, [*_KEYS, "topic"]).select(
+        *_KEYS, "topic", "n_words", "in_segment", falls.alias("falls"), (F.abs(F.col("total") - 1) < 1e-9).alias("adds_up")
+    )
 
 
 @query(
@@ -267,18 +339,12 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Every review has four probabilities, none negative, that add up to one."""
-    parts = []
-    for a, s, one in _segments(spark, sf):
-        bow, _ = tp.with_counts(one, "tokens")
-        p = tp.with_topic_probabilities(bow, tp.fit_lda(bow))
-        total = F.aggregate("lda_probs", F.lit(0.0), lambda x, y: x + y)
-        parts.append(
-            p.select(
-                "reviewId", F.lit(a).alias("app"), F.lit(s).alias("sentiment"), F.size("lda_probs").alias("n_topics"),
-                (F.abs(total - 1) < 1e-6).alias("adds_up"), F.forall("lda_probs", lambda x: x >= 0).alias("non_negative"),
-            )
-        )
-    return _stacked(parts)
+    rows, models = _topic_models(spark, sf)
+    total = F.aggregate("lda_probs", F.lit(0.0), lambda x, y: x + y)
+    return tp.with_topic_probabilities(rows, models).select(
+        "reviewId", *_KEYS, F.size("lda_probs").alias("n_topics"),
+        (F.abs(total - 1) < 1e-6).alias("adds_up"), F.forall("lda_probs", lambda x: x >= 0).alias("non_negative"),
+    )
 
 
 _TOPIC_WORDS = [["the", "and", "of", "onin", "ering"], ["la", "le", "les", "du", "en"]]
@@ -343,19 +409,90 @@ def _(spark, sf):
 @query("m16_coherence_cv_sweep")
 def _(spark, sf):
     """Mean c_v of the LDA topics for k = 2 .. 6 in every segment."""
-    rows = []
-    for a, s, one in _segments(spark, sf):
-        bow, vocabulary = tp.with_counts(one, "tokens")
-        for k in range(2, 7):
-            words = tp.top_topic_words(tp.fit_lda(bow, k, passes=5), vocabulary)
-            rows.append((a, s, k, co.coherence_cv(one, words).agg(F.avg("coherence")).first()[0]))
-    return spark.createDataFrame(rows, "app string, sentiment string, k int, coherence double")
+    rows, models = _topic_models(spark, sf, range(2, 7), passes=5)
+    topics = saved(models.top_words(20).select(*_KEYS, "k", "topic", F.col("rank").alias("i"), F.col("word").alias("w")), "topics")
+    found = co.coherence_sweep(rows, topics, _KEYS, ["k"])
+    return found.groupBy(*_KEYS, "k").agg(F.avg("coherence").alias("coherence"))
 
 
-@query("m19_topic_table")
+_RANKED = 5
+
+
+@query(
+    "m16_coherence_cv_ranked",
+    sql(
+        "reviews",
+        """select app, sentiment, k, cast(floor(avg(c) * 1e6 + 0.5) as bigint) as coherence_micro from (
+        select app, sentiment, k, topic, avg(case when vv * ss > 0 then vs / sqrt(vv * ss) else 0.0 end) as c from (
+        select app, sentiment, k, topic, i, sum(v * s) as vs, sum(v * v) as vv, sum(s * s) as ss from npmi
+        join (select app, sentiment, k, topic, j, sum(v) as s from npmi group by all) using (app, sentiment, k, topic, j)
+        group by all) group by all) group by all""",
+        docs=f"select reviewId, app, sentiment, toks, len(toks) as len from (select reviewId, app, sentiment, "
+        f"string_split({sql_clean_letters('content')}, ' ') as toks from reviews)",
+        flat="select reviewId, app, sentiment, len, unnest(toks) as w, unnest(range(len)) as p from docs",
+        ranks="""select app, sentiment, w, row_number() over (partition by app, sentiment order by n desc, w) - 1 as r
+            from (select app, sentiment, w, count(*) as n from flat group by all)""",
+        topics=f"select app, sentiment, cast(k as int) as k, cast(r % k as int) as topic, r // k as i, w from ranks, range(2, 7) t(k) where r < {_RANKED} * k",
+        occ=f"select reviewId, app, sentiment, len, p, w, r from flat join ranks using (app, sentiment, w) where r < {_RANKED * 6}",
+        win="""select distinct reviewId, app, sentiment, w, unnest(range(greatest(0, p - 109), least(p, greatest(len - 110, 0)) + 1)) as s
+            from occ""",
+        co="""select a.app, a.sentiment, a.w as a, b.w as b, count(*) as n from win a join win b using (reviewId, s) group by all""",
+        total=f"""select app, sentiment, k, sum(greatest(1, len - 109))::double as t from (
+            select distinct reviewId, app, sentiment, len, k from occ, range(2, 7) t(k) where r < {_RANKED} * k) group by all""",
+        joint="""select a.app, a.sentiment, a.k, a.topic, a.i, b.i as j, ni.n as n_i, nj.n as n_j, coalesce(n.n, 0) as n_ij
+            from topics a join topics b using (app, sentiment, k, topic)
+            left join co n on n.app = a.app and n.sentiment = a.sentiment and n.a = a.w and n.b = b.w
+            left join co ni on ni.app = a.app and ni.sentiment = a.sentiment and ni.a = a.w and ni.b = a.w
+            left join co nj on nj.app = a.app and nj.sentiment = a.sentiment and nj.a = b.w and nj.b = b.w""",
+        npmi="""select app, sentiment, k, topic, i, j, case when n_i > 0 and n_j > 0 then
+            ln((n_ij / t + 1e-12) / (n_i / t * (n_j / t))) / -ln(n_ij / t + 1e-12) else 0.0 end as v
+            from joint join total using (app, sentiment, k)""",
+    ),
+)
 def _(spark, sf):
-    segments = [(a, s) for a in ("AppA", "AppB") for s in ("positive", "negative", "neutral")]
+    """The sweep with each segment's most frequent words dealt out to k topics, k = 2 .. 6."""
+    rows = _segment_rows(spark, sf)
+    counts = rows.select(*_KEYS, F.explode("tokens").alias("w")).groupBy(*_KEYS, "w").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy(*_KEYS).orderBy(F.desc("n"), "w")
+    ranked = counts.withColumn("r", F.row_number().over(order) - 1).where(F.col("r") < _RANKED * 6)
+    topics = ranked.select(*_KEYS, "w", "r", F.explode(F.array(*[F.lit(k) for k in range(2, 7)])).alias("k")).where(F.col("r") < _RANKED * F.col("k"))
+    topics = saved(topics.select(*_KEYS, "k", (F.col("r") % F.col("k")).alias("topic"), F.floor(F.col("r") / F.col("k")).alias("i"), "w"), "topics")
+    found = co.coherence_sweep(rows, topics, _KEYS, ["k"])
+    return found.groupBy(*_KEYS, "k").agg(F.floor(F.avg("coherence") * 1e6 + 0.5).alias("coherence_micro"))
+
+
+def _topic_table(spark, sf):
     texts = _topic_texts(spark, sf).drop("country", "city")
-    return tp.topic_table(texts, segments, tp.topic_names(spark), stop_words=STOP).withColumn(
-        "date", F.col("date").cast("string")
+    return tp.topic_table(texts, _SEGMENTS, tp.topic_names(spark), stop_words=STOP).withColumn("date", F.col("date").cast("string"))
+
+
+@query("m19_topic_table")
+def _(spark, sf):
+    return _topic_table(spark, sf)
+
+
+_WORDS_SQL = f"list_filter(string_split({sql_clean_letters('content')}, ' '), lambda x: x <> '')"
+
+
+@query(
+    "m19_topic_columns",
+    sql(
+        "reviews",
+        f"""select reviewId, app, sentiment as sentimiento_analisis, content, score, cast(date as varchar) as date, len(ws) as num_palabras,
+        len(ws) as Longitud, case when len(ws) > 10 then 'LDA' else 'K-Means' end as Modelo, array_to_string(ws[1:8], ', ') as Palabras_Clave,
+        true as adds_up, true as argmax, true as named from (select *, {_WORDS_SQL} as ws from reviews)""",
+    ),
+)
+def _(spark, sf):
+    """The topic table with what the models decide replaced by the rules that it has to follow."""
+    probs = F.array(*[F.col(f"Prob_Topico_{i}") for i in range(4)])
+    names = tp.topic_names(spark).select(F.col("sentiment").alias("s"), F.col("cluster").alias("c"), "name")
+    rows = _topic_table(spark, sf)
+    rows = rows.join(names, (F.col("s") == F.col("sentimiento_analisis")) & (F.col("c") == F.col("Cluster_Dominante")), "left")
+    best = F.get(probs, F.col("Cluster_Dominante")) == F.array_max(probs)
+    return rows.select(
+        "reviewId", "app", "sentimiento_analisis", "content", "score", "date", "num_palabras", "Longitud", "Modelo", "Palabras_Clave",
+        (F.abs(F.aggregate(probs, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("adds_up"),
+        F.when(F.col("Modelo") == "LDA", best).otherwise(F.col("Cluster_Dominante").between(0, 3)).alias("argmax"),
+        F.col("Tema_Nombre").eqNullSafe(F.col("name")).alias("named"),
     )

@@ -47,19 +47,19 @@ def with_terms(
     return out.withColumn(name, F.concat(*lists)).drop("_g1", "_g2", "_g3")
 
 
-def term_stats(df: DataFrame, terms: str = "terms") -> DataFrame:
-    """Corpus frequency and document frequency of every term.
+def term_stats(df: DataFrame, terms: str = "terms", keys: Sequence[str] = ()) -> DataFrame:
+    """Corpus frequency and document frequency of every term, in each segment if there are keys.
 
     Each list is sorted in its row, which marks a term's first occurrence; so
     one aggregation by term gives both counts, without a distinct per review.
     """
     s = F.col("_s")
-    ordered = df.select(F.sort_array(terms).alias("_s"))
+    ordered = df.select(*keys, F.sort_array(terms).alias("_s"))
     previous = F.concat(F.array(F.lit(None).cast("string")), F.slice(s, F.lit(1), F.greatest(F.size(s) - 1, F.lit(0))))
     marked = ordered.select(
-        F.explode(F.zip_with(s, previous, lambda x, p: F.struct(x.alias("term"), (~x.eqNullSafe(p)).cast("int").alias("first")))).alias("t")
+        *keys, F.explode(F.zip_with(s, previous, lambda x, p: F.struct(x.alias("term"), (~x.eqNullSafe(p)).cast("int").alias("first")))).alias("t")
     ).where(F.col("t.term").isNotNull())
-    return marked.groupBy(F.col("t.term").alias("term")).agg(
+    return marked.groupBy(*keys, F.col("t.term").alias("term")).agg(
         F.count(F.lit(1)).alias("ctf"), F.sum("t.first").alias("df")
     )
 

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import LDA, KMeans, KMeansModel, LDAModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.text import feature_tokens, first_k, split_words
-from opinara.operators.features import count_terms, fit_tfidf, pack_vector, term_stats
+from opinara.operators.centroids import fit_clusters, segment_code
+from opinara.operators.features import term_stats
+from opinara.operators.lda import TopicModels, fit_topics
 from opinara.operators.neighbours import nearest
 from opinara.session import saved
 
@@ -72,31 +76,55 @@ def hybrid_topic(words: Column, lda: Column, kmeans: Column, threshold: int = WO
     return F.when(long, lda).otherwise(kmeans), F.when(long, F.lit("LDA")).otherwise(F.lit("K-Means"))
 
 
-def kmeans_best(features: DataFrame, k: int, n_init: int = 10, seed: int = 42, column: str = "features") -> tuple[KMeansModel, float]:
-    """The K-Means fit with the lowest inertia over n_init starts."""
-    best, cost = None, float("inf")
-    for start in range(n_init):
-        model = KMeans(k=k, seed=seed + start, featuresCol=column, predictionCol="kmeans_cluster", maxIter=300, tol=1e-4).fit(features)
-        if model.summary.trainingCost < cost:
-            best, cost = model, model.summary.trainingCost
-    return best, float(cost)
+def segment_features(
+    df: DataFrame, text: str, keys: Sequence[str] = (), max_features: int = 1000, stop_words: Sequence[str] = ()
+) -> tuple[DataFrame, dict[tuple, list[str]]]:
+    """df with `features`, unigram tf-idf with raw counts as struct (indices, values), and the vocabularies.
 
-
-def tfidf_features(
-    df: DataFrame, text: str, max_features: int = 1000, stop_words: Sequence[str] = (), keep: Sequence[str] = ()
-) -> DataFrame:
-    """keep..., features: unigram tf-idf with raw counts."""
-    terms = df.withColumn("_terms", feature_tokens(F.col(text), stop_words))
-    model = fit_tfidf(terms, "_terms", max_features=max_features, sublinear=False)
-    w = model.weights(terms, "_terms", "_w")
-    vector = pack_vector(F.col("_w.indices"), F.col("_w.values"), max(1, len(model.terms)))
-    return w.withColumn("features", vector).select(*keep, "features")
-
-
-def elbow_sweep(features: DataFrame, ks: Sequence[int] = range(2, 8), n_init: int = 10, seed: int = 42) -> list[tuple[int, float]]:
-    """(k, inertia) for each k. The features are written once for all the fits."""
-    features = saved(features.select("features"), "sweep-features")
-    return [(k, kmeans_best(features, k, n_init, seed)[1]) for k in ks]
+    Every segment (combination of keys) has its own vocabulary, its max_features most
+    frequent terms in alphabetical order, and its own document frequencies.
+    """
+    rows = df.withColumn("_terms", F.coalesce(feature_tokens(F.col(text), stop_words), F.array().cast("array<string>")))
+    stats = term_stats(rows, "_terms", keys)
+    order = Window.partitionBy(*keys).orderBy(F.desc("ctf"), "term")
+    kept = stats.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= max_features).drop("_r").collect()
+    sizes = {tuple(r)[:-1]: r["n"] for r in rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()}
+    terms: dict[tuple, list] = {s: [] for s in sorted(sizes)}
+    for r in sorted(kept, key=lambda r: r["term"]):
+        terms[tuple(r)[: len(keys)]].append((r["term"], math.log((1 + sizes[tuple(r)[: len(keys)]]) / (1 + r["df"])) + 1.0))
+    vocabularies = [pa.array([t for t, _ in rows_], pa.string()) for rows_ in terms.values()]
+    idf = [np.array([w for _, w in rows_] + [0.0]) for rows_ in terms.values()]
+
+    @F.arrow_udf("struct<indices: array<int>, values: array<double>>")
+    def weigh(seg: pa.Array, lists: pa.Array) -> pa.Array:
+        n = len(lists)
+        seg = seg.to_numpy()
+        owner = np.repeat(np.arange(n), lists.value_lengths().to_numpy())
+        flat = lists.flatten()
+        pairs, values = [], []
+        for s in np.unique(seg).tolist():
+            mine = np.flatnonzero(seg[owner] == s)
+            code = pc.index_in(flat.take(pa.array(mine)), value_set=vocabularies[s])
+            used = mine[code.is_valid().to_numpy(zero_copy_only=False)]
+            found, count = np.unique(owner[used] * max_features + code.drop_null().to_numpy(), return_counts=True)
+            pairs.append(found)
+            values.append(count * idf[s][found % max_features])
+        pair, value = np.concatenate([np.zeros(0, np.int64), *pairs]), np.concatenate([np.zeros(0), *values])
+        order = np.argsort(pair)
+        pair, value = pair[order], value[order]
+        row = pair // max_features
+        norm = np.sqrt(np.bincount(row, weights=value * value, minlength=n))
+        offsets = pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32())
+        return pa.StructArray.from_arrays(
+            [
+                pa.ListArray.from_arrays(offsets, pa.array(pair % max_features, pa.int32())),
+                pa.ListArray.from_arrays(offsets, pa.array(value / norm[row])),
+            ],
+            ["indices", "values"],
+        )
+
+    out = rows.withColumn("features", weigh(segment_code(keys, list(terms)), F.col("_terms"))).drop("_terms")
+    return out, {s: [t for t, _ in rows_] for s, rows_ in terms.items()}
 
 
 def assign_to_centroids(
@@ -110,60 +138,38 @@ def assign_to_centroids(
     return found.select(F.col("_id").alias(id_col), cluster, "dist_nano")
 
 
-def with_counts(df: DataFrame, tokens: str, max_vocab: int | None = None) -> tuple[DataFrame, list[str]]:
-    """Add the count vector `bow` and give its vocabulary (most frequent first).
-
-    The vocabulary is that of the whole corpus unless the caller bounds it.
-    """
-    stats = term_stats(df, tokens).orderBy(F.desc("ctf"), "term")
-    vocabulary = [r["term"] for r in (stats if max_vocab is None else stats.limit(max_vocab)).select("term").collect()]
-    return count_terms(df, vocabulary, tokens, "bow"), vocabulary
-
-
-def fit_lda(bow: DataFrame, k: int = 4, passes: int = 10, seed: int = 42, rate: float = 1.0, column: str = "bow") -> LDAModel:
-    """Online variational LDA over `passes` passes of the corpus.
-
-    A step uses the share `rate` of the corpus, the same at any size. Each step reads
-    the whole (persisted) corpus, so a large rate means few reads for each pass.
-    """
-    return LDA(
-        k=k, maxIter=max(1, round(passes / rate)), seed=seed, featuresCol=column, optimizer="online",
-        subsamplingRate=rate, learningOffset=1.0, learningDecay=0.5, docConcentration=[1.0 / k],
-        topicConcentration=1.0 / k, optimizeDocConcentration=False,
-    ).fit(bow)
-
-
-def with_topic_probabilities(df: DataFrame, model: LDAModel, k: int = 4) -> DataFrame:
-    """Add lda_probs (array of k); a text without known words gets 1 / k each."""
-    out = model.transform(df)
-    p = vector_to_array("topicDistribution")
+def with_topic_probabilities(df: DataFrame, models: TopicModels, k: int = 4) -> DataFrame:
+    """Add lda_probs (array of k) by row id; a text without words gets 1 / k each."""
+    found = models.probabilities(k).withColumnRenamed("probs", "lda_probs")
     flat = F.array(*[F.lit(1.0 / k)] * k)
-    return out.withColumn("lda_probs", F.when(F.exists(p, lambda x: x > 0), p).otherwise(flat)).drop("topicDistribution")
+    return df.join(found, models.row_id, "left").withColumn("lda_probs", F.coalesce("lda_probs", flat))
 
 
-def top_topic_words(model: LDAModel, vocabulary: Sequence[str], n: int = 20) -> list[list[str]]:
-    rows = model.describeTopics(n).orderBy("topic").collect()
-    return [[vocabulary[i] for i in r["termIndices"]] for r in rows]
-
-
-def topic_segment(
-    df: DataFrame, sentiment: str, names: DataFrame, text: str = "texto_limpio", k: int = 4, n_init: int = 10,
-    passes: int = 10, seed: int = 42, stop_words: Sequence[str] = (), threshold: int = WORD_THRESHOLD, max_features: int = 1000,
+def topic_table(
+    reviews: DataFrame, segments: Sequence[tuple[str, str]], names: DataFrame, app: str = "app",
+    sentiment: str = "sentiment", text: str = "texto_limpio", k: int = 4, n_init: int = 10, passes: int = 10, seed: int = 42,
+    stop_words: Sequence[str] = (), threshold: int = WORD_THRESHOLD, max_features: int = 1000,
 ) -> DataFrame:
-    """Cluster one segment and add the topic columns."""
-    rows = df.where(F.col(text).isNotNull()).withColumn("_tokens", split_words(F.col(text)))
-    rows = rows.withColumn("num_palabras", F.size("_tokens"))
-    features = saved(tfidf_features(rows, text, max_features, stop_words, keep=rows.columns), "segment-features")
-    km, _ = kmeans_best(features, k, n_init, seed)
-    bow, _ = with_counts(features, "_tokens")
-    lda = fit_lda(bow, k, passes, seed)
-    scored = with_topic_probabilities(km.transform(bow), lda, k)
+    """Cluster every (app, sentiment) segment by its own models and add the topic columns.
+
+    All segments are modelled together; the reviews are read once. A segment without rows
+    gives none. Rows are told apart by a number of their own, so ids may repeat.
+    """
+    keys = [app, sentiment]
+    wanted = reviews.where(F.col(text).isNotNull() & (segment_code(keys, list(segments)) >= 0))
+    rows = wanted.withColumns({"_row": F.monotonically_increasing_id(), "_tokens": split_words(F.col(text))})
+    rows = saved(rows.withColumn("num_palabras", F.size("_tokens")), "segment-rows")
+    features, _ = segment_features(rows, text, keys, max_features, stop_words)
+    features = saved(features, "segment-features")
+    clusters = fit_clusters(features, "_row", max_features, keys, [k], n_init, seed)
+    models = fit_topics(rows, "_tokens", "_row", keys, [k], passes, seed)
+    scored = with_topic_probabilities(features.withColumn("kmeans_cluster", clusters.assign(F.col("features"), k)), models, k)
     cluster, used = hybrid_topic(
         F.col("num_palabras"), dominant_topic(F.col("lda_probs")), F.col("kmeans_cluster"), threshold
     )
     out = scored.withColumns(
         {
-            "sentimiento_analisis": F.lit(sentiment),
+            "sentimiento_analisis": F.col(sentiment),
             "Cluster_Dominante": cluster,
             "Modelo": used,
             "Palabras_Clave": first_k(F.col(text)),
@@ -171,23 +177,5 @@ def topic_segment(
             **{f"Prob_Topico_{i}": F.col("lda_probs")[i] for i in range(k)},
         }
     )
-    return name_topics(out, names, "sentimiento_analisis", "Cluster_Dominante")
-
-
-def topic_table(
-    reviews: DataFrame, segments: Sequence[tuple[str, str]], names: DataFrame, app: str = "app",
-    sentiment: str = "sentiment", **options,
-) -> DataFrame:
-    """Model every (app, sentiment) segment on its own and stack the results.
-
-    A segment without rows is skipped.
-    """
-    parts = []
-    for a, s in segments:
-        one = reviews.where((F.col(app) == a) & (F.col(sentiment) == s)).drop(sentiment)
-        if not one.isEmpty():
-            parts.append(topic_segment(one, s, names, **options))
-    out = parts[0].select([c for c in TOPIC_COLUMNS if c in parts[0].columns])
-    for p in parts[1:]:
-        out = out.unionByName(p.select([c for c in TOPIC_COLUMNS if c in p.columns]))
-    return out
+    out = name_topics(out, names, "sentimiento_analisis", "Cluster_Dominante")
+    return out.select([c for c in TOPIC_COLUMNS if c in out.columns])

@@ -14,7 +14,7 @@ from catalog.models import judge, write_reviews
 from opinara.functions import prompts, rounding
 from opinara.functions.labels import to_number
 from opinara.functions.text import CONTRACTIONS, expand_contractions, parse_label
-from opinara.operators import balance, coherence, evaluate, features, neighbours, topics
+from opinara.operators import balance, coherence, evaluate, features, neighbours
 from opinara.operators.clean import require_columns, split_location
 from opinara.operators.generate import ask, augment, classify_with_model
 from opinara.operators.hash_order import cut_by_hash, numbered, share_out
@@ -268,22 +268,6 @@ def test_failing_model_gives_fallback(spark):
     assert {r["reply"] for r in asked.collect()} == {"xx", "yy"}
 
 
-def test_topic_models(spark):
-    docs = [(f"r{i}", " ".join((["sun", "sea", "sand"] if i % 2 else ["code", "bug", "test"]) * (1 + i % 5))) for i in range(40)]
-    df = spark.createDataFrame(docs, "reviewId string, texto_limpio string")
-    feats = topics.tfidf_features(df, "texto_limpio", keep=["reviewId"]).cache()
-    sweep = topics.elbow_sweep(feats, ks=(2, 3), n_init=2)
-    assert [k for k, _ in sweep] == [2, 3] and sweep[0][1] >= sweep[1][1] - 1e-9
-    model, cost = topics.kmeans_best(feats, 2, n_init=3)
-    groups = {(int(r["reviewId"][1:]) % 2, r["kmeans_cluster"]) for r in model.transform(feats).collect()}
-    assert len(groups) == 2 and cost == pytest.approx(0, abs=1e-6)
-    bow, vocabulary = topics.with_counts(df.withColumn("t", F.split("texto_limpio", " ")), "t")
-    lda = topics.fit_lda(bow, 2, 5)
-    assert len(topics.top_topic_words(lda, vocabulary, 3)) == 2
-    for r in topics.with_topic_probabilities(bow, lda, 2).collect():
-        assert sum(r["lda_probs"]) == pytest.approx(1)
-
-
 def test_small_rules(spark):
     text = spark.createDataFrame([(x,) for x in ["5", " 4.0 ", "5d", "1e0", ".5", "", "x", None]], "s string")
     got = [r[0] for r in text.select(to_number(F.col("s"))).collect()]
