@@ -8,7 +8,7 @@ from catalog import query
 from catalog.inputs import labelled, raw, reviews, sql, table
 from catalog.texts import STOP, WORD, _in, sql_clean_letters, sql_words
 from opinara.functions import prompts
-from opinara.functions.text import clean_letters
+from opinara.functions.text import clean_letters, feature_tokens
 from opinara.operators import balance as b
 from opinara.operators import evaluate as ev
 from opinara.operators import features as f
@@ -48,9 +48,12 @@ _WEIGHTS = """select reviewId, term, cast(floor(w / sqrt(sum(w * w) over (partit
 _TRAIN_CTES = {**_gram_ctes("reviews", sql_clean_letters("content")), "vocab": _vocab_cte(7000)}
 
 
-def _terms(spark, sf):
-    df = reviews(spark, sf).select("reviewId", "content")
-    return f.with_terms(df, clean_letters(F.col("content")), (1, 3))
+def _texts(spark, sf):
+    return reviews(spark, sf).select("reviewId", "content")
+
+
+def _tokens():
+    return feature_tokens(clean_letters(F.col("content")))
 
 
 def _micro(name: str):
@@ -62,7 +65,7 @@ def _micro(name: str):
     sql("reviews", "select term, ctf, df, cast(floor(idf * 1e6 + 0.5) as bigint) as idf_micro from vocab", **_TRAIN_CTES),
 )
 def _(spark, sf):
-    return f.fit_tfidf(_terms(spark, sf)).table(spark).select("term", "ctf", "df", _micro("idf"))
+    return f.fit_ngrams(_texts(spark, sf), _tokens()).table(spark).select("term", "ctf", "df", _micro("idf"))
 
 
 @query(
@@ -75,13 +78,13 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return f.fit_tfidf(_terms(spark, sf), max_features=3000, min_df=7).table(spark).select("term", "ctf", "df")
+    return f.fit_ngrams(_texts(spark, sf), _tokens(), max_features=3000, min_df=7).table(spark).select("term", "ctf", "df")
 
 
 @query("m2_tfidf_transform", sql("reviews", _WEIGHTS.format(tf="(1 + ln(tf))"), **_TRAIN_CTES))
 def _(spark, sf):
-    terms = _terms(spark, sf)
-    return f.fit_tfidf(terms).long(terms).select("reviewId", "term", _micro("weight"))
+    texts = _texts(spark, sf)
+    return f.fit_ngrams(texts, _tokens()).long_ngrams(texts, _tokens()).select("reviewId", "term", _micro("weight"))
 
 
 @query(

@@ -11,6 +11,7 @@ from catalog.texts import sql_clean_letters
 from opinara.operators.balance import stratified_split
 from opinara.operators.features import TfidfVectoriser
 from opinara.operators.neighbours import knn_classify, nearest, smote
+from opinara.operators.text_neighbours import nearest_texts
 from opinara.operators.topics import assign_to_centroids
 from opinara.session import saved
 
@@ -68,7 +69,7 @@ _TEXT = {
     **_SPLIT,
     "train": "select * from split where split = 'train'",
     **_gram_ctes("train", sql_clean_letters("content")),
-    "vocab": _vocab_cte(2000),
+    "vocab": _vocab_cte(7000),
     **{f"test_{k}": v.replace("flat", "test_flat").replace("docs", "test_docs").replace("grams", "test_grams")
        for k, v in _gram_ctes("(select * from split where split = 'test')", sql_clean_letters("content")).items()},
     "w": """select reviewId, term, w / sqrt(sum(w * w) over (partition by reviewId)) as w from (
@@ -88,10 +89,9 @@ _TEXT = {
 def _(spark, sf):
     split = saved(stratified_split(labelled(spark, sf)), "split")
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
-    model = TfidfVectoriser(inputCol="content").fit(train, max_features=2000)
+    model = TfidfVectoriser(inputCol="content").fit(train, max_features=7000)
     return knn_classify(
-        model.weights(test, "vector"), model.weights(train, "vector"), 7000, "reviewId", "label",
-        cell_rows=1024, block_rows=1024, query_rows=1024,
+        model.weights(test, "vector"), model.weights(train, "vector"), 7000, "reviewId", "label", search=nearest_texts
     )
 
 

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions.text import CLEANERS, feature_tokens
+from opinara.operators.ngrams import frequent_ngrams, ngram_weights
+from opinara.session import saved
 
 
 def _pairs(left: str, right: str, cut: int) -> Column:
@@ -37,8 +39,13 @@ def with_terms(
     df: DataFrame, text: Column, ngram_range: tuple[int, int] = (1, 1), stop_words: Sequence[str] = (), name: str = "terms"
 ) -> DataFrame:
     """Add the list of terms of a text: blank-joined runs of low to high (<= 3) tokens."""
+    return with_ngrams(df, feature_tokens(text, stop_words), ngram_range, name)
+
+
+def with_ngrams(df: DataFrame, tokens: Column, ngram_range: tuple[int, int], name: str = "terms") -> DataFrame:
+    """Add the list of n-grams of a token list."""
     low, high = ngram_range
-    out = df.withColumn("_g1", feature_tokens(text, stop_words))
+    out = df.withColumn("_g1", tokens)
     if high > 1:
         out = out.withColumn("_g2", _pairs("_g1", "_g1", 1))
     if high > 2:
@@ -88,8 +95,15 @@ class Tfidf:
 
     def long(self, df: DataFrame, id_col: str = "reviewId", terms: str = "terms") -> DataFrame:
         """Long table (id, term, weight)."""
+        return self._long(self.weights(df.select(id_col, terms), terms), id_col)
+
+    def long_ngrams(self, df: DataFrame, tokens: Column, id_col: str = "reviewId") -> DataFrame:
+        """Long table (id, term, weight) over the n-grams of a token list."""
+        weights = ngram_weights(tokens, self.terms, self.idf, self.sublinear)
+        return self._long(df.select(id_col, weights.alias("w")), id_col)
+
+    def _long(self, w: DataFrame, id_col: str) -> DataFrame:
         names = F.lit(np.array(self.terms))
-        w = self.weights(df.select(id_col, terms), terms)
         pairs = w.select(id_col, F.explode(F.arrays_zip("w.indices", "w.values")).alias("p"))
         return pairs.select(id_col, F.get(names, F.col("p.indices")).alias("term"), F.col("p.values").alias("weight"))
 
@@ -109,6 +123,23 @@ def fit_tfidf(
     )
 
 
+def fit_ngrams(
+    df: DataFrame, tokens: Column, ngram_range: tuple[int, int] = (1, 3), max_features: int = 7000, min_df: int = 1,
+    sublinear: bool = True,
+) -> Tfidf:
+    """As fit_tfidf over the n-grams of a token list, counted level by level.
+
+    Without single words among the terms there is no bound to begin with; all n-grams are
+    then counted at once.
+    """
+    rows = df.select(tokens.alias("_tokens"))
+    if ngram_range[0] > 1:
+        return fit_tfidf(with_ngrams(rows, F.col("_tokens"), ngram_range), "terms", max_features, min_df, sublinear)
+    stats = saved(term_stats(rows, "_tokens"), "word-counts")
+    found = sorted(frequent_ngrams(rows, "_tokens", stats, ngram_range, max_features, min_df))
+    return Tfidf([t for t, _, _ in found], [c for _, c, _ in found], [d for _, _, d in found], df.count(), sublinear)
+
+
 def count_terms(df: DataFrame, vocabulary: Sequence[str], terms: str, name: str = "counts") -> DataFrame:
     """Add the sparse vector of term counts against a fixed vocabulary."""
     model = CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol=terms, outputCol=name)
@@ -180,20 +211,19 @@ class TfidfVectoriser(Transformer, DefaultParamsReadable, DefaultParamsWritable)
         )
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
-    def terms(self, df: DataFrame, name: str = "_terms") -> DataFrame:
+    def tokens(self) -> Column:
         get = self.getOrDefault
-        text = CLEANERS[get("cleaner")](F.col(get("inputCol")))
-        return with_terms(df, text, tuple(get("ngramRange")), get("stopWords"), name)
+        return feature_tokens(CLEANERS[get("cleaner")](F.col(get("inputCol"))), get("stopWords"))
 
     def fit(self, df: DataFrame, max_features: int = 7000, min_df: int = 1) -> TfidfVectoriser:
-        model = fit_tfidf(self.terms(df), "_terms", max_features, min_df, self.getOrDefault("sublinear"))
+        get = self.getOrDefault
+        model = fit_ngrams(df, self.tokens(), tuple(get("ngramRange")), max_features, min_df, get("sublinear"))
         return self.copy()._set(vocabulary=model.terms, idf=model.idf)
 
     def weights(self, df: DataFrame, name: str = "w") -> DataFrame:
         """The vector as a struct (indices, values)."""
         get = self.getOrDefault
-        out = _weights(self.terms(df), "_terms", name, get("vocabulary"), get("idf"), get("sublinear"))
-        return out.drop("_terms")
+        return df.withColumn(name, ngram_weights(self.tokens(), get("vocabulary"), get("idf"), get("sublinear")))
 
     def _transform(self, df: DataFrame) -> DataFrame:
         size = len(self.getOrDefault("vocabulary"))

@@ -42,15 +42,15 @@ def expected_topics(starts: np.ndarray, counts: np.ndarray, beta: np.ndarray, st
     not depend on the others of its block.
     """
     k = beta.shape[1]
-    n = len(starts)
-    owner = np.repeat(np.arange(n), np.diff(np.append(starts, len(counts))))
-    gamma = 1.0 / k + np.add.reduceat(counts, starts)[:, None] / k * np.ones((1, k))
+    sizes = np.diff(np.append(starts, len(counts)))
+    rows = np.ascontiguousarray(beta.T)
+    gamma = np.repeat((1.0 / k + np.add.reduceat(counts, starts) / k)[None, :], k, axis=0)
     for _ in range(steps):
-        theta = np.exp(digamma(gamma) - digamma(gamma.sum(axis=1, keepdims=True)))
-        share = theta[owner] * beta
-        share *= (counts / (share.sum(axis=1) + 1e-100))[:, None]
-        gamma = 1.0 / k + np.add.reduceat(share, starts, axis=0)
-    return gamma, share
+        theta = np.exp(digamma(gamma) - digamma(gamma.sum(axis=0)))
+        share = np.repeat(theta, sizes, axis=1) * rows
+        share *= counts / (share.sum(axis=0) + 1e-100)
+        gamma = 1.0 / k + np.add.reduceat(share, starts, axis=1)
+    return gamma.T, share.T
 
 
 def _bags(df: DataFrame, tokens: str, row_id: str, keys: Sequence[str], block_rows: int) -> DataFrame:
@@ -173,7 +173,7 @@ def _first_weight(keys: Sequence[str], j: int, seed: int) -> Column:
 
 def fit_topics(
     df: DataFrame, tokens: str, row_id: str, keys: Sequence[str] = (), ks: Sequence[int] = (4,), passes: int = 10,
-    seed: int = 42, block_rows: int = 2048,
+    seed: int = 42, block_rows: int = 1024,
 ) -> TopicModels:
     """Models with each of the topic counts `ks` for every segment, that is, combination of `keys`.
 

@@ -10,7 +10,7 @@ query, never the pairs. No candidate is dropped: the result is exact.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -278,10 +278,14 @@ def vote(neighbours: DataFrame, query_id: str, label: str, name: str = "predicti
 
 
 def knn_classify(
-    test: DataFrame, train: DataFrame, dim: int, id_col: str, label: str, vector: str = "vector", k: int = 5, **options
+    test: DataFrame, train: DataFrame, dim: int, id_col: str, label: str, vector: str = "vector", k: int = 5,
+    search: Callable[..., DataFrame] = nearest, **options,
 ) -> DataFrame:
-    """Distance-weighted k-nearest-neighbour labels (cosine) for the test rows."""
-    found = nearest(
+    """Distance-weighted k-nearest-neighbour labels (cosine) for the test rows.
+
+    `search` is `nearest`, or `text_neighbours.nearest_texts` for sparse vectors of texts.
+    """
+    found = search(
         test.withColumnRenamed(id_col, "query_id"), train.withColumnRenamed(id_col, "base_id"), k, dim,
         vector=vector, carry=[label], **options,
     )

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from opinara.operators.evaluate import classification_report, macro_f1
 from opinara.operators.features import TfidfVectoriser, pack_vector
 from opinara.operators.neighbours import knn_classify, smote
+from opinara.operators.text_neighbours import nearest_texts
 from opinara.session import saved
 
 # Default class weights of the logistic regression.
@@ -75,7 +76,7 @@ class KnnText:
         rows = self.vectoriser.weights(df.select(id_col, self.vectoriser.getOrDefault("inputCol")), "vector")
         dim = len(self.vectoriser.getOrDefault("vocabulary"))
         train = self.train.select(F.col("row_id").alias(id_col), F.col("label").alias("_l"), "vector")
-        found = knn_classify(rows.select(id_col, "vector"), train, dim, id_col, "_l", k=self.k)
+        found = knn_classify(rows.select(id_col, "vector"), train, dim, id_col, "_l", k=self.k, search=nearest_texts)
         return df.join(found, id_col)
 
     def save(self, path: str) -> None:
