@@ -36,14 +36,15 @@ def _(spark, sf):
     df = df.withColumn("Unnamed: 0", doc.cast("string"))
     line = lambda names: F.to_csv(F.struct(*[F.col(f"`{c}`") for c in names]), options)
     full = F.when(doc % 2 == 0, F.when((doc % 19 == 0) & (doc % 17 != 0), line(_FIELDS[:-1])).otherwise(line(_FIELDS))).otherwise(line(turned))
-    surplus = F.when(doc % 34 == 0, ",").when(doc % 17 == 0, ",surplus").otherwise("")
+    # One surplus field, empty or not; two, of which the first or both are empty.
+    surplus = F.when(doc % 17 == 0, F.get(F.array(*[F.lit(x) for x in (",", ",surplus", ",,", ",,surplus")]), (doc % 4).cast("int"))).otherwise("")
     head = F.when(F.col("id") % 2 == 0, ",".join(_FIELDS)).otherwise(",".join(turned))
     body = df.select((doc % 8).alias("part"), F.lit(1).alias("ord"), F.concat(full, surplus).alias("value"))
     heads = spark.range(8).select(F.col("id").alias("part"), F.lit(0).alias("ord"), head.alias("value"))
     path = scratch_path(spark, "csv")
     lines = body.unionByName(heads).repartition("part").sortWithinPartitions("part", "ord")
     lines.select("part", "value").write.partitionBy("part").text(path)
-    return tb.read_csv(spark, path, _FIELDS, multi_line=True)
+    return tb.read_csv(spark, path, _FIELDS)
 
 
 @query(
@@ -53,12 +54,10 @@ def _(spark, sf):
 def _(spark, sf):
     root = scratch_path(spark, "segments")
     df = reviews(spark, sf)
-    names = [(a, s) for a in ("AppA", "AppB") for s in ("negative", "neutral", "positive")]
-    for a, s in names:
-        part = df.where((F.col("app") == a) & (F.col("sentiment") == s)).select("reviewId", "content")
-        tb.write_table(part, f"{root}/{a.lower()}_{s}.csv", "csv")
-    wanted = [f"{root}/{a.lower()}_{s}.csv" for a, s in names] + [f"{root}/appc_positive.csv"]
-    scan = tb.read_csv(spark, tb.existing_paths(spark, wanted), ["reviewId", "content"], multi_line=True, with_file=True)
+    parts = df.select("reviewId", "content", F.concat_ws("_", F.lower("app"), "sentiment").alias("segment"))
+    parts.write.partitionBy("segment").option("header", True).option("escape", '"').csv(root)
+    wanted = [f"{root}/segment={a}_{s}" for a in ("appa", "appb", "appc") for s in ("negative", "neutral", "positive")]
+    scan = tb.read_csv(spark, tb.existing_paths(spark, wanted), ["reviewId", "content"], with_file=True)
     tagged = tb.tag_from_file_name(scan, {"appa": "AppA"}, "AppB", level=2)
     return tagged.groupBy("app", "sentimiento_analisis").agg(F.count(F.lit(1)).alias("n"))
 

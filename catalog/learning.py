@@ -266,29 +266,37 @@ def _prompt_sql(template: str, **slots: str) -> str:
     return text
 
 
-_STAR_SQL = _prompt_sql(prompts.STAR_PROMPT, n="cast(n_wanted as varchar)", label="cast(label as varchar)", exemplars="shown")
-_SECTOR_SQL = _prompt_sql(
-    prompts.SECTOR_PROMPT, industry="'dating app'", n="cast(n_wanted as varchar)", label="cast(label as varchar)", exemplars="shown"
-)
+# Templates and examples of the catalogue; a user brings their own.
+STARS = "Stars: {label}. Samples: {exemplars}. Number of texts: {n}. Separator: ##"
+TOPIC = "Topic: {topic}. Class: {label}. Samples: {exemplars}. Number of texts: {n}. Separator: ##"
+LABEL = "Digit for the text.\n{examples}\n{text} =>"
+EXAMPLES = [("fine weather", "2"), ("lost luggage", "0")]
+STAR_PROMPT = prompts.request_prompt(STARS)
+TOPIC_PROMPT = prompts.request_prompt(TOPIC, topic="dating")
+LABEL_PROMPT = prompts.label_prompt(LABEL, EXAMPLES)
+
+_STAR_SQL = _prompt_sql(STARS, n="cast(n_wanted as varchar)", label="cast(label as varchar)", exemplars="shown")
+_TOPIC_SQL = _prompt_sql(TOPIC, topic="'dating'", n="cast(n_wanted as varchar)", label="cast(label as varchar)", exemplars="shown")
+LABEL_SQL = _prompt_sql(LABEL, examples="'" + "\n".join(f"{t} => {x}" for t, x in EXAMPLES) + "'", text="content")
 
 
-@query("b4_augment_requests", sql("labelled", "select * from prompts", **_requests_sql(5, 3, _SECTOR_SQL)))
+@query("b4_augment_requests", sql("labelled", "select * from prompts", **_requests_sql(5, 3, _TOPIC_SQL)))
 def _(spark, sf):
     return b.augment_requests(
-        labelled(spark, sf), "label", "content", prompts.sector_prompt("dating app"), classes=[0, 1, 2, 7]
+        labelled(spark, sf), "label", "content", TOPIC_PROMPT, classes=[0, 1, 2, 7]
     )
 
 
 @query("t17_build_prompt", sql("labelled", "select * from prompts", **_requests_sql(4, 2, _STAR_SQL)))
 def _(spark, sf):
     return b.augment_requests(
-        labelled(spark, sf), "label", "content", prompts.star_prompt, classes=[0, 1, 2, 7], batch=4, k=2
+        labelled(spark, sf), "label", "content", STAR_PROMPT, classes=[0, 1, 2, 7], batch=4, k=2
     )
 
 
 @query(
     "t17_classify_prompt",
-    sql("reviews", f"select reviewId, {_prompt_sql(prompts.CLASSIFY_PROMPT, text='content')} as prompt from reviews"),
+    sql("reviews", f"select reviewId, {LABEL_SQL} as prompt from reviews"),
 )
 def _(spark, sf):
-    return reviews(spark, sf).select("reviewId", prompts.classify_prompt(F.col("content")).alias("prompt"))
+    return reviews(spark, sf).select("reviewId", LABEL_PROMPT(F.col("content")).alias("prompt"))

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.inputs import labelled, reviews, sql
-from catalog.learning import _SECTOR_SQL, _SPLIT, _prompt_sql, _requests_sql
+from catalog.learning import _SPLIT, _TOPIC_SQL, LABEL_PROMPT, LABEL_SQL, STAR_PROMPT, TOPIC_PROMPT, _requests_sql
 from catalog.texts import STOP, WORD, _in, sql_clean_letters, sql_words
-from opinara.functions import prompts
 from opinara.functions.text import clean_letters
 from opinara.operators import coherence as co
 from opinara.operators import topics as tp
@@ -20,7 +19,6 @@ from opinara.operators.balance import stratified_split
 from opinara.operators.centroids import fit_clusters
 from opinara.operators.features import TfidfVectoriser
 from opinara.operators.generate import augment, classify_with_model
-from opinara.operators.hash_order import group_sizes
 from opinara.operators.lda import fit_topics
 from opinara.plans import classification as cl
 from opinara.session import saved, scratch_path
@@ -31,7 +29,7 @@ from opinara.session import saved, scratch_path
 def write_reviews(batch: list[str]) -> list[str]:
     out = []
     for p in batch:
-        n, mark = int(re.search(r"exactly (\d+)", p).group(1)), hashlib.md5(p.encode()).hexdigest()[:12]
+        n, mark = int(re.search(r"Number of texts: (\d+)", p).group(1)), hashlib.md5(p.encode()).hexdigest()[:12]
         parts = [f' "Review {i} written for request {mark}" ' for i in range(n)]
         out.append("Sure, here are the reviews:\n" + "##".join([*parts, "short", *parts[:1]]))
     return out
@@ -49,36 +47,38 @@ def judge(batch: list[str]) -> list[str]:
         """select label, content from labelled union all
         select label, 'Review ' || i || ' written for request ' || substr(md5(prompt), 1, 12)
         from prompts, range(5) r(i) where i < n_wanted""",
-        **_requests_sql(5, 3, _SECTOR_SQL),
+        **_requests_sql(5, 3, _TOPIC_SQL),
     ),
 )
 def _(spark, sf):
     df = labelled(spark, sf)
-    full = augment(df, "label", "content", write_reviews, prompts.sector_prompt("dating app"), classes=[0, 1, 2, 7])
+    full = augment(df, "label", "content", write_reviews, TOPIC_PROMPT, classes=[0, 1, 2, 7])
     return full.select("label", "content")
 
 
 @query(
     "b5_augment_loose",
-    sql("labelled", "select label, max(n) over () as at_least from (select label, count(*) as n from labelled group by 1)"),
+    sql(
+        "labelled",
+        """select label, n + lack + (lack + 3) // 4 as n from (select label, n, max(n) over () - n as lack
+        from (select label, count(*) as n from labelled group by 1))""",
+    ),
 )
 def _(spark, sf):
-    df = labelled(spark, sf)
-    full = augment(df, "label", "content", write_reviews, prompts.star_prompt, strict=False, batch=4, k=2)
-    target = max(group_sizes(df, "label").values())
-    sizes = full.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.select("label", F.least("n", F.lit(target)).alias("at_least"))
+    """Class sizes; each request of four texts brings one more than asked for, which the loose form keeps."""
+    full = augment(labelled(spark, sf), "label", "content", write_reviews, STAR_PROMPT, strict=False, batch=4, k=2)
+    return full.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
     "s9_augmentation_checkpoint",
     sql("labelled", "select label, count(*) as n_requests, cast(sum(n_wanted) as bigint) as n_rows from prompts group by label",
-        **_requests_sql(5, 3, _SECTOR_SQL)),
+        **_requests_sql(5, 3, _TOPIC_SQL)),
 )
 def _(spark, sf):
     """A second run over the stored replies asks for nothing and adds nothing."""
     path = scratch_path(spark, "replies")
-    args = (labelled(spark, sf), "label", "content", write_reviews, prompts.sector_prompt("dating app"), [0, 1, 2, 7])
+    args = (labelled(spark, sf), "label", "content", write_reviews, TOPIC_PROMPT, [0, 1, 2, 7])
     augment(*args, path=path)
     augment(*args, path=path)
     stored = spark.read.parquet(path)
@@ -94,13 +94,13 @@ _JUDGED = """select content, case when h <= '5' then 0 when h in ('a', 'b', 'c',
     sql(
         "reviews",
         _JUDGED.format(
-            p=_prompt_sql(prompts.CLASSIFY_PROMPT, text="content"),
+            p=LABEL_SQL,
             rows="(select * from reviews order by md5(reviewId), reviewId limit 100)",
         ),
     ),
 )
 def _(spark, sf):
-    return classify_with_model(reviews(spark, sf), judge)
+    return classify_with_model(reviews(spark, sf), judge, LABEL_PROMPT)
 
 
 # Sentiment models.
@@ -152,7 +152,7 @@ def _(spark, sf):
 def _(spark, sf):
     train, dev, _ = _tables(spark, sf)
     richer = saved(
-        augment(train, "label", "content", write_reviews, prompts.sector_prompt("dating app"), classes=[0, 1]), "train-augmented"
+        augment(train, "label", "content", write_reviews, TOPIC_PROMPT, classes=[0, 1]), "train-augmented"
     )
     scores, _ = cl.model_grid({"None": train, "IA": richer, "SMOTE": train}, dev, max_features=_FEATURES)
     return scores

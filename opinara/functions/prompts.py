@@ -1,7 +1,12 @@
-"""Prompt texts for a user-supplied text model, rendered as column expressions."""
+"""Prompt texts for a user-supplied text model, rendered as column expressions.
+
+Templates are the user's. {slots} are filled with columns; no text is built in.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,34 +27,14 @@ def _render(template: str, **slots: Column) -> Column:
     return F.concat(*out)
 
 
-STAR_PROMPT = (
-    "You use a dating app. Write exactly {n} very short reviews that rate it {label} out of 5. "
-    "Put '##' between reviews and do not number them. Reference style: {exemplars}"
-)
-SECTOR_PROMPT = (
-    "You write synthetic reviews for the {industry} sector. Write exactly {n} different user reviews of class {label}. "
-    "Style to follow without copying: {exemplars}. "
-    "Reply with the reviews only, no introduction, no rules, no quotes, and put '##' between reviews."
-)
-CLASSIFY_PROMPT = (
-    "You judge comments about a dating app. Reply with one digit only: 0 negative, 1 neutral, 2 positive.\n"
-    "'What a great app' -> 2\n'This app never works' -> 0\n'Same as all the others' -> 1\n"
-    'Comment: "{text}"\nPrediction:'
-)
-
-
-def star_prompt(n: Column, label: Column, exemplars: Column) -> Column:
-    """Loose request: n short reviews with a star rating."""
-    return _render(STAR_PROMPT, n=n, label=label, exemplars=exemplars)
-
-
-def sector_prompt(industry: str = "general products"):
-    """Strict request for a sector: n reviews of a class."""
+def request_prompt(template: str, **fixed: str) -> Callable[[Column, Column, Column], Column]:
+    """Renders a request for texts: {n}, {label} and {exemplars} by class, other slots from `fixed`."""
     return lambda n, label, exemplars: _render(
-        SECTOR_PROMPT, industry=F.lit(industry), n=n, label=label, exemplars=exemplars
+        template, n=n, label=label, exemplars=exemplars, **{k: F.lit(v) for k, v in fixed.items()}
     )
 
 
-def classify_prompt(text: Column) -> Column:
-    """Few-shot request for one label."""
-    return _render(CLASSIFY_PROMPT, text=text)
+def label_prompt(template: str, examples: Sequence[tuple[str, str]] = ()) -> Callable[[Column], Column]:
+    """Renders a request for the label of {text}; {examples} holds the given (text, label) pairs, one a line."""
+    shown = "\n".join(f"{text} => {label}" for text, label in examples)
+    return lambda text: _render(template, text=text, examples=F.lit(shown))

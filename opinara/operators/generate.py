@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinara.functions.prompts import classify_prompt
 from opinara.functions.text import parse_label, parse_replies, parse_replies_strict
 from opinara.operators.balance import exemplars, plan_requests, sample_n
 from opinara.operators.hash_order import group_sizes
@@ -23,26 +22,31 @@ from opinara.sources.tables import existing_paths
 Reply = Callable[[list[str]], list[str]]
 
 
-def _answers(reply: Reply, prompts: list[str]) -> list[str | None]:
-    """Replies of a batch; when it fails, of each prompt; null for a failing one."""
+def _answers(reply: Reply, prompts: list[str]) -> list[tuple[str | None, str | None]]:
+    """(reply, error) of each prompt; a batch that fails is asked again one by one."""
     try:
-        return list(reply(prompts))
-    except Exception:  # noqa: BLE001
+        found = list(reply(prompts))
+        if len(found) != len(prompts):
+            raise ValueError(f"{len(found)} replies to {len(prompts)} prompts")
+        return [(r, None) for r in found]
+    except Exception as failure:  # noqa: BLE001
         if len(prompts) == 1:
-            return [None]
+            return [(None, f"{type(failure).__name__}: {failure}")]
         return [_answers(reply, [p])[0] for p in prompts]
 
 
 def ask(requests: DataFrame, reply: Reply, prompt: str = "prompt", tasks: int | None = None, key: Sequence[str] = ()) -> DataFrame:
-    """Add the column `reply`. Requests are spread over all cores first."""
+    """Add `reply` and `error`, the text of what a prompt failed with. Requests are spread over all cores first."""
     n = tasks or requests.sparkSession.sparkContext.defaultParallelism * 4
     spread = requests.repartition(n, *(key or [prompt]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(reply=_answers(reply, pdf[prompt].tolist()))
+            found = _answers(reply, pdf[prompt].tolist())
+            yield pdf.assign(reply=[r for r, _ in found], error=[e for _, e in found])
 
-    schema = T.StructType([*requests.schema.fields, T.StructField("reply", T.StringType())])
+    added = [T.StructField(c, T.StringType()) for c in ("reply", "error")]
+    schema = T.StructType([*requests.schema.fields, *added])
     return spread.mapInPandas(run, schema)
 
 
@@ -72,7 +76,8 @@ def augment(
     Replies are appended to the table at `path`, partitioned by class, after about every
     `commit_every` requests (more where a round would need over `max_commits` writes);
     a run that is started again with the same path asks only for what is not stored
-    yet. A round in which every reply fails is an error.
+    yet. A failing prompt is stored with the text of its error; a round in which every
+    reply fails is an error. New rows get ids of their own where `order` is a text column.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "replies")
@@ -87,6 +92,7 @@ def augment(
             T.StructField("request_no", T.LongType()),
             T.StructField("n_wanted", T.IntegerType()),
             T.StructField("reply", T.StringType()),
+            T.StructField("error", T.StringType()),
             T.StructField(label, kind),
         ]
     )
@@ -99,7 +105,9 @@ def augment(
 
     def rows(answers: DataFrame) -> DataFrame:
         pieces = parse_replies_strict(F.col("reply"), F.col("n_wanted")) if strict else parse_replies(F.col("reply"))
-        return answers.select(label, "round", F.explode(pieces).alias(text))
+        each = answers.select(label, "round", "request_no", F.posexplode(pieces).alias("_at", text))
+        name = F.concat_ws("-", F.lit("new"), F.col(label).cast("string"), "round", "request_no", "_at")
+        return each.withColumn(order, name)
 
     for turn in range(max_rounds + 1):
         got = group_sizes(rows(replies().where(F.col("round") < turn)), label)
@@ -115,18 +123,23 @@ def augment(
             mine = requests.where(F.pmod(F.xxhash64(label, "request_no"), F.lit(commits)) == part)
             done = replies().where(F.col("round") == turn).select(label, "request_no")
             new = ask(mine.join(done, [label, "request_no"], "left_anti"), reply, key=[label, "request_no"])
-            new.select(F.lit(turn).alias("round"), "request_no", "n_wanted", "reply", label).write.mode(
+            new.select(F.lit(turn).alias("round"), "request_no", "n_wanted", "reply", "error", label).write.mode(
                 "append"
             ).partitionBy(label).parquet(path)
         if replies().where((F.col("round") == turn) & F.col("reply").isNotNull()).isEmpty():
-            raise RuntimeError(f"no request of round {turn} got a reply")
-    return df.unionByName(rows(replies()).select(text, label), allowMissingColumns=True)
+            said = replies().where(F.col("round") == turn).agg(F.min("error")).first()[0]
+            raise RuntimeError(f"no request of round {turn} got a reply: {said}")
+    new = rows(replies()).select(text, label, order)
+    if order not in df.columns or not isinstance(df.schema[order].dataType, T.StringType):
+        new = new.drop(order)
+    return df.unionByName(new, allowMissingColumns=True)
 
 
 def classify_with_model(
-    df: DataFrame, reply: Reply, text: str = "content", id_col: str = "reviewId", n: int | None = 100, fallback: int = 1
+    df: DataFrame, reply: Reply, prompt: Callable[[Column], Column], text: str = "content", id_col: str = "reviewId",
+    n: int | None = 100, fallback: int = 1,
 ) -> DataFrame:
     """(text, prediction) of n sampled rows (all rows with n=None) by a text model."""
     rows = df.select(id_col, text) if n is None else sample_n(df.select(id_col, text), n, id_col)
-    asked = ask(rows.withColumn("prompt", classify_prompt(F.col(text))), reply, key=[id_col])
+    asked = ask(rows.withColumn("prompt", prompt(F.col(text))), reply, key=[id_col])
     return asked.select(text, parse_label(F.col("reply"), fallback).alias("prediction"))

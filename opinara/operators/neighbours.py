@@ -319,8 +319,12 @@ def smote(
     A class that lacks rows spreads them evenly over its members in hash order.
     Each synthetic row lies between a member and one of its k nearest members of
     the class; neighbour and place are drawn from the hash of (id, copy).
-    Columns: id, copy, neighbour id, u, label, vector.
+    Columns: id, copy, neighbour id, u, label, vector. Ids that repeat are an error, since a
+    row is found again by its id.
     """
+    twice = df.where(F.col(label).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"ids of more than one row: {[r[id_col] for r in twice]}")
     sizes = group_sizes(df, label)
     target = max(sizes.values(), default=0)
     short = {c: target - n for c, n in sizes.items() if n < target}

@@ -25,45 +25,46 @@ def shift(tokens: Column, by: int) -> Column:
     return F.concat(none, F.slice(tokens, F.lit(1), F.greatest(n - 1, F.lit(0))))
 
 
+def numbered_rows(df: DataFrame) -> DataFrame:
+    """df with `_row`, a number of each row that stays the same when it is read again."""
+    return saved(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def lemmatise(
-    df: DataFrame, lexicon: DataFrame, stop_words: Sequence[str], id_col: str = "reviewId", tokens: str = "tokens"
+    df: DataFrame, lexicon: DataFrame, stop_words: Sequence[str], tokens: str = "tokens"
 ) -> DataFrame:
     """Content lemmas per review, with 'not_<lemma>' for a negated ADJ or VERB.
 
-    lexicon(token, lemma, pos), one row per token. Neighbours travel with each
-    token, so no window over the review is needed; the only shuffle regroups the
-    emitted lemmas by review. Reviews without a lemma keep an empty list.
+    lexicon(token, lemma, pos), one row per token, is looked up once for each token. The
+    only shuffle of tokens regroups them by row, with their tags; the list is then in
+    order, so neighbours are the same list shifted by one. Rows have a number of their own:
+    ids may repeat. Reviews without a lemma keep an empty list.
     """
-    lex = lexicon.select("token", F.struct("lemma", "pos").alias("tag"))
-    docs = df.select(id_col, F.col(tokens).alias("_t"))
-    flat = docs.select(
-        id_col, F.posexplode(F.arrays_zip(shift(F.col("_t"), -1).alias("prev"), F.col("_t").alias("tok"), shift(F.col("_t"), 1).alias("next"))).alias("pos", "z")
-    ).select(id_col, "pos", "z.prev", "z.tok", "z.next")
-
-    def tag(d: DataFrame, col: str) -> DataFrame:
-        side = lex.select(F.col("token").alias(col), F.col("tag").alias(f"{col}_tag"))
-        return d.join(side, col, "left")
-
-    tagged = tag(tag(tag(flat, "tok"), "next"), "prev")
-    lemma, pos = F.col("tok_tag.lemma"), F.col("tok_tag.pos")
-    merges = lemma.isin(*NEGATIONS) & F.col("next_tag.pos").isin(*NEGATED_POS)
-    consumed = F.col("prev_tag.lemma").isin(*NEGATIONS) & pos.isin(*NEGATED_POS)
-    content = (
-        ~F.col("tok").isin(*stop_words)
-        & F.col("tok").rlike(r"^\p{L}+$")
-        & (F.length(lemma) > 1)
-        & pos.isin(*CONTENT_POS)
-    )
-    out = (
-        F.when(F.coalesce(consumed, F.lit(False)), None)
-        .when(F.coalesce(merges, F.lit(False)), F.concat(F.lit("not_"), F.col("next_tag.lemma")))
-        .when(F.coalesce(content, F.lit(False)), lemma)
+    rows = numbered_rows(df)
+    lex = lexicon.select(F.col("token").alias("tok"), "lemma", F.col("pos").alias("tag"))
+    flat = rows.select("_row", F.posexplode(tokens).alias("pos", "tok"))
+    tagged = flat.join(lex, "tok", "left").groupBy("_row").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "tok", "lemma", "tag"))).alias("_w")
     )
-    emitted = tagged.select(id_col, "pos", out.alias("out")).where(F.col("out").isNotNull())
-    lists = emitted.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "out"))).alias("o"))
-    return df.join(lists, id_col, "left").withColumn(
-        "lemmas", F.coalesce(F.col("o.out"), F.array().cast("array<string>"))
-    ).drop("o")
+    w = F.col("_w")
+    merges = lambda x, y: x["lemma"].isin(*NEGATIONS) & y["tag"].isin(*NEGATED_POS)
+
+    def content(x: Column) -> Column:
+        return (
+            ~x["tok"].isin(*stop_words) & x["tok"].rlike(r"^\p{L}+$") & (F.length(x["lemma"]) > 1) & x["tag"].isin(*CONTENT_POS)
+        )
+
+    def lemma(x: Column, i: Column) -> Column:
+        before, after = F.get(w, i - 1), F.get(w, i + 1)
+        return (
+            F.when(F.coalesce(merges(before, x), F.lit(False)), None)
+            .when(F.coalesce(merges(x, after), F.lit(False)), F.concat(F.lit("not_"), after["lemma"]))
+            .when(F.coalesce(content(x), F.lit(False)), x["lemma"])
+        )
+
+    lists = tagged.select("_row", F.filter(F.transform(w, lemma), lambda x: x.isNotNull()).alias("lemmas"))
+    out = rows.join(lists, "_row", "left").drop("_row")
+    return out.withColumn("lemmas", F.coalesce("lemmas", F.array().cast("array<string>")))
 
 
 def learn_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, threshold: float = 10.0) -> DataFrame:
@@ -93,32 +94,33 @@ def learn_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, thr
     return joined.select("a", "b", "n_ab", "n_a", "n_b", score.alias("score")).where(F.col("score") > threshold)
 
 
-def apply_phrases(df: DataFrame, phrases: DataFrame, id_col: str = "reviewId", tokens: str = "tokens") -> DataFrame:
+def apply_phrases(df: DataFrame, phrases: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Merge learned pairs to 'a_b', left to right without overlap.
 
     Only the positions of learned pairs are shuffled. In each run of consecutive
     positions the 1st, 3rd, 5th ... pair merges. The list is then rebuilt in
-    place from slices.
+    place from slices. Rows have a number of their own: ids may repeat.
     """
+    df = numbered_rows(df)
     t = F.col(tokens)
     side = phrases.select("a", "b")
     hits = (
-        df.select(id_col, F.posexplode(F.arrays_zip(t.alias("a"), shift(t, 1).alias("b"))).alias("pos", "p"))
+        df.select("_row", F.posexplode(F.arrays_zip(t.alias("a"), shift(t, 1).alias("b"))).alias("pos", "p"))
         .where(F.col("p.b").isNotNull())
-        .select(id_col, "pos", "p.a", "p.b")
+        .select("_row", "pos", "p.a", "p.b")
         .join(side, ["a", "b"])
-        .select(id_col, "pos")
+        .select("_row", "pos")
     )
-    by_pos = Window.partitionBy(id_col).orderBy("pos")
+    by_pos = Window.partitionBy("_row").orderBy("pos")
     runs = hits.withColumn("run", F.col("pos") - F.row_number().over(by_pos))
-    in_run = Window.partitionBy(id_col, "run").orderBy("pos")
+    in_run = Window.partitionBy("_row", "run").orderBy("pos")
     starts = (
         runs.withColumn("k", F.row_number().over(in_run))
         .where(F.col("k") % 2 == 1)
-        .groupBy(id_col)
+        .groupBy("_row")
         .agg(F.sort_array(F.collect_list("pos")).alias("_s"))
     )
-    joined = df.join(starts, id_col, "left")
+    joined = df.join(starts, "_row", "left")
     s = F.col("_s")
     # Piece i: the words after merge i-1 up to merge i, then the merged pair.
     before = F.concat(F.array(F.lit(-2)), F.slice(s, F.lit(1), F.size(s) - 1))
@@ -132,7 +134,7 @@ def apply_phrases(df: DataFrame, phrases: DataFrame, id_col: str = "reviewId", t
     last = F.element_at(s, -1)
     tail = F.slice(t, last + 3, F.size(t) - last - 2)
     merged = F.when(s.isNull(), t).otherwise(F.concat(F.flatten(pieces), tail))
-    return joined.withColumn("_m", merged).drop("_s", tokens).withColumnRenamed("_m", tokens)
+    return joined.withColumn("_m", merged).drop("_s", "_row", tokens).withColumnRenamed("_m", tokens)
 
 
 def vocabulary(

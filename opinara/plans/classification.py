@@ -104,7 +104,7 @@ def training_vectors(
 ) -> DataFrame:
     """(row_id, label, vector) of the training rows, with SMOTE rows if asked for."""
     rows = vectoriser.weights(train.where(F.col(label).isNotNull()), "vector").select(
-        F.coalesce(F.col(id_col), F.concat(F.lit("new-"), F.md5(F.coalesce(F.col(vectoriser.getOrDefault("inputCol")), F.lit(""))))).cast("string").alias("row_id"),
+        F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("row-"), F.monotonically_increasing_id())).alias("row_id"),
         F.col(label).cast("int").alias("label"), "vector",
     )
     rows = saved(rows, "training-vectors")

@@ -24,7 +24,7 @@ def surface_tokens(df: DataFrame, text: str, emoji: Mapping[str, str], name: str
 
 def normalise_texts(
     df: DataFrame, lexicon: DataFrame, stop_words: Sequence[str], emoji: Mapping[str, str] | None = None,
-    text: str = "content", id_col: str = "reviewId", min_count: int = 5, threshold: float = 10.0,
+    text: str = "content", min_count: int = 5, threshold: float = 10.0,
 ) -> tuple[DataFrame, DataFrame]:
     """(reviews with text_final, vocabulary): lemmas, negations and learned pairs.
 
@@ -33,9 +33,9 @@ def normalise_texts(
     """
     column = text_column(df, text)
     rows = df.where(nonblank(F.col(column)))
-    lemmas = lemmatise(surface_tokens(rows, column, emoji or {}), lexicon, stop_words, id_col)
+    lemmas = lemmatise(surface_tokens(rows, column, emoji or {}), lexicon, stop_words)
     lemmas = saved(lemmas.drop("tokens").withColumnRenamed("lemmas", "tokens"), "lemmas")
-    merged = apply_phrases(lemmas, learn_phrases(lemmas, "tokens", min_count, threshold), id_col)
+    merged = apply_phrases(lemmas, learn_phrases(lemmas, "tokens", min_count, threshold))
     merged = saved(merged, "merged-tokens")
     return join_tokens(merged), vocabulary(merged)
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
-from functools import reduce
-from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinara.session import saved
+from opinara.sources.records import crossing_records, lines_of, parse, scan_blocks, starts_inside, whole_records
+
 # Field texts that count as null when a table is read from CSV.
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -22,73 +23,57 @@ FILE_PATH = "_file_path"
 
 
 def read_csv(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, *, multi_line: bool = False,
-    with_file: bool = False,
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, *, with_file: bool = False
 ) -> DataFrame:
     """Tolerant CSV scan by header name: every field a string, rows with surplus fields dropped.
 
-    Each file's own header line names its fields, so files may order them differently
-    and have more of them; files with the same header are read together. The result
-    has the wanted `columns` (missing ones null), or all columns of all files without
-    those left over from spreadsheets. Short rows are padded with nulls; a surplus
-    field drops its row, a single one even when it is empty. There is no schema inference pass.
-    Quoted line breaks need `multi_line`, which makes a file the unit of parallelism.
+    Each file's first record names its fields, so files may order them differently and
+    have more of them. The result has the wanted `columns` (missing ones null), or all
+    columns of all files without those left over from spreadsheets; of equal names the
+    first counts. Short rows are padded with nulls; a row with more fields than its header
+    goes, even if the surplus ones are empty; so do blank lines. Quoted fields may hold line
+    breaks, and a file is still read in splits (see `records`). There is no schema inference.
     `with_file` adds the path of each row's file.
+
+    Tasks read the headers. The driver gets the different ones, the files that do not have
+    the commonest one, and the splits that begin inside a quoted field.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in _files(spark, paths):
-        by_header.setdefault(tuple(header_columns(spark, file)), []).append(file)
-    wanted = columns if columns is not None else list(dict.fromkeys(c for h in by_header for c in h if not c.startswith("Unnamed")))
-    parts = [_read_fields(spark, files, header, wanted, multi_line) for header, files in by_header.items() if header]
-    if not parts:
-        fields = [*wanted, *[FILE_PATH] * with_file]
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in fields]))
-    out = reduce(DataFrame.union, parts)
+    lines = lines_of(spark, paths) if paths else spark.createDataFrame([], "file string, at bigint, line string")
+    blocks = saved(scan_blocks(lines), "csv-blocks")
+    named = blocks.where("at = 0 and header is not null")
+    common = [r["header"] for r in named.groupBy("header").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "header").collect()]
+    other = {r["file"]: r["header"] for r in named.where(F.col("header") != F.lit(common[0])).select("file", "header").collect()} if common else {}
+    names = dict.fromkeys(c for h in sorted(common) for c in h if not c.startswith("Unnamed"))
+    wanted = list(columns) if columns is not None else list(names)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*wanted, FILE_PATH]])
+    if not common:
+        return spark.createDataFrame([], schema if with_file else schema[:-1])
+    inside = set(starts_inside(blocks))
+
+    def make(file: str, rows: list[list[str]]) -> pa.RecordBatch:
+        header = other.get(file, common[0])
+        rows = [r for r in rows if len(r) <= len(header)]
+        out = []
+        for c in wanted:
+            k = header.index(c) if c in header else len(header)
+            values = (r[k] if k < len(r) else None for r in rows)
+            out.append(pa.array([None if v in NULL_TOKENS else v for v in values], pa.string()))
+        return pa.RecordBatch.from_arrays([*out, pa.array([file] * len(rows), pa.string())], schema=_arrow(schema))
+
+    def parse_texts(batches):
+        for batch in batches:
+            for file, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                yield make(file, parse(text.split("\n")))
+
+    out = whole_records(lines, inside, make, schema)
+    if inside:
+        out = out.unionByName(crossing_records(lines, inside).mapInArrow(parse_texts, schema))
     return out if with_file else out.drop(FILE_PATH)
 
 
-def _read_fields(spark: SparkSession, files: list[str], header: Sequence[str], wanted: Sequence[str], multi_line: bool) -> DataFrame:
-    """Files of one header, read by position, then selected by name; the first of equal names counts."""
-    names = [*[f"_f{k}" for k in range(len(header) + 1)], "_uneven"]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("columnNameOfCorruptRecord", "_uneven")
-        .option("columnPruning", False)
-        .option("mode", "PERMISSIVE")
-        .csv(files)
-    )
-    # With room for one surplus field, a row is even only if it has just one.
-    # (As expressions that are not pushed into the parser, which would not count fields then.)
-    surplus = F.coalesce(F.col(f"_f{len(header)}"), F.lit("")) != ""
-    kept = df.where((F.coalesce(F.col("_uneven"), F.lit("")) != "") & ~surplus)
-    place = {name: F.col(f"_f{k}") for k, name in reversed(list(enumerate(header)))}
-    field = lambda c: F.when(~place[c].isin(*NULL_TOKENS), place[c]) if c in place else F.lit(None).cast("string")
-    name = F.col("_metadata.file_path")
-    return kept.select(*[field(c).alias(c) for c in wanted], name.alias(FILE_PATH))
-
-
-def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The data files at the paths, in order, as the file system lists them."""
-    found = spark.read.option("recursiveFileLookup", True).text(list(paths)).inputFiles() if paths else []
-    return sorted(unquote(f) for f in found)
-
-
-def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file, from its first line only; none for an empty file."""
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return next(csv.reader([line.removeprefix("\ufeff")])) if line else []
+def _arrow(schema: T.StructType) -> pa.Schema:
+    return pa.schema([(f.name, pa.string()) for f in schema])
 
 
 def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:

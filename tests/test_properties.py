@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import random
 from itertools import combinations
 
@@ -10,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import inputs
+from catalog.learning import LABEL_PROMPT, TOPIC_PROMPT
 from catalog.models import judge, write_reviews
 from opinara.functions import prompts, rounding
 from opinara.functions.labels import to_number
@@ -18,7 +21,8 @@ from opinara.operators import balance, coherence, evaluate, features, neighbours
 from opinara.operators.clean import require_columns, split_location
 from opinara.operators.generate import ask, augment, classify_with_model
 from opinara.operators.hash_order import cut_by_hash, numbered, share_out
-from opinara.operators.tokens import apply_phrases
+from opinara.operators.tokens import apply_phrases, lemmatise
+from opinara.sources import records
 from opinara.sources import tables as tb
 
 SF = "/root/testdata/sf0.001"
@@ -250,10 +254,10 @@ def test_strict_augmentation_reaches_target_over_rounds(spark, tmp_path):
         return sum(p.encode()) % 2 == 0
 
     path = str(tmp_path / "replies")
-    out = augment(df, "label", "content", flaky, prompts.sector_prompt(), path=path)
+    out = augment(df, "label", "content", flaky, TOPIC_PROMPT, path=path)
     assert {r["label"]: r["count"] for r in out.groupBy("label").count().collect()} == {0: 20, 1: 20, 2: 20}
     before = spark.read.parquet(path).count()
-    augment(df, "label", "content", flaky, prompts.sector_prompt(), path=path)
+    augment(df, "label", "content", flaky, TOPIC_PROMPT, path=path)
     assert spark.read.parquet(path).count() == before
 
 
@@ -262,10 +266,57 @@ def test_failing_model_gives_fallback(spark):
         raise RuntimeError("down")
 
     df = spark.createDataFrame([("a", "x"), ("b", "y")], "reviewId string, content string")
-    assert {r["prediction"] for r in classify_with_model(df, broken, n=None).collect()} == {1}
-    assert classify_with_model(df, judge, n=1).count() == 1
+    assert {r["prediction"] for r in classify_with_model(df, broken, LABEL_PROMPT, n=None).collect()} == {1}
+    assert classify_with_model(df, judge, LABEL_PROMPT, n=1).count() == 1
     asked = ask(df.withColumn("prompt", F.col("content")), lambda b: [p * 2 for p in b])
-    assert {r["reply"] for r in asked.collect()} == {"xx", "yy"}
+    assert {(r["reply"], r["error"]) for r in asked.collect()} == {("xx", None), ("yy", None)}
+    failed = ask(df.withColumn("prompt", F.col("content")), broken).collect()
+    assert {(r["reply"], r["error"]) for r in failed} == {(None, "RuntimeError: down")}
+    with pytest.raises(RuntimeError, match="down"):
+        more = spark.createDataFrame([("a", "x", 0), ("b", "y", 0), ("c", "z", 1)], "reviewId string, content string, label int")
+        augment(more, "label", "content", broken, TOPIC_PROMPT)
+
+
+def test_prompts_hold_the_users_words(spark):
+    one = spark.range(1)
+    ask_for = prompts.request_prompt("{n} of {label} about {what}: {exemplars}{other}", what="cats")
+    text = ask_for(F.lit(3), F.lit(1), F.lit("a {n}"))
+    assert one.select(text).first()[0] == "3 of 1 about cats: a {n}{other}"
+    label = prompts.label_prompt("{examples}\n{text}?", [("x", "1"), ("y", "2")])
+    assert one.select(label(F.lit(None).cast("string"))).first()[0] == "x => 1\ny => 2\n?"
+
+
+def test_equal_new_texts_fill_a_class_exactly(spark):
+    from opinara.plans.classification import training_vectors
+
+    df = spark.createDataFrame(
+        [(f"r{i}", f"good word{i}", 0) for i in range(12)] + [(f"s{i}", "bad app", 1) for i in range(4)], "reviewId string, content string, label int"
+    )
+    new = spark.createDataFrame([(None, "bad app", 1)] * 3, df.schema)
+    vectoriser = features.TfidfVectoriser(inputCol="content", ngramRange=[1, 1]).fit(df, max_features=20)
+    rows = training_vectors(df.unionByName(new), vectoriser, oversample=True)
+    assert dict(rows.groupBy("label").count().collect()) == {0: 12, 1: 12}
+    twice = df.unionByName(df.where("reviewId = 's1'")).withColumn("v", F.array(F.lit(1.0)))
+    with pytest.raises(ValueError, match="s1"):
+        neighbours.smote(twice, 1, "reviewId", "label", "v")
+
+
+def test_generated_rows_have_ids(spark):
+    df = spark.createDataFrame([(f"r{i}", f"text {i}", int(i > 8)) for i in range(12)], "reviewId string, content string, label int")
+    out = augment(df, "label", "content", write_reviews, TOPIC_PROMPT)
+    ids = [r["reviewId"] for r in out.collect()]
+    assert len(ids) == 18 and len(set(ids)) == 18 and None not in ids
+
+
+def test_rows_of_one_id_stay_apart(spark):
+    lexicon = spark.createDataFrame([("cat", "cat", "NOUN"), ("dog", "dog", "NOUN"), ("not", "not", "PART"), ("good", "good", "ADJ")], "token string, lemma string, pos string")
+    rows = [("1", ["cat"], "x"), ("1", ["dog"], "y"), (None, ["not", "good", "cat"], "z"), ("2", [], "e"), ("3", None, "n")]
+    df = spark.createDataFrame(rows, "reviewId string, tokens array<string>, lemma string")
+    got = {r["lemma"]: r["lemmas"] for r in lemmatise(df, lexicon, []).collect()}
+    assert got == {"x": ["cat"], "y": ["dog"], "z": ["not_good", "cat"], "e": [], "n": []}
+    pairs = spark.createDataFrame([("a", "b")], "a string, b string")
+    docs = spark.createDataFrame([("1", ["a", "b"]), ("1", ["b", "a", "b"]), ("1", ["a", "b"])], "reviewId string, tokens array<string>")
+    assert sorted(r["tokens"] for r in apply_phrases(docs, pairs).collect()) == [["a_b"], ["a_b"], ["b", "a_b"]]
 
 
 def test_small_rules(spark):
@@ -288,13 +339,54 @@ def test_small_rules(spark):
 def test_csv_edge_cases(spark, tmp_path):
     path = tmp_path / "first_positive.csv"
     path.write_text('id,text,score\n1,"two\nlines, ""quoted""",5\n2,None,4\n3,short\n4,a,b,surplus\n5,,1\n')
-    df = tb.read_csv(spark, str(path), ["id", "text", "score"], multi_line=True, with_file=True)
+    df = tb.read_csv(spark, str(path), ["id", "text", "score"], with_file=True)
     rows = {r["id"]: (r["text"], r["score"]) for r in df.collect()}
     assert rows == {"1": ('two\nlines, "quoted"', "5"), "2": (None, "4"), "3": ("short", None), "5": (None, "1")}
     tagged = tb.tag_from_file_name(df, {"first": "First"}, "Second").first()
     assert (tagged["app"], tagged["sentimiento_analisis"]) == ("First", "positive")
     assert tb.existing_paths(spark, [str(path), str(tmp_path / "none.csv")]) == [str(path)]
-    assert tb.header_columns(spark, str(path)) == ["id", "text", "score"]
+
+
+def test_csv_rows_with_surplus_fields_go(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,txt\n1,one\n2,one,\n3,two,,\n4,first-empty,,y\n5,"a,b"\n\n6\n7,"x""y"\n8,a"b"c\n')
+    got = {r["id"]: r["txt"] for r in tb.read_csv(spark, str(tmp_path), ["id", "txt"]).collect()}
+    assert got == {"1": "one", "5": "a,b", "6": None, "7": 'x"y', "8": 'a"b"c'}
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_csv_splits_inside_quoted_fields(spark, tmp_path, newline):
+    rng = random.Random(2)
+    rows = []
+    for i in range(300):
+        text = "".join(rng.choice(["a", "b,", '"', "\n", " ", "é", "line\n\nline"]) for _ in range(rng.randint(0, 40)))
+        rows.append((str(i), text or None, str(i % 5)))
+    rows.append(("300", "x\n" * 3000, "1"))
+    rows.append(("301", 'quote "," inside\n"', "2"))
+    rng.shuffle(rows)
+    for part in range(2):
+        with open(tmp_path / f"f{part}.csv", "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, lineterminator=newline)
+            out.writerow(["id", "text", "score"] if part else ["score", "id", "text"])
+            out.writerows([(r if part else (r[2], r[0], r[1])) for r in rows if int(r[0]) % 2 == part])
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        df = tb.read_csv(spark, str(tmp_path), ["id", "text", "score"])
+        assert df.select("id").rdd.getNumPartitions() > 10
+        got = sorted((r["id"], r["text"], r["score"]) for r in df.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == sorted(rows)
+
+
+def test_csv_line_states(spark):
+    rng = random.Random(6)
+    for _ in range(3000):
+        line = "".join(rng.choice(['"', ",", "a", " "]) for _ in range(rng.randint(0, 9)))
+        probe = line + '\nMARK,x\n'
+        after = list(csv.reader(io.StringIO(probe, newline="")))
+        assert records.ends_inside(line, False) == (after[-1][:1] != ["MARK"]), line
 
 
 def test_csv_fields_go_by_header_name(spark, tmp_path):
@@ -349,7 +441,7 @@ def test_a_stopped_round_goes_on_where_it_was(spark, tmp_path, monkeypatch):
             f.writelines("x\n" for _ in batch)
         return write_reviews(batch)
 
-    args = (df, "label", "content", reply, prompts.sector_prompt("app"))
+    args = (df, "label", "content", reply, TOPIC_PROMPT)
     options = {"batch": 1, "path": str(tmp_path / "replies"), "commit_every": 1}
     calls, real = [], generate.ask
 
