@@ -45,6 +45,14 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
+def unused(names: list[str], name: str) -> str:
+    """The name, with as many underscores added as it takes to differ from all names, whatever their case."""
+    taken = {n.lower() for n in names}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def add_column(
     df: DataFrame, name: str, ddl: str, build: Callable[[], Callable[[pa.RecordBatch], pa.Array]], reads: list[str]
 ) -> DataFrame:

@@ -299,18 +299,18 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     also those with null or empty text. `n_chars`, where there is one, is brought up
     to date in the documents that change.
     """
-    names = docs.columns
-    text = F.col("text").cast("string")
-    gone = removed_lines(docs).select(F.col("doc_id").alias("__doc"), F.col("version").alias("__version"), F.col("removed").alias("__removed"))
-    keyed = docs.withColumn("__key", F.xxhash64(text))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__version"))
-    joined = keyed.join(gone, same, "left")
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(F.col("__removed"), i)), "\n")
-    changed = F.col("__removed").isNotNull()
-    joined = joined.withColumn("__text", F.when(changed, left).otherwise(text))
-    joined = joined.where(~changed | F.col("__text").rlike(r"[\p{L}\p{N}]"))
-    new = {"text": F.col("__text")}
-    if "n_chars" in names:
+    gone = removed_lines(docs).select(F.col("doc_id").alias("id"), "version", "removed")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc"),
+        F.col("text").cast("string").alias("whole"),
+    )
+    same = F.col("doc").eqNullSafe(F.col("id")) & (F.xxhash64("whole") == F.col("version"))
+    changed = F.col("removed").isNotNull()
+    left = F.array_join(F.filter(F.split("whole", "\n"), lambda _, i: ~F.array_contains(F.col("removed"), i)), "\n")
+    joined = rows.join(gone, same, "left").withColumn("left", F.when(changed, left).otherwise(F.col("whole")))
+    joined = joined.where(~changed | F.col("left").rlike(r"[\p{L}\p{N}]"))
+    new = {"text": F.col("left")}
+    if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(changed, F.length("__text").cast(kind)).otherwise(F.col("n_chars"))
-    return joined.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in names])
+        new["n_chars"] = F.when(changed, F.length("left").cast(kind)).otherwise(F.col("row.n_chars"))
+    return joined.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

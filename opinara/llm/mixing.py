@@ -133,7 +133,8 @@ def mixture(
     names = [c for c in docs.columns if c not in ("copy", "position")]
     whole = F.col(f"`{text}`").cast("string")
     key = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(whole, F.lit(""))))
-    keyed = docs.select(*[F.col(f"`{c}`") for c in names], key.alias("__key"), F.coalesce(F.concat(F.lit("s"), F.col(f"`{source}`").cast("string")), F.lit("null")).alias("__source"))
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    keyed = docs.select(row, key.alias("__key"), F.coalesce(F.concat(F.lit("s"), F.col(f"`{source}`").cast("string")), F.lit("null")).alias("__source"))
     narrow = saved(keyed.select("__source", "__key", _tokens(text).alias("tokens")), "mix-tokens")
     sums = narrow.groupBy("__source").agg(F.sum("tokens").alias("n")).where("n > 0").orderBy("__source").limit(max_sources + 1).collect()
     if len(sums) > max_sources:
@@ -163,4 +164,4 @@ def mixture(
     before_end = F.col("__end").isNull() | (F.col("__place") < F.col("__end"))
     taken = copies.where((F.col("copy") < F.col("__passes")) | ((F.col("__rest") > 0) & before_end))
     position = (F.col("copy") + F.col("__place") / F.lit(float(_ONE))) / F.col("__stretch")
-    return taken.select(*[F.col(f"`{c}`") for c in names], "copy", F.least(position, F.lit(1 - 2**-53)).alias("position"))
+    return taken.select(*[F.col(f"row.`{c}`").alias(c) for c in names], "copy", F.least(position, F.lit(1 - 2**-53)).alias("position"))

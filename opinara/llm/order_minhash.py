@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.alignment import sequence_similarity
-from opinara.llm.common import add_column, slices, utf8
+from opinara.llm.common import add_column, slices, unused, utf8
 from opinara.llm.linking import Rules, members_of, similar_components
 from opinara.llm.hashing import U, hashed_words, labelled, mix, positions, sequence_digests, shingles
 from opinara.session import saved
@@ -176,16 +176,16 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
 def deduplicated(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """The rows of docs, all columns, without near-duplicates: one row of each class stays."""
     names = docs.columns
-    reserved = "__omh_digest"
-    joined = with_digest(docs, reserved)
+    digest, class_id, comp = (unused(names, n) for n in ("omh_digest", "omh_class", "omh_comp"))
+    joined = with_digest(docs, digest)
     classes = order_minhash_classes(docs, least).select(
-        F.col("digest").alias(reserved), F.col("class_id").alias("__omh_class"), F.col("comp").alias("__omh_comp")
+        F.col("digest").alias(digest), F.col("class_id").alias(class_id), F.col("comp").alias(comp)
     )
-    joined = joined.join(classes, reserved, "left")
-    alone = F.col("__omh_comp").isNull()
+    joined = joined.join(classes, digest, "left")
+    alone = F.col(comp).isNull()
     columns = [F.col(f"`{c}`") for c in names]
-    first = F.col("__omh_class").eqNullSafe(F.col("doc_id").cast("long"))
-    chosen = joined.where(~alone & first).select("__omh_comp", *columns)
+    first = F.col(class_id).eqNullSafe(F.col("doc_id").cast("long"))
+    chosen = joined.where(~alone & first).select(F.col(comp), F.struct(*columns).alias(class_id))
     # Rows repeated with their id, or rows without id, are still several here.
-    one = chosen.groupBy("__omh_comp").agg(F.first(F.struct(*columns)).alias("row"))
-    return joined.where(alone).select(*columns).union(one.select(*[F.col(f"row.`{c}`").alias(c) for c in names]))
+    one = chosen.groupBy(comp).agg(F.first(class_id).alias(class_id))
+    return joined.where(alone).select(*columns).union(one.select(*[F.col(f"{class_id}.`{c}`").alias(c) for c in names]))

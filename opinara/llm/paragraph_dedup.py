@@ -42,6 +42,12 @@ def signatures(runs: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     return out
 
 
+def distinct_runs(runs: np.ndarray, per_text: np.ndarray) -> np.ndarray:
+    """Number of different runs of each text, told apart by 32 bits as in the verification."""
+    low = (runs & U(0xFFFFFFFF)) | (np.repeat(np.arange(len(per_text), dtype=U), per_text) << U(32))
+    return np.bincount((np.unique(low) >> U(32)).astype(np.int64), minlength=len(per_text))
+
+
 def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     keys = np.empty((len(signature), bands), U)
     weights = powers(0x9E3779B97F4A7C15, rows + 1)[1:]
@@ -81,7 +87,7 @@ _SKETCH = "doc_id bigint, version bigint, paragraph int, id binary, n int, keys
 
 
 def repeated_paragraphs(
-    docs: DataFrame, least: float = 0.8, min_words: int = MIN_WORDS, max_miss: float = 1e-4
+    docs: DataFrame, least: float = 0.8, min_words: int = MIN_WORDS, max_miss: float = 4e-3
 ) -> DataFrame:
     """(doc_id, version, paragraph, first_doc_id, first_paragraph, members, removed).
 
@@ -102,6 +108,7 @@ def repeated_paragraphs(
             long = np.flatnonzero(counts >= min_words)
             if not len(long):
                 continue
+            distinct = distinct_runs(runs, per_text)
             signature = signatures(runs, per_text)[np.cumsum(per_text > 0)[long] - 1]
             keys = band_keys(signature, bands, rows)
             sample = (signature >> U(48)).astype(np.uint16)
@@ -109,7 +116,7 @@ def repeated_paragraphs(
             yield pa.RecordBatch.from_arrays(
                 [
                     taken.column(0), taken.column(1), taken.column(2), pa.array([digest[k].tobytes() for k in long], pa.binary()),
-                    pa.array(per_text[long].astype(np.int32)), pa.array(list(keys), pa.list_(pa.int64())),
+                    pa.array(distinct[long].astype(np.int32)), pa.array(list(keys), pa.list_(pa.int64())),
                     pa.array([s.tobytes() for s in sample], pa.binary()),
                 ],
                 ["doc_id", "version", "paragraph", "id", "n", "keys", "sample"],
@@ -138,7 +145,7 @@ def repeated_paragraphs(
     payload = paragraphs.select("text").mapInArrow(sets, "id binary, runs binary")
     payload = saved(payload.join(listed, "id", "left_semi").dropDuplicates(["id"]), "paragraph-sets")
     # The smallest hashes estimate the similarity with a deviation of 0.05; at 0.8 fewer than 40 of 72 agree once in 10^6.
-    rules = Rules(_samples, _agreement, lambda n, m: 40, lambda a, b: _jaccard(a, b) >= least, 0.5 * least, least / (1 + least))
+    rules = Rules(_samples, _agreement, lambda n, m: 40, lambda a, b: _jaccard(a, b) >= least, least, least / (1 + least))
     comps = similar_components(items, members, payload, rules)
     order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"), F.col("version"), F.col("paragraph"))
     places = sketched.select("doc_id", "version", "paragraph", "id").dropDuplicates(["doc_id", "version", "paragraph"])
@@ -155,11 +162,13 @@ def repeated_paragraphs(
 
 def without_repeated_paragraphs(docs: DataFrame, least: float = 0.8, min_words: int = MIN_WORDS) -> DataFrame:
     """docs, all columns and rows, with the removed paragraphs taken out of `text`."""
-    gone = repeated_paragraphs(docs, least, min_words).where("removed").groupBy("doc_id", "version").agg(F.collect_set("paragraph").alias("__gone"))
-    gone = gone.withColumnRenamed("doc_id", "__doc").withColumnRenamed("version", "__version")
-    text = F.col("text").cast("string")
-    keyed = docs.withColumn("__key", F.xxhash64(text))
-    joined = keyed.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__version")), "left")
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-    new = F.when(F.col("__gone").isNotNull(), left).otherwise(text).alias("text")
-    return joined.select(*[new if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    gone = repeated_paragraphs(docs, least, min_words).where("removed").groupBy("doc_id", "version").agg(F.collect_set("paragraph").alias("gone"))
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc"),
+        F.col("text").cast("string").alias("whole"),
+    )
+    same = F.col("doc").eqNullSafe(F.col("doc_id")) & (F.xxhash64("whole") == F.col("version"))
+    joined = keyed.join(gone, same, "left")
+    left = F.array_join(F.filter(F.split("whole", "\n"), lambda _, i: ~F.array_contains(F.col("gone"), i)), "\n")
+    new = F.when(F.col("gone").isNotNull(), left).otherwise(F.col("whole")).alias("text")
+    return joined.select(*[new if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -13,6 +13,7 @@ from opinara.llm.mixing import mixture
 from opinara.llm.neural_lm import language_scores
 from opinara.llm.order_minhash import near_duplicates
 from opinara.llm.paragraph_dedup import repeated_paragraphs
+from opinara.llm.passages import repeated_passages
 from opinara.llm.pseudonyms import pseudonymise
 from opinara.llm.toxicity import rejected, toxicity, train
 from opinara.llm.url_filter import SOFT_TERMS, STRICT_TERMS, Rule, filter_urls
@@ -119,8 +120,11 @@ def op3_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeated_paragraphs(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "paragraph", "first_doc_id", "first_paragraph", "members", "removed")
+    """Repeated lines of 40 words and more by number, and repeated passages inside and across lines by words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = repeated_paragraphs(docs).select("doc_id", "paragraph", "first_doc_id", "first_paragraph", "members", "removed")
+    passages = repeated_passages(docs).select("doc_id", "from_word", "to_word", "first_doc_id", "first_word", "members", "removed")
+    return lines.unionByName(passages, allowMissingColumns=True)
 
 
 @query

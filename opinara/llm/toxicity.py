@@ -261,10 +261,12 @@ def toxicity(docs: DataFrame, model: Model, text: str = "text", out: str = "toxi
     The score depends on the text alone. Null and empty texts score as a text without
     words; repeated rows score alike; no row goes.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: a class would be looked up by name in tasks that may not have the package.
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def build():
-        return lambda batch: pa.array(score(sent.value, word_rows(utf8(batch.column(0)))), pa.float64())
+        model = Model(**sent.value)
+        return lambda batch: pa.array(score(model, word_rows(utf8(batch.column(0)))), pa.float64())
 
     return add_column(docs, out, "double", build, [text])
 

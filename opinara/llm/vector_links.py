@@ -288,8 +288,9 @@ def _audited(items: DataFrame, links: DataFrame, kind, threshold: float, sample:
                 for part, x, nx in groups[size]:
                     total[part] += (_cosines(x, nx, y, ny) >= threshold).sum(axis=1)
             # Each chosen item met itself once.
-            for k in filter(None.__ne__, map(place.get, names)):
-                total[k] -= 1
+            for k in (place.get(name) for name in names):
+                if k is not None:
+                    total[k] -= 1
         yield pa.RecordBatch.from_arrays([pa.array([int(total.sum())])], ["pairs"])
 
     there = items.select("id", "vec").mapInArrow(run, "pairs bigint").agg(F.sum("pairs")).first()[0] or 0

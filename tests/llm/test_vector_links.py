@@ -10,6 +10,7 @@ from brute import classes
 
 from opinara.llm import vector_links as V
 from opinara.llm.vector_links import vector_links
+from opinara.session import saved
 
 
 def expected(rows):
@@ -80,8 +81,8 @@ def test_audit_counts_pairs_once_and_short_recall_is_an_error(spark, monkeypatch
     rows = [(k, [float(np.float32(v)) for v in x]) for k, x in enumerate([*out, *[out[0], out[1]] * 500])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     raw, kind = V._items(df)
-    items = raw.groupBy("id").agg(V.F.any_value("vec").alias("vec"), V.F.count("*").alias("copies")).withColumn("comp", V.F.col("id")).localCheckpoint()
-    heavy = items.orderBy(V.F.desc("copies")).limit(2).select("id", V.F.lit(501).alias("links"), V.F.lit(1).alias("pairs")).localCheckpoint()
+    items = saved(raw.groupBy("id").agg(V.F.any_value("vec").alias("vec"), V.F.count("*").alias("copies")).withColumn("comp", V.F.col("id")), "items")
+    heavy = saved(items.orderBy(V.F.desc("copies")).limit(2).select("id", V.F.lit(501).alias("links"), V.F.lit(1).alias("pairs")), "heavy")
     assert V.audit(items, heavy, kind, 0.95, 200) == (2, 60)
     assert V.audited(10**6) > V.audited(10**4) > V.audited(100) == 100
     monkeypatch.setattr(V, "audit", lambda *a: (9, 10))
