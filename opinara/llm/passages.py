@@ -77,11 +77,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     )
 
     def cut(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, 128):
             owner, at, digest = windows(*hashed_words(utf8(batch.column(2))))
-            taken = batch.take(pa.array(owner))
+            doc, version = (batch.column(k).take(pa.array(owner)) for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [taken.column(0), taken.column(1), pa.array(at.astype(np.int32)), pa.array(digest)], ["doc", "version", "at", "digest"]
+                [doc, version, pa.array(at.astype(np.int32)), pa.array(digest)], ["doc", "version", "at", "digest"]
             )
 
     cuts = saved(rows.where("text is not null").mapInArrow(cut, _ROWS), "passage-windows")
