@@ -134,8 +134,8 @@ def mixture(
     whole = F.col(f"`{text}`").cast("string")
     key = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce(whole, F.lit(""))))
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
-    keyed = docs.select(row, key.alias("__key"), F.coalesce(F.concat(F.lit("s"), F.col(f"`{source}`").cast("string")), F.lit("null")).alias("__source"))
-    narrow = saved(keyed.select("__source", "__key", _tokens(text).alias("tokens")), "mix-tokens")
+    keyed = docs.select(row, _tokens(text).alias("tokens"), key.alias("__key"), F.coalesce(F.concat(F.lit("s"), F.col(f"`{source}`").cast("string")), F.lit("null")).alias("__source"))
+    narrow = saved(keyed.select("__source", "__key", "tokens"), "mix-tokens")
     sums = narrow.groupBy("__source").agg(F.sum("tokens").alias("n")).where("n > 0").orderBy("__source").limit(max_sources + 1).collect()
     if len(sums) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
@@ -159,7 +159,7 @@ def mixture(
     plan = saved(plan.join(ends, "__source", "left"), "mix-plan")
 
     rule = plan.select("__source", *[F.col(c).alias(f"__{c}") for c in ("passes", "rest", "stretch", "end")])
-    copies = keyed.join(rule, "__source").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__passes").cast("int"))))
+    copies = keyed.drop("tokens").join(rule, "__source").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__passes").cast("int"))))
     copies = copies.withColumn("__place", _place(seed, F.col("copy")))
     before_end = F.col("__end").isNull() | (F.col("__place") < F.col("__end"))
     taken = copies.where((F.col("copy") < F.col("__passes")) | ((F.col("__rest") > 0) & before_end))

@@ -101,3 +101,10 @@ def test_edge_cases(spark):
 def test_clashing_columns(spark):
     df = spark.createDataFrame([(1, LONG, "a", 2), (2, LONG, "b", 3)], "doc_id long, text string, line string, removed int")
     assert line_report(df).count() == 2 and without_repeated_lines(df).columns == df.columns
+
+
+def test_a_column_named_key_stays(spark):
+    line = "one line of text that repeats itself in two documents"
+    df = spark.createDataFrame([(1, line, "k1", 5), (2, f"{line}\nrest", "k2", 6)], "doc_id long, text string, __key string, removed int")
+    got = without_repeated_lines(df).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == [(1, line, "k1", 5), (2, "rest", "k2", 6)]

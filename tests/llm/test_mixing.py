@@ -82,3 +82,10 @@ def test_edge_cases(spark):
     assert mixture(df.limit(0)).count() == 0
     with pytest.raises(ValueError, match="sources"):
         mixture(df, max_sources=1)
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(k, "a b c", f"s{k % 2}", k, "x") for k in range(40)], "doc_id long, text string, source string, __key int, __source string")
+    got = mixture(df)
+    assert got.columns == [*df.columns, "copy", "position"]
+    assert all(r["__key"] == r.doc_id and r["__source"] == "x" for r in got.collect())
