@@ -25,6 +25,10 @@ MAX_EDITS = 2
 BLOCK = 512
 _PART_BYTES = 32 << 20
 _MAP_WORDS = 1 << 19
+_LONG = 4096
+# Odd multipliers of the substring hash, any will do.
+_BASE, _SPREAD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+_ENTRY = [("key", "<u8"), ("line", "<i8")]
 
 
 def allowed(length: int) -> int:
@@ -110,45 +114,95 @@ def _lines(docs: DataFrame) -> DataFrame:
     return lines.where(F.length("line") >= MIN_CHARS).select("doc_id", "version", "line_no", "line", *_hashes(F.col("line")))
 
 
+class _Keys:
+    """64-bit keys of the segments and probes of whole batches of lines.
+
+    A key is the polynomial hash of a substring's code points, taken from prefix sums,
+    mixed with the seed of its plan. Substrings planned for lines above _LONG characters
+    are hashed one by one, so that no long line needs arrays of its own length.
+    """
+
+    def __init__(self):
+        self.plans: dict[int, np.ndarray] = {}
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def _plan(self, length: int) -> np.ndarray:
+        """Rows (seed, role, start, end): what a line of this length publishes (0) and asks for (1)."""
+        if length not in self.plans:
+            own = [(length * 8 + i, 0, s, e) for i, (s, e) in enumerate(segments(length, allowed(length)))]
+            self.plans[length] = np.array(own + [(seed, 1, s, e) for seed, s, e in probes(length)], np.int64)
+        return self.plans[length]
+
+    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.power) < n:
+            self.power, self.inverse = (
+                np.cumprod(np.array([1] + [base] * (2 * n - 1), np.uint64)) for base in (_BASE, pow(_BASE, -1, 1 << 64))
+            )
+        return self.power[:n], self.inverse[:n]
+
+    def of(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the line, key with the role as its lowest bit) of every segment and probe."""
+        lengths = np.array([len(x) for x in lines], np.int64)
+        kinds, kind = np.unique(lengths, return_inverse=True)
+        plans = [self._plan(n) for n in kinds.tolist()]
+        sizes = np.array([len(p) for p in plans])
+        count = sizes[kind]
+        owner = np.repeat(np.arange(len(lines)), count)
+        first = np.cumsum(sizes) - sizes
+        seed, role, start, end = np.concatenate(plans)[np.arange(len(owner)) + np.repeat(first[kind] - (np.cumsum(count) - count), count)].T
+        seed, role = seed.astype(np.uint64), role.astype(np.uint64)
+        long = seed >> np.uint64(3) > np.uint64(_LONG)
+        value = np.zeros(len(owner), np.uint64)
+        plain = np.flatnonzero(~long)
+        short = [x if n <= _LONG + MAX_EDITS else "" for x, n in zip(lines, lengths.tolist(), strict=True)]
+        codes = np.frombuffer("".join(short).encode("utf-32-le"), np.uint32)
+        power, inverse = self._powers(len(codes) + 1)
+        prefix = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(_mixed(codes.astype(np.uint64)) * power[: len(codes)], out=prefix[1:])
+        kept = np.array([len(x) for x in short], np.int64)
+        place = (np.cumsum(kept) - kept)[owner[plain]]
+        low = place + start[plain]
+        value[plain] = (prefix[place + end[plain]] - prefix[low]) * inverse[low]
+        for k in np.flatnonzero(long).tolist():
+            value[k] = xxhash.xxh3_64_intdigest(lines[owner[k]][start[k] : end[k]])
+        return owner, (_mixed(value + seed * np.uint64(_BASE)) & np.uint64(0xFFFFFFFFFFFFFFFE)) | role
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(_SPREAD)
+    return x ^ (x >> np.uint64(29))
+
+
 def _published(lines: DataFrame, parts: int) -> DataFrame:
     """(part, entries): keys of segments and probes with the line's hash, packed by part of the key space."""
 
     def run(batches):
-        plans: dict[int, tuple] = {}
+        hashed = _Keys()
         seen: set[int] = set()
-        keys: list[int] = []
-        owners: list[int] = []
-        roles: list[int] = []
-        digest = xxhash.xxh3_64_intdigest
+        keys: list[np.ndarray] = []
+        owners: list[np.ndarray] = []
 
         def packed():
-            entry = np.empty(len(keys), [("key", "<u8"), ("line", "<i8")])
-            entry["key"] = (np.array(keys, np.uint64) & np.uint64(0xFFFFFFFFFFFFFFFE)) | np.array(roles, np.uint64)
-            entry["line"] = owners
-            entry = np.unique(entry)
-            part = ((entry["key"] >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+            key, line = np.concatenate(keys), np.concatenate(owners)
+            keys.clear(), owners.clear()
+            part = ((key >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            entry, part = entry[order], part[order]
+            entry = np.empty(len(key), _ENTRY)
+            entry["key"], entry["line"] = key[order], line[order]
+            part = part[order]
             cuts = np.flatnonzero(np.diff(part)) + 1
             first = np.concatenate([[0], cuts])
-            keys.clear(), owners.clear(), roles.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(part[first], pa.int32()), pa.array([e.tobytes() for e in np.split(entry, cuts)], pa.binary())], ["part", "entries"]
-            )
+            blobs = [entry[a:b].tobytes() for a, b in zip(first.tolist(), [*cuts.tolist(), len(entry)], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(part[first], pa.int32()), pa.array(blobs, pa.binary())], ["part", "entries"])
 
         for batch in slices(batches, 2048):
-            for line, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if h in seen:
-                    continue
-                seen.add(h)
-                n = len(line)
-                if n not in plans:
-                    plans[n] = ([(n * 8 + i, s, e) for i, (s, e) in enumerate(segments(n, allowed(n)))], probes(n))
-                for role, plan in enumerate(plans[n]):
-                    keys += [digest(line[s:e], seed) for seed, s, e in plan]
-                    owners += [h] * len(plan)
-                    roles += [role] * len(plan)
-            if len(keys) > 1_000_000:
+            fresh = [(x, h) for x, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if not (h in seen or seen.add(h))]
+            if not fresh:
+                continue
+            owner, key = hashed.of([x for x, _ in fresh])
+            keys.append(key)
+            owners.append(np.array([h for _, h in fresh], np.int64)[owner])
+            if sum(map(len, keys)) > 1_000_000:
                 yield packed()
             if len(seen) > 500_000:
                 seen.clear()
@@ -165,20 +219,26 @@ def _meetings(published: DataFrame) -> DataFrame:
         blobs = [b for batch in batches for b in batch.column(1).to_pylist()]
         if not blobs:
             return
-        entry = np.unique(np.frombuffer(b"".join(blobs), [("key", "<u8"), ("line", "<i8")]))
+        entry = np.frombuffer(b"".join(blobs), _ENTRY)
         del blobs
-        key = entry["key"] >> np.uint64(1)
+        order = np.argsort(entry["key"])
+        key, line = entry["key"][order], entry["line"][order]
+        del entry, order
+        role = (key & np.uint64(1)).astype(bool)
+        key = key >> np.uint64(1)
         begin = np.concatenate([[True], key[1:] != key[:-1]])
         starts = np.flatnonzero(begin)
-        group = np.cumsum(begin) - 1
-        role = (entry["key"] & np.uint64(1)).astype(bool)
-        differ = np.maximum.reduceat(entry["line"], starts) != np.minimum.reduceat(entry["line"], starts)
+        differ = np.maximum.reduceat(line, starts) != np.minimum.reduceat(line, starts)
         both = np.logical_or.reduceat(role, starts) & np.logical_or.reduceat(~role, starts)
-        keep = (differ & both)[group]
-        found = np.unique(np.stack([key[keep].astype(np.int64), entry["line"][keep]], axis=1), axis=0)
-        for at in range(0, len(found), 100_000):
-            part = found[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1])], ["key", "line"])
+        keep = np.repeat(differ & both, np.diff(np.append(starts, len(key))))
+        key, line = key[keep].astype(np.int64), line[keep]
+        order = np.lexsort((line, key))
+        key, line = key[order], line[order]
+        once = np.ones(len(key), bool)
+        once[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
+        key, line = key[once], line[once]
+        for at in range(0, len(key), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(key[at : at + 100_000]), pa.array(line[at : at + 100_000])], ["key", "line"])
 
     return published.mapInArrow(run, "key bigint, line bigint")
 

@@ -7,7 +7,7 @@ import random
 import pytest
 from brute import classes, edit_distance
 
-from opinara.llm.line_dedup import MAX_EDITS, allowed, line_report, probes, segments, within, without_repeated_lines
+from opinara.llm.line_dedup import _LONG, MAX_EDITS, _Keys, allowed, line_report, probes, segments, within, without_repeated_lines
 
 
 def expected(rows):
@@ -64,6 +64,24 @@ def test_every_close_pair_meets():
     assert MAX_EDITS == 2
 
 
+def test_equal_substrings_and_only_these_have_equal_keys():
+    rng = random.Random(1)
+    lines = ["".join(rng.choice("abé") for _ in range(rng.randrange(20, 70))) for _ in range(800)]
+    lines += ["é" * n for n in (20, 21, 9000, *range(_LONG - 2, _LONG + 5))]
+    hashed = _Keys()
+    owner, keys = hashed.of(lines)
+    at, of_key, of_text = 0, {}, {}
+    for k, line in enumerate(lines):
+        n = len(line)
+        plan = [(n * 8 + i, 0, s, e) for i, (s, e) in enumerate(segments(n, allowed(n)))] + [(seed, 1, s, e) for seed, s, e in probes(n)]
+        for (seed, role, s, e), own, key in zip(plan, owner[at:].tolist(), keys[at:].tolist(), strict=False):
+            text = (seed, line[s:e])
+            assert own == k and key & 1 == role
+            assert of_text.setdefault(text, key >> 1) == key >> 1 and of_key.setdefault(key >> 1, text) == text
+        at += len(plan)
+    assert at == len(keys)
+
+
 def test_documents_against_all_pairs(spark, monkeypatch):
     monkeypatch.setattr("opinara.llm.line_dedup.BLOCK", 8)
     rng = random.Random(2)
