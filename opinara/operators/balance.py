@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinara.functions.labels import score_band
-from opinara.operators.hash_order import cut_by_hash, group_sizes, numbered, share_out
+from opinara.operators.hash_order import class_counts, cut_by_hash, numbered, share_out
+from opinara.session import saved
 
 SPLITS = ("train", "dev", "test")
 
@@ -21,23 +22,22 @@ BAND_WORDS = {"positive": "POSITIVA", "negative": "NEGATIVA", "neutral": "NEUTRA
 TEMPLATE = "New {kind} review generated for {app} by IA"
 
 
-def split_sizes(sizes: dict, rest_percent: int = 30) -> dict[object, list[int]]:
-    """Cuts per class for train / dev / test.
+def split_sizes(sizes: DataFrame, label: str, rest_percent: int = 30) -> DataFrame:
+    """(label, cuts) for train / dev / test from the class sizes (label, n).
 
     The rest is rest_percent of all rows, rounded up, and half of it (rounded
     up) is the test set. Each set is shared out over the classes in proportion.
     """
-    total = sum(sizes.values())
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     rest = -(-total * rest_percent // 100)
-    train = share_out(sizes, total - rest)
-    left = {g: n - train[g] for g, n in sizes.items()}
-    dev = share_out(left, rest - -(-rest // 2))
-    return {g: [train[g], train[g] + dev[g]] for g in sizes}
+    train = share_out(sizes, label, "n", total - rest, "_train").withColumn("_left", F.col("n") - F.col("_train"))
+    dev = share_out(train, label, "_left", rest - -(-rest // 2), "_dev")
+    return dev.select(label, F.array("_train", F.col("_train") + F.col("_dev")).alias("cuts"))
 
 
 def stratified_split(df: DataFrame, label: str = "label", id_col: str = "reviewId") -> DataFrame:
     """Add `split` in exact 70 / 15 / 15 class shares, in hash order of the id."""
-    out = cut_by_hash(df, label, id_col, split_sizes, "_segment")
+    out = cut_by_hash(df, label, id_col, lambda sizes: split_sizes(sizes, label), "_segment")
     names = F.array(*[F.lit(s) for s in SPLITS])
     return out.withColumn("split", F.get(names, F.col("_segment"))).drop("_segment")
 
@@ -63,15 +63,13 @@ def exemplars(df: DataFrame, label: str, text: str, order: str = "reviewId", k:
 
 def class_deficit(df: DataFrame, label: str = "label", classes: Sequence | None = None) -> DataFrame:
     """Rows missing per class to reach the majority; an absent class has size 0."""
-    sizes = group_sizes(df, label)
-    target = max(sizes.values(), default=0)
-    wanted = sorted(sizes) if classes is None else list(classes)
-    rows = [(c, sizes.get(c, 0), target, target - sizes.get(c, 0)) for c in wanted]
-    schema = T.StructType(
-        [T.StructField(label, df.schema[label].dataType)]
-        + [T.StructField(c, T.LongType()) for c in ("n", "majority", "deficit")]
-    )
-    return df.sparkSession.createDataFrame(rows, schema)
+    sizes = saved(class_counts(df, label), "class-sizes")
+    target = sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    if classes is not None:
+        schema = T.StructType([T.StructField(label, df.schema[label].dataType)])
+        sizes = df.sparkSession.createDataFrame([(c,) for c in classes], schema).join(sizes, label, "left")
+    n = F.coalesce("n", F.lit(0))
+    return sizes.select(label, n.alias("n"), F.lit(target).cast("bigint").alias("majority"), (F.lit(target) - n).alias("deficit"))
 
 
 def template_augment(df: DataFrame, app: str = "app", template: str = TEMPLATE) -> DataFrame:

@@ -351,7 +351,8 @@ def smote(
         found = found.unionByName(p)
 
     minority = rows.where(F.col(label).isin(*short)).select(id_col, label)
-    cut = cut_by_hash(minority, label, id_col, lambda s: {c: [short[c] % n] for c, n in s.items()}, "_seg")
+    more = F.array((F.lit(target) - F.col("n")) % F.col("n"))
+    cut = cut_by_hash(minority, label, id_col, lambda s: s.select(label, more.alias("cuts")), "_seg")
     each = F.lit(None).cast("bigint")
     for c, lack in short.items():
         each = F.when(F.col(label) == c, F.lit(lack // sizes[c])).otherwise(each)

@@ -139,7 +139,8 @@ def test_vote(spark):
 
 def test_cuts_match_plain_ranking(spark):
     df = spark.range(5000).select(F.col("id"), (F.col("id") % 3 * F.col("id") % 2).cast("int").alias("g"))
-    cuts = lambda sizes: {g: [0, n // 3, n // 3 + 7, n] for g, n in sizes.items()}
+    third = F.floor(F.col("n") / 3)
+    cuts = lambda sizes: sizes.select("g", F.array(F.lit(0), third, third + 7, F.col("n")).alias("cuts"))
     got = {r["id"]: r["segment"] for r in cut_by_hash(df, "g", "id", cuts).collect()}
     import hashlib
 
@@ -152,15 +153,53 @@ def test_cuts_match_plain_ranking(spark):
             assert got[i] == sum(rank > c for c in (0, n // 3, n // 3 + 7, n))
 
 
-def test_split_sizes():
+def plain_shares(sizes, total):
+    everything = sum(sizes.values())
+    parts = {g: n * total // everything for g, n in sizes.items()}
+    order = sorted(sizes, key=lambda g: (-(sizes[g] * total % everything), g))
+    for g in order[: total - sum(parts.values())]:
+        parts[g] += 1
+    return parts
+
+
+def as_sizes(spark, sizes, kind="int"):
+    return spark.createDataFrame(list(sizes.items()), f"g {kind}, n bigint")
+
+
+def test_split_sizes(spark):
     sizes = {0: 401, 1: 77, 2: 1003}
-    cuts = balance.split_sizes(sizes)
+    cuts = {r["g"]: r["cuts"] for r in balance.split_sizes(as_sizes(spark, sizes), "g").collect()}
     total = sum(sizes.values())
     rest = -(-total * 30 // 100)
     assert sum(c[0] for c in cuts.values()) == total - rest
     assert sum(sizes[g] - c[1] for g, c in cuts.items()) == -(-rest // 2)
     assert all(abs(c[0] - 0.7 * sizes[g]) <= 1 for g, c in cuts.items())
-    assert share_out({"a": 1, "b": 1, "c": 1}, 2) == {"a": 1, "b": 1, "c": 0}
+    thirds = share_out(as_sizes(spark, {"a": 1, "b": 1, "c": 1}, "string"), "g", "n", 2, "part")
+    assert {r["g"]: r["part"] for r in thirds.collect()} == {"a": 1, "b": 1, "c": 0}
+
+
+@pytest.mark.parametrize("scale", (1, 10**13))
+def test_shares_against_plain_arithmetic(spark, scale):
+    rng = random.Random(scale)
+    sizes = {g: rng.choice((0, 1, 2, rng.randrange(1, 500))) * scale + rng.randrange(3) for g in range(400)}
+    total = sum(sizes.values()) * 7 // 10
+    got = share_out(as_sizes(spark, sizes), "g", "n", total, "part")
+    assert {r["g"]: r["part"] for r in got.collect()} == plain_shares(sizes, total)
+    empty = share_out(as_sizes(spark, {0: 0, 1: 0}), "g", "n", 0, "part")
+    assert [r["part"] for r in empty.collect()] == [0, 0]
+
+
+def test_100_000_classes_are_split_and_levelled(spark):
+    df = spark.range(250_000).select("id", F.least(F.col("id"), F.lit(100_000)).alias("g"))
+    out = balance.stratified_split(df, "g", "id")
+    by_set = {r["split"]: r["n"] for r in out.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert by_set == {"train": 175_000, "dev": 37_500, "test": 37_500}
+    hot = {r["split"]: r["n"] for r in out.where("g = 100000").groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert hot == {"train": 105_000, "dev": 22_500, "test": 22_500}
+    lack = balance.class_deficit(df, "g")
+    assert lack.count() == 100_001 and lack.where("deficit = 149999").count() == 100_000
+    few = balance.class_deficit(df, "g", [5, -1, 100_000]).collect()
+    assert sorted(tuple(r) for r in few) == [(-1, 0, 150_000, 150_000), (5, 1, 150_000, 149_999), (100_000, 150_000, 150_000, 0)]
 
 
 def test_split_is_disjoint_and_whole(spark):
