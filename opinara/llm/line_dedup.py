@@ -5,7 +5,8 @@ characters of the shorter one, at most two. A line within k edits of another kee
 one of the other's k + 1 segments whole, near its place. So every line publishes its
 segments and asks for the substrings of itself at which a segment of a line of its
 length or somewhat shorter could be; lines that meet are compared by banded
-bit-parallel edit distance. Of each class of lines the first occurrence stays.
+bit-parallel edit distance. Lines of fewer than 20 characters are the same only if
+they are equal. Of each class of lines the first occurrence stays.
 """
 
 from __future__ import annotations
@@ -107,11 +108,12 @@ def _hashes(line: Column) -> list[Column]:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, line_no, line, h1, h2) of the lines of at least MIN_CHARS characters."""
+    """(doc_id, version, line_no, line, h1, h2) of all lines but short ones without a letter or digit."""
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
     lines = rows.where("text is not null").select("doc_id", "version", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.where(F.length("line") >= MIN_CHARS).select("doc_id", "version", "line_no", "line", *_hashes(F.col("line")))
+    counts = (F.length("line") >= MIN_CHARS) | F.col("line").rlike(r"[\p{L}\p{N}]")
+    return lines.where(counts).select("doc_id", "version", "line_no", "line", *_hashes(F.col("line")))
 
 
 class _Keys:
@@ -314,8 +316,9 @@ def _line_id() -> Column:
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, version, removed): line numbers, from 0, that repeat an earlier line.
 
-    docs: (doc_id, text). Lines end with a newline; those below MIN_CHARS characters
-    never count as repeated. Earlier is the order of doc_id (rows without one last),
+    docs: (doc_id, text). Lines end with a newline. Those below MIN_CHARS characters
+    repeat only equal ones, and never if they hold no letter or digit (blank lines,
+    rules, brackets). Earlier is the order of doc_id (rows without one last),
     then of line numbers. `version` is the hash of the text: rows repeated in full
     share their decisions, so the first occurrence stays in each of them. Documents
     without repeated lines, null and empty texts are not listed.
@@ -325,7 +328,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"), F.col("version"), F.col("line_no"))
     firsts = saved(places.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(order).alias("first")), "line-firsts")
     firsts = firsts.withColumn("id", _line_id())
-    comps = components(saved(line_links(lines), "line-links"))
+    comps = components(saved(line_links(lines.where(F.length("line") >= MIN_CHARS)), "line-links"))
     classed = firsts.join(comps, "id", "left").select("h1", "h2", "n", "first", F.coalesce("component", "id").alias("comp"))
     classes = saved(
         classed.groupBy("comp").agg(F.sum("n").alias("n"), F.min("first").alias("first")).where("n > 1"), "line-classes"

@@ -14,13 +14,13 @@ def expected(rows):
     places, order = {}, []
     for doc, text in rows:
         for no, line in enumerate(text.split("\n") if text is not None else []):
-            if len(line) >= 20:
+            if len(line) >= 20 or any(c.isalnum() for c in line):
                 places.setdefault(line, []).append((doc, no))
                 order.append((doc, no, line))
     lines = sorted(places)
     links = [
         (a, b) for a in lines for b in lines
-        if a < b and abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= allowed(min(len(a), len(b)))
+        if a < b and len(a) >= 20 <= len(b) and abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= allowed(min(len(a), len(b)))
     ]
     top = classes(lines, links)
     first = {}
@@ -106,16 +106,25 @@ EDGE = [
 def test_edge_cases(spark):
     df = spark.createDataFrame(EDGE, "doc_id long, text string, n_chars long").withColumnRenamed("n_chars", "n_chars")
     got = sorted(((r.doc_id, r.n_lines, r.removed) for r in line_report(df).collect()), key=str)
-    want = [(1, 3, [2]), (2, 2, [1]), (3, 1, [0]), (4, 0, []), (5, 1, []), (6, 1, []), (7, 1, []), (8, 1, []), (9, 2, [0]), (None, 2, [0]), (3, 1, [0])]
+    want = [(1, 3, [2]), (2, 2, [0, 1]), (3, 1, [0]), (4, 0, []), (5, 1, []), (6, 1, [0]), (7, 1, []), (8, 1, []), (9, 2, [0]), (None, 2, [0]), (3, 1, [0])]
     assert got == sorted(want, key=str)
     left = {r.doc_id: (r.text, r.n_chars) for r in without_repeated_lines(df).collect()}
     assert left == {
-        1: (f"{LONG}\nshort", 39), 2: ("short", 5), 4: (None, 7), 5: ("", 7), 6: ("short", 7), 7: (EDGE[6][1], 7), 8: ("y" * 200_000, 7),
+        1: (f"{LONG}\nshort", 39), 4: (None, 7), 5: ("", 7), 7: (EDGE[6][1], 7), 8: ("y" * 200_000, 7),
         9: ("rest", 4), None: ("kept", 4),
     }
     assert line_report(df.limit(0)).count() == 0 and without_repeated_lines(df.limit(0)).count() == 0
 
 
+def test_short_lines_repeat_only_equal_ones(spark):
+    rows = [(1, "Read more\n\n---\n}\n7"), (2, "Read more\nRead mores\n---\n\n}"), (3, "7\nread more\nRead more\né"), (4, "é\n \n---")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in line_report(df).collect()}
+    assert got == {1: [], 2: [0], 3: [0, 2], 4: [0]}
+    left = {r.doc_id: r.text for r in without_repeated_lines(df).collect()}
+    assert left == {1: rows[0][1], 2: "Read mores\n---\n\n}", 3: "read more\né"}
+
+
 def test_clashing_columns(spark):
     df = spark.createDataFrame([(1, LONG, "a", 2), (2, LONG, "b", 3)], "doc_id long, text string, line string, removed int")
     assert line_report(df).count() == 2 and without_repeated_lines(df).columns == df.columns
