@@ -18,9 +18,10 @@ def expected(rows):
                 places.setdefault(line, []).append((doc, no))
                 order.append((doc, no, line))
     lines = sorted(places)
+    long = [line for line in lines if len(line) >= 20]
     links = [
-        (a, b) for a in lines for b in lines
-        if a < b and len(a) >= 20 <= len(b) and abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= allowed(min(len(a), len(b)))
+        (a, b) for a in long for b in long
+        if a < b and abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= allowed(min(len(a), len(b)))
     ]
     top = classes(lines, links)
     first = {}
