@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.inputs import labelled, reviews, sql
-from catalog.learning import _SPLIT, _TOPIC_SQL, LABEL_PROMPT, LABEL_SQL, STAR_PROMPT, TOPIC_PROMPT, _requests_sql
+from catalog.learning import (
+    _PRED, _SPLIT, _TOPIC_SQL, LABEL_PROMPT, LABEL_SQL, STAR_PROMPT, TOPIC_PROMPT, _r6, _requests_sql,
+)
 from catalog.texts import STOP, WORD, _in, sql_clean_letters, sql_words
 from opinara.functions.text import clean_letters
 from opinara.operators import coherence as co
 from opinara.operators import topics as tp
 from opinara.operators.balance import stratified_split
 from opinara.operators.centroids import fit_clusters
-from opinara.operators.features import TfidfVectoriser
+from opinara.operators.features import TermSetting, TfidfVectoriser
 from opinara.operators.generate import augment, classify_with_model
 from opinara.operators.lda import fit_topics
 from opinara.plans import classification as cl
@@ -130,6 +132,74 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "label int, intercept double, squared_norm double")
 
 
+def _long(rows, id_col, keep):
+    """(id, keep..., term_id, weight) of the non-zero entries of packed vectors."""
+    pairs = F.explode(F.arrays_zip("vector.indices", "vector.values"))
+    return rows.select(id_col, *keep, pairs.alias("p")).select(id_col, *keep, F.col("p.indices").alias("term_id"), F.col("p.values").alias("weight"))
+
+
+def _coefficients(spark, lr):
+    """(class, term_id, coef), with the intercept as term -1."""
+    matrix = lr.coefficientMatrix.toArray()
+    rows = [(int(c), int(t), float(matrix[c, t])) for c, t in zip(*matrix.nonzero(), strict=True)]
+    rows += [(c, -1, float(x)) for c, x in enumerate(lr.interceptVector)]
+    return spark.createDataFrame(rows, "class int, term_id int, coef double")
+
+
+def _margins(rows, coefs, id_col):
+    """(id, class, margin): sums of weight times coefficient over a join by term."""
+    terms = _long(rows, id_col, []).join(coefs, "term_id").select(id_col, "class", (F.col("weight") * F.col("coef")).alias("x"))
+    start = rows.select(id_col).withColumn("term_id", F.lit(-1)).join(coefs, "term_id").select(id_col, "class", F.col("coef").alias("x"))
+    return terms.unionByName(start).groupBy(id_col, "class").agg(F.sum("x").alias("margin"))
+
+
+@query(
+    "m6_logreg_stationary",
+    sql("labelled", "select label, count(*) as n_rows, true as stationary from split where split = 'train' group by label", **_SPLIT),
+)
+def _(spark, sf):
+    """Whether the gradient of the penalised loss is zero at the fitted coefficients, class by class.
+
+    The loss is convex, so that a zero gradient means the best fit. It is computed by joins and
+    sums over the stored coefficients, not by the code that fitted them.
+    """
+    train, _, _ = _tables(spark, sf)
+    vectoriser = TfidfVectoriser(inputCol="content").fit(train, max_features=_FEATURES)
+    vectors = cl.training_vectors(train, vectoriser)
+    coefs = saved(_coefficients(spark, cl.train_model("LR", vectors, vectoriser, tol=1e-9).pipeline.stages[-1]), "coefficients")
+    weight = F.lit(1.0)
+    for c, x in cl.CLASS_WEIGHTS.items():
+        weight = F.when(F.col("label") == c, x).otherwise(weight)
+    margins = _margins(vectors, coefs, "row_id")
+    whole = F.sum(F.exp("margin")).over(Window.partitionBy("row_id"))
+    share = margins.select("row_id", "class", (F.exp("margin") / whole).alias("p")).join(vectors.select("row_id", "label"), "row_id")
+    error = saved(share.select("row_id", "class", (weight * (F.col("p") - (F.col("label") == F.col("class")).cast("int"))).alias("e")), "errors")
+    slopes = _long(vectors, "row_id", []).join(error, "row_id").groupBy("class", "term_id").agg(F.sum(F.col("weight") * F.col("e")).alias("g"))
+    slopes = slopes.unionByName(error.groupBy("class").agg(F.sum("e").alias("g")).withColumn("term_id", F.lit(-1)))
+    # Loss = sum of weighted log losses + |coefficients|^2 / (2 C); intercepts are not penalised.
+    penalty = F.when(F.col("term_id") >= 0, F.coalesce("coef", F.lit(0.0)) / 0.5).otherwise(0.0)
+    flat = slopes.join(coefs, ["class", "term_id"], "full").select(F.col("class").alias("label"), (F.coalesce("g", F.lit(0.0)) + penalty).alias("g"))
+    worst = flat.groupBy("label").agg(F.max(F.abs("g")).alias("g"))
+    sizes = vectors.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.max("label").alias("c"))
+    # A gradient of a ten-thousandth for each row of a class, where a wrong fit has tenths.
+    return sizes.join(worst, "label").select("label", "n_rows", (F.col("g") <= F.col("n_rows") * 1e-4).alias("stationary"))
+
+
+@query(
+    "m7_predict_margins",
+    sql("labelled", "select reviewId, label, true as agrees from split where split = 'test'", **_SPLIT),
+)
+def _(spark, sf):
+    """Whether every prediction has the largest margin, with margins summed over a join by term."""
+    model, _, test = _fitted(spark, sf)
+    vectoriser, lr = model.pipeline.stages
+    found = saved(model.predict(test).select("reviewId", "label", "prediction"), "predictions")
+    margins = _margins(vectoriser.weights(test, "vector"), _coefficients(spark, lr), "reviewId")
+    top = margins.groupBy("reviewId").agg(F.max("margin").alias("top"), F.max_by("class", "margin").alias("first"))
+    mine = found.join(top, "reviewId").join(margins.withColumnRenamed("class", "prediction"), ["reviewId", "prediction"])
+    return mine.select("reviewId", "label", (F.col("margin") >= F.col("top") - 1e-9).alias("agrees"))
+
+
 @query("m7_predict")
 def _(spark, sf):
     model, _, test = _fitted(spark, sf)
@@ -155,7 +225,87 @@ def _(spark, sf):
         augment(train, "label", "content", write_reviews, TOPIC_PROMPT, classes=[0, 1]), "train-augmented"
     )
     scores, _ = cl.model_grid({"None": train, "IA": richer, "SMOTE": train}, dev, max_features=_FEATURES)
-    return scores
+    return scores.drop("terms")
+
+
+# Two term settings and two ways to vote, away from the defaults, scored in SQL as well.
+
+_TERMS = {
+    "short": TermSetting((1, 2), tuple(STOP), 400, 0.01),
+    "pairs": TermSetting((2, 3), (), 300, 3),
+}
+_VOTES = {"uniform": cl.Knn(7, "euclidean", "uniform"), "near": cl.Knn(3, "euclidean", "distance")}
+
+
+def _setting_sql(name: str, setting: TermSetting) -> dict[str, str]:
+    """Distances between dev and train rows under a term setting."""
+    low, high = setting.ngram_range
+    toks = f"regexp_extract_all({sql_clean_letters('content')}, '{WORD}{{2,}}')"
+    if setting.stop_words:
+        toks = f"list_filter({toks}, lambda x: x not in {_in(setting.stop_words)})"
+    gram = ["tok", "tok || ' ' || n1", "tok || ' ' || n1 || ' ' || n2"]
+    whole = ["tok", "n1", "n2"]
+    parts = [f"select reviewId, split, {gram[n - 1]} as term from flat_{name} where {whole[n - 1]} is not null" for n in range(low, high + 1)]
+    n_docs = "(select count(*) from split where split = 'train')"
+    least = f"{setting.min_df}::double * {n_docs}" if isinstance(setting.min_df, float) else str(setting.min_df)
+    return {
+        f"flat_{name}": f"""select reviewId, split, tok, lead(tok) over w as n1, lead(tok, 2) over w as n2 from (
+            select reviewId, split, unnest(toks) as tok, unnest(range(len(toks))) as pos from (
+            select reviewId, split, {toks} as toks from split where split <> 'test'))
+            window w as (partition by reviewId order by pos)""",
+        f"tf_{name}": f"select reviewId, split, term, count(*) as tf from ({' union all '.join(parts)}) group by all",
+        f"vocab_{name}": f"""select term, ln((1 + {n_docs})::double / (1 + count(*))::double) + 1.0::double as idf
+            from tf_{name} where split = 'train' group by term having count(*) >= {least}
+            order by sum(tf) desc, term limit {setting.max_features}""",
+        f"w_{name}": f"""select reviewId, split, term, w / sqrt(sum(w * w) over (partition by reviewId)) as w from (
+            select reviewId, split, term, (1 + ln(tf)) * idf as w from tf_{name} join vocab_{name} using (term))""",
+        f"sims_{name}": f"""select q.reviewId as qid, b.reviewId as bid, sum(q.w * b.w) as s from w_{name} q join w_{name} b
+            using (term) where q.split = 'dev' and b.split = 'train' group by all""",
+        f"far_{name}": f"""select q.reviewId, q.label as truth, b.reviewId as neighbour, b.label, cast(
+            case when q.reviewId not in (select reviewId from w_{name}) and b.reviewId not in (select reviewId from w_{name}) then 0
+            when q.reviewId not in (select reviewId from w_{name}) or b.reviewId not in (select reviewId from w_{name}) then 1e9
+            else 2 * floor((1 - coalesce(s, 0.0::double)) * 1e9 + 0.5) end as bigint) as d
+            from (select * from split where split = 'dev') q cross join (select * from split where split = 'train') b
+            left join sims_{name} on qid = q.reviewId and bid = b.reviewId""",
+    }
+
+
+def _vote_sql(terms: str, name: str, votes: cl.Knn) -> dict[str, str]:
+    weight = "1.0::double"
+    if votes.weights == "distance":
+        weight = """case when nearest = 0 then case when d = 0 then 1.0::double else 0.0::double end
+            else sqrt(1e9::double / d) end"""
+    key = f"{terms}_{name}"
+    return {
+        f"top_{key}": f"""select *, min(d) over (partition by reviewId) as nearest from (select *, row_number() over (
+            partition by reviewId order by d, neighbour) as rn from far_{terms}) where rn <= {votes.k}""",
+        f"pred_{key}": f"""select truth as label, label as prediction from (select *, row_number() over (
+            partition by reviewId order by s desc, label) as r from (select reviewId, truth, label,
+            floor(sum({weight}) * 1000 + 0.5) as s from top_{key} group by all)) where r = 1""",
+        f"per_{key}": _PRED["per"].replace("from pred", f"from pred_{key}"),
+        f"scores_{key}": _PRED["scores"].replace("from per", f"from per_{key}"),
+        f"f1_{key}": f"select '{terms}' as terms, '{name}' as model, {_r6('avg(f1)')} as macro_f1 from scores_{key}",
+    }
+
+
+_GRID = {k: v for t, setting in _TERMS.items() for k, v in _setting_sql(t, setting).items()}
+_GRID |= {k: v for t in _TERMS for n, votes in _VOTES.items() for k, v in _vote_sql(t, n, votes).items()}
+_GRID_ROWS = " union all ".join(f"select * from f1_{t}_{n}" for t in _TERMS for n in _VOTES)
+
+
+@query(
+    "m10_grid_settings",
+    sql(
+        "labelled",
+        "select 'None' as strategy, *, macro_f1 = max(macro_f1) over () as best from grid",
+        **_SPLIT, **_GRID, grid=_GRID_ROWS,
+    ),
+)
+def _(spark, sf):
+    """Every row that reaches the best score is marked, so that ties do not depend on the order of trial."""
+    train, dev, _ = _tables(spark, sf)
+    scores, _ = cl.model_grid({"None": train}, dev, models=_VOTES, terms=_TERMS)
+    return scores.withColumn("best", F.col("macro_f1") == F.max("macro_f1").over(Window.partitionBy()))
 
 
 @query("m11_holdout_eval")
@@ -166,6 +316,31 @@ def _(spark, sf):
     return cl.holdout_eval(spark, path, "LR", test)
 
 
+@query(
+    "m11_holdout_recount",
+    sql(
+        "labelled",
+        """select cast(label as varchar) as "row", count(*) as support, true as equal from split where split = 'test' group by 1
+        union all select 'accuracy', count(*), true from split where split = 'test'""",
+        **_SPLIT,
+    ),
+)
+def _(spark, sf):
+    """Report of the stored model against F1 and accuracy counted from the predictions of the model at hand."""
+    model, _, test = _fitted(spark, sf)
+    path = scratch_path(spark, "model")
+    model.save(path)
+    report = cl.holdout_eval(spark, path, "LR", test)
+    found = saved(model.predict(test).select("label", "prediction"), "predictions")
+    hit = F.count_if(F.col("label") == F.col("prediction"))
+    true = found.groupBy(F.col("label").alias("c")).agg(F.count(F.lit(1)).alias("n"), hit.alias("tp"))
+    said = found.groupBy(F.col("prediction").alias("c")).agg(F.count(F.lit(1)).alias("m"))
+    f1 = true.join(said, "c", "left").select(F.col("c").cast("string").alias("row"), (2 * F.col("tp") / (F.col("n") + F.coalesce("m", F.lit(0)))).alias("again"))
+    right = found.agg((hit / F.count(F.lit(1))).alias("again")).select(F.lit("accuracy").alias("row"), "again")
+    both = report.join(f1.unionByName(right), "row")
+    return both.select("row", "support", (F.abs(F.col("f1") - F.col("again")) < 1e-6).alias("equal"))
+
+
 # Topics.
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions.text import CLEANERS, feature_tokens
-from opinara.operators.ngrams import frequent_ngrams, ngram_weights
+from opinara.operators.ngrams import Count, Cut, frequent_ngrams, gram_counts, ngram_weights
 from opinara.session import saved
 
 
@@ -123,21 +123,73 @@ def fit_tfidf(
     )
 
 
+def least_texts(min_df: int | float, n_docs: int) -> int:
+    """Number of texts a term has to lie in: min_df itself, or that share of all texts if it is a float."""
+    return math.ceil(min_df * n_docs) if isinstance(min_df, float) else min_df
+
+
 def fit_ngrams(
-    df: DataFrame, tokens: Column, ngram_range: tuple[int, int] = (1, 3), max_features: int = 7000, min_df: int = 1,
+    df: DataFrame, tokens: Column, ngram_range: tuple[int, int] = (1, 3), max_features: int = 7000, min_df: int | float = 1,
     sublinear: bool = True,
 ) -> Tfidf:
     """As fit_tfidf over the n-grams of a token list, counted level by level.
 
     Without single words among the terms there is no bound to begin with; all n-grams are
-    then counted at once.
+    then counted at once. A float min_df is a share of the texts.
     """
     rows = df.select(tokens.alias("_tokens"))
+    n_docs = df.count()
+    min_df = least_texts(min_df, n_docs)
     if ngram_range[0] > 1:
         return fit_tfidf(with_ngrams(rows, F.col("_tokens"), ngram_range), "terms", max_features, min_df, sublinear)
     stats = saved(term_stats(rows, "_tokens"), "word-counts")
-    found = sorted(frequent_ngrams(rows, "_tokens", stats, ngram_range, max_features, min_df))
-    return Tfidf([t for t, _, _ in found], [c for _, c, _ in found], [d for _, _, d in found], df.count(), sublinear)
+    return _fitted(frequent_ngrams(rows, "_tokens", stats, ngram_range, max_features, min_df), n_docs, sublinear)
+
+
+def _fitted(counts: Sequence[Count], n_docs: int, sublinear: bool) -> Tfidf:
+    found = sorted(counts)
+    return Tfidf([c.term for c in found], [c.ctf for c in found], [c.df for c in found], n_docs, sublinear)
+
+
+@dataclass(frozen=True)
+class TermSetting:
+    """Which terms a model uses: n-gram lengths, words left out, size, least number or share of texts."""
+
+    ngram_range: tuple[int, int] = (1, 3)
+    stop_words: tuple[str, ...] = ()
+    max_features: int = 7000
+    min_df: int | float = 1
+
+    def cut(self, n_docs: int) -> Cut:
+        return Cut(*self.ngram_range, self.max_features, least_texts(self.min_df, n_docs))
+
+
+def fit_settings(df: DataFrame, tokens: str, settings: Sequence[TermSetting], sublinear: bool = True) -> list[Tfidf]:
+    """One vocabulary per setting over the same token lists, all from one table of term statistics.
+
+    Stop words have to be out of the lists already. Settings that begin with single words share
+    one count by levels; the others share one aggregation over all n-grams they use.
+    """
+    n_docs = df.count()
+    cuts = [s.cut(n_docs) for s in settings]
+    counts: list[Count] = []
+    if any(c.low == 1 for c in cuts):
+        stats = saved(term_stats(df, tokens), "word-counts")
+        counts = gram_counts(df, tokens, stats, [c for c in cuts if c.low == 1])
+    longer = [c for c in cuts if c.low > 1]
+    if longer:
+        span = min(c.low for c in longer), max(c.high for c in longer)
+        stats = term_stats(with_ngrams(df.select(tokens), F.col(tokens), span))
+        stats = saved(stats.withColumn("words", F.size(F.split("term", " "))), "term-counts")
+
+    def found(cut: Cut) -> list[Count]:
+        if cut.low == 1:
+            return cut.of(counts)
+        mine = stats.where(F.col("words").between(cut.low, cut.high) & (F.col("df") >= cut.min_df))
+        best = mine.orderBy(F.desc("ctf"), "term").limit(cut.max_features).collect()
+        return [Count(r["term"], r["words"], r["ctf"], r["df"]) for r in best]
+
+    return [_fitted(found(c), n_docs, sublinear) for c in cuts]
 
 
 def count_terms(df: DataFrame, vocabulary: Sequence[str], terms: str, name: str = "counts") -> DataFrame:
@@ -215,15 +267,18 @@ class TfidfVectoriser(Transformer, DefaultParamsReadable, DefaultParamsWritable)
         get = self.getOrDefault
         return feature_tokens(CLEANERS[get("cleaner")](F.col(get("inputCol"))), get("stopWords"))
 
-    def fit(self, df: DataFrame, max_features: int = 7000, min_df: int = 1) -> TfidfVectoriser:
+    def fit(self, df: DataFrame, max_features: int = 7000, min_df: int | float = 1) -> TfidfVectoriser:
         get = self.getOrDefault
-        model = fit_ngrams(df, self.tokens(), tuple(get("ngramRange")), max_features, min_df, get("sublinear"))
+        return self.fitted(fit_ngrams(df, self.tokens(), tuple(get("ngramRange")), max_features, min_df, get("sublinear")))
+
+    def fitted(self, model: Tfidf) -> TfidfVectoriser:
         return self.copy()._set(vocabulary=model.terms, idf=model.idf)
 
-    def weights(self, df: DataFrame, name: str = "w") -> DataFrame:
-        """The vector as a struct (indices, values)."""
+    def weights(self, df: DataFrame, name: str = "w", tokens: Column | None = None) -> DataFrame:
+        """The vector as a struct (indices, values), from the text or from its tokens if they are there already."""
         get = self.getOrDefault
-        return df.withColumn(name, ngram_weights(self.tokens(), get("vocabulary"), get("idf"), get("sublinear")))
+        found = self.tokens() if tokens is None else tokens
+        return df.withColumn(name, ngram_weights(found, get("vocabulary"), get("idf"), get("sublinear")))
 
     def _transform(self, df: DataFrame) -> DataFrame:
         size = len(self.getOrDefault("vocabulary"))

@@ -264,14 +264,21 @@ def _bounded(
     return looked.withColumn("_cells", cells_to_visit("_v", "_ub"))
 
 
-def vote(neighbours: DataFrame, query_id: str, label: str, name: str = "prediction") -> DataFrame:
-    """Label with the largest sum of 1 / distance; a zero distance takes all weight.
+def vote(
+    neighbours: DataFrame, query_id: str, label: str, name: str = "prediction", weights: str = "distance", metric: str = "cosine"
+) -> DataFrame:
+    """Label with the largest sum of weights: 1 / distance, or 1 each for 'uniform'.
 
-    Equal sums go to the smaller label. Sums are compared in thousandths.
+    With distances, a zero distance takes all weight. Equal sums go to the smaller label.
+    Sums are compared in thousandths.
     """
     d = F.col("dist_nano")
-    exact = F.min(d).over(Window.partitionBy(query_id)) == 0
-    weight = F.when(exact, (d == 0).cast("double")).otherwise(1e9 / d)
+    if weights == "uniform":
+        weight = F.lit(1.0)
+    else:
+        exact = F.min(d).over(Window.partitionBy(query_id)) == 0
+        apart = 1e9 / d if metric == "cosine" else F.sqrt(1e9 / d)
+        weight = F.when(exact, (d == 0).cast("double")).otherwise(apart)
     per = neighbours.withColumn("_w", weight).groupBy(query_id, label).agg(F.floor(F.sum("_w") * 1000 + 0.5).alias("_s"))
     best = F.max_by(label, F.struct("_s", (-F.col(label)).alias("l")))
     return per.groupBy(query_id).agg(best.alias(name))
@@ -279,17 +286,18 @@ def vote(neighbours: DataFrame, query_id: str, label: str, name: str = "predicti
 
 def knn_classify(
     test: DataFrame, train: DataFrame, dim: int, id_col: str, label: str, vector: str = "vector", k: int = 5,
-    search: Callable[..., DataFrame] = nearest, **options,
+    search: Callable[..., DataFrame] = nearest, metric: str = "cosine", weights: str = "distance", **options,
 ) -> DataFrame:
-    """Distance-weighted k-nearest-neighbour labels (cosine) for the test rows.
+    """k-nearest-neighbour labels for the test rows.
 
-    `search` is `nearest`, or `text_neighbours.nearest_texts` for sparse vectors of texts.
+    `search` is `nearest`, or `text_neighbours.nearest_texts` for sparse vectors of texts;
+    `metric` is 'cosine' or 'euclidean', `weights` 'distance' or 'uniform'.
     """
     found = search(
         test.withColumnRenamed(id_col, "query_id"), train.withColumnRenamed(id_col, "base_id"), k, dim,
-        vector=vector, carry=[label], **options,
+        vector=vector, carry=[label], metric=metric, **options,
     )
-    return vote(found, "query_id", label).withColumnRenamed("query_id", id_col)
+    return vote(found, "query_id", label, weights=weights, metric=metric).withColumnRenamed("query_id", id_col)
 
 
 def _hash_int(text: Column, start: int) -> Column:

@@ -9,7 +9,9 @@ own tokens; the few named are then counted exactly. No list of all n-grams is sh
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -111,25 +113,51 @@ def _counted(rows: DataFrame, n: int, base: int, wanted: np.ndarray) -> list[tup
     return [(int(wanted[r["at"]]), r["ctf"], r["df"]) for r in sums.collect()]
 
 
-def frequent_ngrams(
-    df: DataFrame, tokens: str, word_stats: DataFrame, ngram_range: tuple[int, int] = (1, 3), max_features: int = 7000, min_df: int = 1
-) -> list[tuple[str, int, int]]:
-    """(term, corpus frequency, document frequency) of the max_features most frequent n-grams; ties by term.
+@dataclass(frozen=True)
+class Cut:
+    """A vocabulary: the most frequent n-grams of low to high words that lie in min_df texts or more."""
+
+    low: int
+    high: int
+    max_features: int
+    min_df: int = 1
+
+    def of(self, counts: Iterable[Count]) -> list[Count]:
+        """The terms of the cut among counted ones, most frequent first, ties by term."""
+        mine = [c for c in counts if self.low <= c.words <= self.high and c.df >= self.min_df]
+        return sorted(mine, key=lambda c: (-c.ctf, c.term))[: self.max_features]
+
+
+class Count(NamedTuple):
+    """A term of some words, its corpus frequency and its document frequency."""
+
+    term: str
+    words: int
+    ctf: int
+    df: int
+
+
+def gram_counts(df: DataFrame, tokens: str, word_stats: DataFrame, cuts: Sequence[Cut]) -> list[Count]:
+    """Counts of all terms that belong to one of the cuts, which all have to begin with single words.
 
     `word_stats` holds (term, ctf, df) of all words. Terms join their words by a blank. The
-    driver holds the words that reach the bound: max_features and those that tie with the last.
+    texts are coded once for all cuts; a level is counted down to the lowest bound of the cuts
+    that reach it. The driver holds the words that reach it: max_features and ties with the last.
     """
-    high = ngram_range[1]
-    words = word_stats.where((F.col("df") >= min_df) & F.col("term").isNotNull())
-    best = words.orderBy(F.desc("ctf"), "term").limit(max_features).collect()
-    known = [(r["term"], r["ctf"], r["df"]) for r in best]
-
-    def bound() -> int:
-        return sorted((k[1] for k in known), reverse=True)[max_features - 1] if len(known) >= max_features else 1
+    fewest, high = min(c.min_df for c in cuts), max(c.high for c in cuts)
+    words = word_stats.where((F.col("df") >= fewest) & F.col("term").isNotNull())
+    known: dict[str, Count] = {}
+    for limit, min_df in sorted({(c.max_features, c.min_df) for c in cuts}):
+        for r in words.where(F.col("df") >= min_df).orderBy(F.desc("ctf"), "term").limit(limit).collect():
+            known[r["term"]] = Count(r["term"], 1, r["ctf"], r["df"])
+
+    def bound(level: int) -> int:
+        """Corpus frequency that a term of `level` words must reach to enter a cut."""
+        full = [(c.of(known.values()), c.max_features) for c in cuts if c.high >= level]
+        return min(found[-1].ctf if found and len(found) == limit else 1 for found, limit in full)
 
     if high > 1:
-        frequent = [r["term"] for r in words.where(F.col("ctf") >= bound()).select("term").collect()]
-        names = sorted(frequent)
+        names = sorted(r["term"] for r in words.where(F.col("ctf") >= bound(2)).select("term").collect())
         base = len(names) + 1
         table = pa.array(names, pa.string())
 
@@ -141,15 +169,25 @@ def frequent_ngrams(
 
         rows = saved(df.select(encode(F.col(tokens)).alias("codes")), "word-codes")
         total = rows.agg(F.sum(F.size("codes"))).first()[0] or 0
-        parts = None
+        found, parts = [], None
         for n in range(2, high + 1):
-            least = bound()
+            least = bound(n)
+            if n > 2:
+                parts = np.sort(np.array([c for c, ctf, _ in found if ctf >= least], np.int64))
             named = _named(rows, n, base, parts, least / total if total else 0.0, least)
-            found = [r for r in _counted(rows, n, base, named) if r[2] >= min_df and r[1] >= least]
-            known += [(" ".join(names[c // base**k % base] for k in range(n - 1, -1, -1)), ctf, d) for c, ctf, d in found]
-            least = bound()
-            parts = np.sort(np.array([c for c, ctf, _ in found if ctf >= least], np.int64))
-    return sorted(known, key=lambda k: (-k[1], k[0]))[:max_features]
+            found = [r for r in _counted(rows, n, base, named) if r[2] >= fewest and r[1] >= least]
+            for code, ctf, d in found:
+                term = " ".join(names[code // base**k % base] for k in range(n - 1, -1, -1))
+                known[term] = Count(term, n, ctf, d)
+    return list(known.values())
+
+
+def frequent_ngrams(
+    df: DataFrame, tokens: str, word_stats: DataFrame, ngram_range: tuple[int, int] = (1, 3), max_features: int = 7000, min_df: int = 1
+) -> list[Count]:
+    """Counts of the max_features most frequent n-grams; ties by term."""
+    cut = Cut(*ngram_range, max_features, min_df)
+    return cut.of(gram_counts(df, tokens, word_stats, [cut]))
 
 
 def ngram_weights(tokens: Column, vocabulary: Sequence[str], idf: Sequence[float], sublinear: bool = True) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinara.operators.evaluate import classification_report, macro_f1
-from opinara.operators.features import TfidfVectoriser, pack_vector
+from opinara.operators.features import TermSetting, TfidfVectoriser, fit_settings, pack_vector
+from opinara.operators.hash_order import group_sizes
 from opinara.operators.neighbours import knn_classify, smote
 from opinara.operators.text_neighbours import nearest_texts
 from opinara.session import saved
@@ -20,6 +21,27 @@ from opinara.session import saved
 # Default class weights of the logistic regression.
 CLASS_WEIGHTS = {0: 1.8, 1: 2.3, 2: 0.5}
 
+_KNN_OPTIONS = "k int, metric string, weights string"
+
+
+@dataclass(frozen=True)
+class Knn:
+    """Nearest-neighbour voting: metric 'cosine' or 'euclidean', weights 'distance' or 'uniform'."""
+
+    k: int = 5
+    metric: str = "cosine"
+    weights: str = "distance"
+
+
+@dataclass(frozen=True)
+class Logistic:
+    """Logistic regression; class weights by label, 'balanced' or None."""
+
+    C: float = 0.5
+    class_weights: Mapping[int, float] | str | None = field(default_factory=lambda: CLASS_WEIGHTS)
+    max_iter: int = 5000
+    tol: float = 1e-6
+
 
 def _weight(label: Column, weights: Mapping[int, float]) -> Column:
     w = F.lit(1.0)
@@ -28,14 +50,23 @@ def _weight(label: Column, weights: Mapping[int, float]) -> Column:
     return w
 
 
+def balanced_weights(df: DataFrame, label: str = "label") -> dict[int, float]:
+    """Weights under which all classes count the same: rows / (classes * rows of the class)."""
+    sizes = group_sizes(df, label)
+    return {int(c): sum(sizes.values()) / (len(sizes) * n) for c, n in sizes.items()}
+
+
 def fit_logistic(
     df: DataFrame, features: str = "features", label: str = "label", C: float = 0.5,
-    class_weights: Mapping[int, float] | None = CLASS_WEIGHTS, max_iter: int = 5000, tol: float = 1e-6,
+    class_weights: Mapping[int, float] | str | None = CLASS_WEIGHTS, max_iter: int = 5000, tol: float = 1e-6,
 ):
     """Multinomial logistic regression with an L2 penalty of strength 1 / C.
 
-    The weighted training table is written once before the iterations start.
+    `class_weights` maps labels to weights; 'balanced' weighs every class by rows / (classes *
+    rows of the class). The weighted training table is written once before the iterations start.
     """
+    if class_weights == "balanced":
+        class_weights = balanced_weights(df, label)
     rows = df.select(
         F.col(features).alias("features"), F.col(label).cast("double").alias("label"),
         _weight(F.col(label), class_weights or {}).alias("weight"),
@@ -70,21 +101,28 @@ class KnnText:
     vectoriser: TfidfVectoriser
     train: DataFrame
     k: int = 5
+    metric: str = "cosine"
+    weights: str = "distance"
     kind: str = "KNN"
 
     def predict(self, df: DataFrame, id_col: str = "reviewId") -> DataFrame:
         rows = self.vectoriser.weights(df.select(id_col, self.vectoriser.getOrDefault("inputCol")), "vector")
         dim = len(self.vectoriser.getOrDefault("vocabulary"))
         train = self.train.select(F.col("row_id").alias(id_col), F.col("label").alias("_l"), "vector")
-        found = knn_classify(rows.select(id_col, "vector"), train, dim, id_col, "_l", k=self.k, search=nearest_texts)
+        found = knn_classify(
+            rows.select(id_col, "vector"), train, dim, id_col, "_l", k=self.k, search=nearest_texts, metric=self.metric,
+            weights=self.weights,
+        )
         return df.join(found, id_col)
 
     def save(self, path: str) -> None:
         self.vectoriser.write().overwrite().save(f"{path}/vectoriser")
         self.train.write.mode("overwrite").parquet(f"{path}/train")
+        options = self.train.sparkSession.createDataFrame([(self.k, self.metric, self.weights)], _KNN_OPTIONS)
+        options.write.mode("overwrite").json(f"{path}/options")
 
 
-def load_model(spark: SparkSession, path: str, kind: str, k: int = 5):
+def load_model(spark: SparkSession, path: str, kind: str):
     """Read a model back that was stored with save()."""
     if kind == "LR":
         return LogisticText(PipelineModel.load(f"{path}/pipeline"))
@@ -96,14 +134,16 @@ def load_model(spark: SparkSession, path: str, kind: str, k: int = 5):
             ])),
         ]
     )
-    return KnnText(TfidfVectoriser.load(f"{path}/vectoriser"), spark.read.schema(schema).parquet(f"{path}/train"), k)
+    options = spark.read.schema(_KNN_OPTIONS).json(f"{path}/options").first().asDict()
+    return KnnText(TfidfVectoriser.load(f"{path}/vectoriser"), spark.read.schema(schema).parquet(f"{path}/train"), **options)
 
 
 def training_vectors(
-    train: DataFrame, vectoriser: TfidfVectoriser, label: str = "label", id_col: str = "reviewId", oversample: bool = False
+    train: DataFrame, vectoriser: TfidfVectoriser, label: str = "label", id_col: str = "reviewId", oversample: bool = False,
+    tokens: Column | None = None,
 ) -> DataFrame:
     """(row_id, label, vector) of the training rows, with SMOTE rows if asked for."""
-    rows = vectoriser.weights(train.where(F.col(label).isNotNull()), "vector").select(
+    rows = vectoriser.weights(train.where(F.col(label).isNotNull()), "vector", tokens).select(
         F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("row-"), F.monotonically_increasing_id())).alias("row_id"),
         F.col(label).cast("int").alias("label"), "vector",
     )
@@ -117,53 +157,86 @@ def training_vectors(
 
 
 def train_model(
-    kind: str, vectors: DataFrame, vectoriser: TfidfVectoriser, k: int = 5, **logistic
+    kind: str | Knn | Logistic, vectors: DataFrame, vectoriser: TfidfVectoriser, k: int = 5, **logistic
 ) -> LogisticText | KnnText:
-    """Fit one model on prepared training vectors."""
-    if kind == "KNN":
-        return KnnText(vectoriser, vectors, k)
+    """Fit one model, given by its options or as 'KNN' or 'LR', on prepared training vectors."""
+    model = {"KNN": Knn(k), "LR": Logistic(**logistic)}[kind] if isinstance(kind, str) else kind
+    if isinstance(model, Knn):
+        return KnnText(vectoriser, vectors, model.k, model.metric, model.weights)
     size = len(vectoriser.getOrDefault("vocabulary"))
     packed = vectors.select(
         "label", pack_vector(F.col("vector.indices"), F.col("vector.values"), size).alias("features")
     )
-    return LogisticText(PipelineModel([vectoriser, fit_logistic(packed, **logistic)]))
+    fitted = fit_logistic(
+        packed, C=model.C, class_weights=model.class_weights, max_iter=model.max_iter, tol=model.tol
+    )
+    return LogisticText(PipelineModel([vectoriser, fitted]))
+
+
+def fit_vectorisers(
+    table: DataFrame, settings: Mapping[str, TermSetting], text: str, cleaner: str, keep: Sequence[str]
+) -> dict[str, tuple[TfidfVectoriser, DataFrame]]:
+    """A vectoriser for each named setting, and the table with the tokens (`_tokens`) it was fitted on.
+
+    Texts are read once for each list of stop words.
+    """
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for name, setting in settings.items():
+        alike.setdefault(tuple(setting.stop_words), []).append(name)
+    out = {}
+    for stop_words, names in alike.items():
+        blank = TfidfVectoriser(inputCol=text, cleaner=cleaner, stopWords=list(stop_words))
+        rows = saved(table.select(*keep, blank.tokens().alias("_tokens")), "grid-tokens")
+        models = fit_settings(rows, "_tokens", [settings[n] for n in names])
+        for name, model in zip(names, models, strict=True):
+            own = blank.copy()._set(ngramRange=list(settings[name].ngram_range))
+            out[name] = (own.fitted(model), rows)
+    return {name: out[name] for name in settings}
 
 
 def model_grid(
     tables: Mapping[str, DataFrame],
     dev: DataFrame,
-    models: Sequence[str] = ("KNN", "LR"),
+    models: Sequence[str] | Mapping[str, Knn | Logistic] = ("KNN", "LR"),
     text: str = "content",
     label: str = "label",
     id_col: str = "reviewId",
     max_features: int = 7000,
-    min_df: int = 1,
+    min_df: int | float = 1,
     cleaner: str = "letters",
+    terms: Mapping[str, TermSetting] | None = None,
     **logistic,
 ):
-    """Train every model on every strategy's table and keep the best on dev.
+    """Train every model with every term setting on every strategy's table and keep the best on dev.
 
     `tables` maps a strategy to its training table; under the key 'SMOTE' the
-    table is oversampled after vectorising. Best means the strictly highest
-    macro F1, in order of trial. Returns (results, best model or None).
+    table is oversampled after vectorising. `terms` and `models` map names to settings;
+    without them there is one term setting of 1 to 3 words, and 'KNN' and 'LR' as they come.
+    All term settings of a table come from one count of its texts. Best means the strictly
+    highest macro F1, in order of trial. Returns (results, best model or None).
     """
     spark = dev.sparkSession
-    fitted: dict[int, TfidfVectoriser] = {}
+    terms = terms or {"all": TermSetting(max_features=max_features, min_df=min_df)}
+    if not isinstance(models, Mapping):
+        plain = {"KNN": Knn(), "LR": Logistic(**logistic)}
+        models = {name: plain[name] for name in models}
+    fitted: dict[int, dict[str, tuple[TfidfVectoriser, DataFrame]]] = {}
     results, best, best_f1 = [], None, 0.0
     for strategy, table in tables.items():
         if id(table) not in fitted:
-            blank = TfidfVectoriser(inputCol=text, cleaner=cleaner)
-            fitted[id(table)] = blank.fit(table, max_features=max_features, min_df=min_df)
-        vectoriser = fitted[id(table)]
-        vectors = training_vectors(table, vectoriser, label, id_col, oversample=strategy == "SMOTE")
-        for kind in models:
-            model = train_model(kind, vectors, vectoriser, **logistic)
-            f1 = macro_f1(model.predict(dev, id_col), label).first()["macro_f1"]
-            results.append((strategy, kind, float(f1)))
-            if f1 > best_f1:
-                best, best_f1 = model, f1
+            fitted[id(table)] = fit_vectorisers(table, terms, text, cleaner, [id_col, label])
+        for setting, (vectoriser, rows) in fitted[id(table)].items():
+            vectors = training_vectors(rows, vectoriser, label, id_col, strategy == "SMOTE", F.col("_tokens"))
+            for name, options in models.items():
+                model = train_model(options, vectors, vectoriser)
+                f1 = macro_f1(model.predict(dev, id_col), label).first()["macro_f1"]
+                results.append((strategy, setting, name, float(f1)))
+                if f1 > best_f1:
+                    best, best_f1 = model, f1
+    first = next((i for i, r in enumerate(results) if r[3] == best_f1 and best_f1 > 0), None)
     scored = spark.createDataFrame(
-        [(*r, r[2] == best_f1 and best_f1 > 0) for r in results], "strategy string, model string, macro_f1 double, best boolean"
+        [(*r, i == first) for i, r in enumerate(results)],
+        "strategy string, terms string, model string, macro_f1 double, best boolean",
     )
     return scored, best
 
