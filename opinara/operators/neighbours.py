@@ -113,6 +113,29 @@ def _split_pairs(queries: DataFrame, base: DataFrame, blocks: list[int], queries
     return q.groupBy(*keys).cogroup(b.groupBy(*keys))
 
 
+def _pivots(base: DataFrame, cells: dict[int, int]) -> pa.Table:
+    """(_g, _v) of as many base rows of each group as it is to have cells, first in hash order.
+
+    A share of the hash range a few times as wide as needed is ranked, not the whole group.
+    """
+    if len(cells) == 1:
+        return base.orderBy(F.xxhash64("_b"), "_b").limit(sum(cells.values())).select("_g", "_v").toArrow()
+    wanted = base.sparkSession.createDataFrame(list(cells.items()), "_g int, _c int")
+    sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).join(wanted, "_g")
+    place = (F.xxhash64("_b") / 2.0**64) + 0.5
+    some = base.join(sizes, "_g").where(place * F.col("_n") <= 4 * F.col("_c") + 40)
+    w = Window.partitionBy("_g").orderBy(F.xxhash64("_b"), "_b")
+    picks = some.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_c"))
+    return picks.orderBy("_g", "_r").select("_g", "_v").toArrow()
+
+
+def _cells_of(sizes: dict[int, int], cell_rows: int, most: int) -> dict[int, int]:
+    """Cells of each group that is to have more than one; `most` in all, shared out by size."""
+    wanted = {g: -(-n // cell_rows) for g, n in sizes.items()}
+    scale = min(1.0, most / max(1, sum(wanted.values())))
+    return {g: int(n * scale) for g, n in wanted.items() if int(n * scale) > 1}
+
+
 def nearest(
     queries: DataFrame,
     base: DataFrame,
@@ -130,56 +153,77 @@ def nearest(
     max_cells: int = 1024,
     n_base: int | None = None,
     n_queries: int | None = None,
+    group: str | None = None,
 ) -> DataFrame:
     """The k nearest base rows of every query: query_id, base_id, carry..., dist_nano, rank.
 
     `vector` is an array of `dim` numbers or a struct (indices, values) below
     `dim`. dist_nano is the cosine distance or the squared Euclidean distance in
     units of 1e-9; equal distances rank by base id. Row counts that are already
-    known may be passed in.
+    known may be passed in. With `group`, an int column of both sides numbered from 0,
+    neighbours are base rows of the query's group; all groups are searched in one job.
     """
-    n_base = base.count() if n_base is None else n_base
-    n_cells = int(min(max(1, -(-n_base // cell_rows)), max_cells, max(1, _PIVOT_CELLS // dim)))
-    b = base.select(F.col(base_id).alias("_b"), *carry, F.col(vector).alias("_v"))
-    q = queries.select(F.col(query_id).alias("_q"), F.col(vector).alias("_v"))
-    if n_cells > 1:
+    g = F.lit(0) if group is None else F.col(group)
+    b = base.select(F.col(base_id).alias("_b"), *carry, F.col(vector).alias("_v"), g.cast("int").alias("_g"))
+    q = queries.select(F.col(query_id).alias("_q"), F.col(vector).alias("_v"), g.cast("int").alias("_g"))
+    if group is None:
+        sizes = {0: base.count() if n_base is None else n_base}
+    else:
+        b, q = saved(b, "base-vectors"), saved(q, "query-vectors")
+        sizes = {r["_g"]: r["n"] for r in b.groupBy("_g").agg(F.count(F.lit(1)).alias("n")).collect()}
+        q = q.where(F.col("_g").isin(*sizes))
+    split = _cells_of(sizes, cell_rows, int(min(max_cells, max(1, _PIVOT_CELLS // dim))))
+    if split and group is None:
         # Both sides are read several times; compute the vectors once.
         b, q = saved(b, "base-vectors"), saved(q, "query-vectors")
 
-    if n_cells == 1:
-        pivots, cells = None, [n_base]
-        placed = b.withColumn("_cell", F.lit(0))
+    # Cells with pivots come first, then one cell for each group without pivots.
+    owner, pivots = np.zeros(0, "int64"), np.zeros((0, dim))
+    if split:
+        picks = _pivots(b.where(F.col("_g").isin(*split)), split)
+        owner, pivots = picks["_g"].to_numpy(), _matrix(picks["_v"], dim, metric, 0)
+    single = sorted(set(sizes) - set(owner.tolist()))
+    lone = np.full(max(sizes, default=0) + 1, -1, "int32")
+    lone[single] = len(owner) + np.arange(len(single))
+    lone_of = F.get(F.lit(lone), F.col("_g"))
+    n_cells = len(owner) + len(single)
+    cells, radius = [0] * len(owner) + [sizes[x] for x in single], np.full(len(owner), -np.inf)
+
+    if not split:
+        placed = b.withColumn("_cell", lone_of)
     else:
-        picks = b.orderBy(F.xxhash64("_b"), "_b").limit(n_cells).select("_v").toArrow()
-        pivots = _matrix(picks["_v"], dim, metric, 0)
 
         @F.arrow_udf("cell int, d double")
-        def place(v: pa.Array) -> pa.Array:
-            d = _squared(_matrix(v, dim, metric, 0), pivots)
+        def place(v: pa.Array, groups: pa.Array) -> pa.Array:
+            of = groups.to_numpy()
+            d = np.where(owner[None, :] == of[:, None], _squared(_matrix(v, dim, metric, 0), pivots), np.inf)
             cell = d.argmin(axis=1)
+            apart = np.where(lone[of] < 0, np.sqrt(d[np.arange(len(cell)), cell]), 0.0)
             return pa.StructArray.from_arrays(
-                [pa.array(cell.astype("int32")), pa.array(np.sqrt(d[np.arange(len(cell)), cell]))], names=["cell", "d"]
+                [pa.array(np.where(lone[of] < 0, cell, lone[of]).astype("int32")), pa.array(apart)], names=["cell", "d"]
             )
 
-        placed = saved(b.withColumn("_p", place("_v")).select("*", "_p.cell", "_p.d").drop("_p"), "cells")
+        placed = saved(b.withColumn("_p", place("_v", "_g")).select("*", "_p.cell", "_p.d").drop("_p"), "cells")
         summary = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("r")).collect()
-        cells, radius = [0] * n_cells, np.full(n_cells, -np.inf)
         for row in summary:
-            cells[row["cell"]], radius[row["cell"]] = row["n"], row["r"]
+            if row["cell"] < len(owner):
+                cells[row["cell"]], radius[row["cell"]] = row["n"], row["r"]
         placed = placed.withColumnRenamed("cell", "_cell").drop("d")
 
-    blocks = [max(1, -(-n // block_rows)) for n in cells]
+    blocks = [max(1, -(-n // block_rows)) for n in cells] or [1]
     blocks_of = F.lit(np.array(blocks, dtype="int32"))
     block = F.pmod(F.xxhash64("_b"), F.get(blocks_of, F.col("_cell"))).cast("int")
     placed = placed.withColumn("_block", block)
     far = np.iinfo("int64").max
 
-    if n_cells == 1:
-        wide = q.withColumns({"_ub": F.lit(int(far)), "_cells": F.array(F.lit(0))})
-        per_cell = {0: queries.count() if n_queries is None else n_queries}
+    if not split:
+        wide = q.withColumns({"_ub": F.lit(int(far)), "_cells": F.array(lone_of)})
     else:
-        wide = _bounded(q, placed, pivots, cells, radius, blocks, k, dim, metric, exclude_self, query_rows)
+        wide = _bounded(q, placed, pivots, owner, lone, cells, radius, blocks, k, dim, metric, exclude_self, query_rows)
         wide = saved(wide, "bounded-queries")
+    if n_cells == 1 and n_queries is not None:
+        per_cell = {0: n_queries}
+    else:
         per_cell = {
             r["c"]: r["n"]
             for r in wide.select(F.explode("_cells").alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -188,6 +232,7 @@ def nearest(
     visits = wide.select("_q", "_v", "_ub", F.explode("_cells").alias("_cell")).withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.get(blocks_of, F.col("_cell")) - 1))
     )
+    placed = placed.drop("_g")
     fields = [T.StructField("_q", q.schema["_q"].dataType), T.StructField("_b", b.schema["_b"].dataType)]
     fields += [b.schema[c] for c in carry] + [T.StructField("dist_nano", T.LongType())]
     schema = T.StructType(fields)
@@ -211,25 +256,30 @@ def nearest(
 
 
 def _bounded(
-    q: DataFrame, placed: DataFrame, pivots: np.ndarray, cells: list[int], radius: np.ndarray, blocks: list[int],
-    k: int, dim: int, metric: str, exclude_self: bool, query_rows: int,
+    q: DataFrame, placed: DataFrame, pivots: np.ndarray, owner: np.ndarray, lone: np.ndarray, cells: list[int],
+    radius: np.ndarray, blocks: list[int], k: int, dim: int, metric: str, exclude_self: bool, query_rows: int,
 ) -> DataFrame:
-    """Add to each query its bound `_ub` and the cells `_cells` it has to visit."""
-    filled = np.array(cells) > 0
+    """Add to each query its bound `_ub` and the cells `_cells` it has to visit.
+
+    `owner` is the group of each pivot, `lone` the only cell of a group without pivots, else -1.
+    """
+    filled = np.array(cells[: len(owner)]) > 0
     between = np.sqrt(_squared(pivots, pivots))
     far = np.iinfo("int64").max
 
     @F.arrow_udf("int")
-    def home_cell(v: pa.Array) -> pa.Array:
-        d = np.where(filled, _squared(_matrix(v, dim, metric, 1), pivots), np.inf)
-        return pa.array(d.argmin(axis=1).astype("int32"))
+    def home_cell(v: pa.Array, groups: pa.Array) -> pa.Array:
+        of = groups.to_numpy()
+        mine = filled[None, :] & (owner[None, :] == of[:, None])
+        d = np.where(mine, _squared(_matrix(v, dim, metric, 1), pivots), np.inf)
+        return pa.array(np.where(lone[of] < 0, d.argmin(axis=1), lone[of]).astype("int32"))
 
     blocks_of = F.lit(np.array(blocks, dtype="int32"))
-    homed = q.withColumn("_cell", home_cell("_v"))
+    homed = q.withColumn("_cell", home_cell("_v", "_g"))
     homed = homed.withColumn("_block", F.pmod(F.xxhash64("_q"), F.get(blocks_of, F.col("_cell"))).cast("int"))
     homed = homed.withColumn("_ub", F.lit(int(far)))
     per_cell = {r["_cell"]: r["n"] for r in homed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    schema = T.StructType([q.schema["_q"], q.schema["_v"], T.StructField("_ub", T.LongType())])
+    schema = T.StructType([q.schema["_q"], q.schema["_v"], q.schema["_g"], T.StructField("_ub", T.LongType())])
 
     def bound(left: pa.Table, right: pa.Table) -> pa.Table:
         ub = np.full(left.num_rows, far)
@@ -239,29 +289,34 @@ def _bounded(
             worst = np.zeros(left.num_rows, dtype="int64")
             np.maximum.at(worst, rows, keys)
             ub = np.where(seen >= k, worst, far)
-        return pa.table([left["_q"], left["_v"], pa.array(ub, pa.int64())], names=["_q", "_v", "_ub"])
+        return pa.table([left["_q"], left["_v"], left["_g"], pa.array(ub, pa.int64())], names=["_q", "_v", "_g", "_ub"])
 
     narrow = placed.select("_b", "_v", "_cell", "_block")
     looked = _split_pairs(homed, narrow, blocks, per_cell, query_rows).applyInArrow(bound, schema)
 
     @F.arrow_udf("array<int>")
-    def cells_to_visit(v: pa.Array, ub: pa.Array) -> pa.Array:
+    def cells_to_visit(v: pa.Array, ub: pa.Array, groups: pa.Array) -> pa.Array:
+        of = groups.to_numpy()
         d = np.sqrt(_squared(_matrix(v, dim, metric, 1), pivots))
         limit = ub.to_numpy()
         reach = np.where(limit == far, np.inf, _radius(limit + 1.0, metric)) + _SLACK
         out = []
-        for row, r in zip(d, reach):
-            near = np.where(filled, row, np.inf).argmin()
+        for row, r, group in zip(d, reach, of):
+            if lone[group] >= 0:
+                out.append(lone[group : group + 1])
+                continue
+            mine = filled & (owner == group)
+            near = np.where(mine, row, np.inf).argmin()
             # A base row lies no farther from its pivot than the cell radius, and
             # on its pivot's side of the plane halfway to any other pivot.
             low = row - radius
             gap = between[near]
             with np.errstate(divide="ignore", invalid="ignore"):
                 plane = np.where(gap > 0, (row**2 - row[near] ** 2) / (2 * gap), -np.inf)
-            out.append(np.nonzero(filled & (np.maximum(low, plane) <= r))[0].astype("int32"))
+            out.append(np.nonzero(mine & (np.maximum(low, plane) <= r))[0].astype("int32"))
         return pa.array(out, pa.list_(pa.int32()))
 
-    return looked.withColumn("_cells", cells_to_visit("_v", "_ub"))
+    return looked.withColumn("_cells", cells_to_visit("_v", "_ub", "_g"))
 
 
 def vote(
@@ -335,45 +390,36 @@ def smote(
         raise ValueError(f"ids of more than one row: {[r[id_col] for r in twice]}")
     sizes = group_sizes(df, label)
     target = max(sizes.values(), default=0)
-    short = {c: target - n for c, n in sizes.items() if n < target}
-    alone = [c for c in short if sizes[c] < 2]
+    short = {c: n for c, n in sizes.items() if n < target}
+    alone = [c for c, n in short.items() if n < 2]
     if alone:
         raise ValueError(f"classes with a single row cannot be interpolated: {alone}")
     rows = df.select(id_col, label, vector)
-    parts = [
-        nearest(
-            rows.where(F.col(label) == c).withColumnRenamed(id_col, "query_id"),
-            rows.where(F.col(label) == c).withColumnRenamed(id_col, "base_id"),
-            min(k, sizes[c] - 1), dim, vector=vector, metric=metric, exclude_self=True,
-            n_base=sizes[c], n_queries=sizes[c], **options,
-        )
-        for c in short
-    ]
-    if not parts:
+    if not short:
         none = rows.where(F.lit(False))
         return none.select(
             id_col, F.lit(0).cast("bigint").alias("copy"), F.col(id_col).alias("neighbour"), F.lit(0.0).alias("u"), label, vector
         )
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
+    # One row for each short class: its number, how often each member is copied, how many neighbours it has.
+    kind = df.schema[label].dataType.simpleString()
+    classes = df.sparkSession.createDataFrame(
+        [(c, i, (target - n) // n, min(k, n - 1)) for i, (c, n) in enumerate(short.items())],
+        f"`{label}` {kind}, _class int, _each bigint, _k int",
+    )
+    minority = rows.join(classes.select(label, "_class"), label)
+    found = nearest(
+        minority.withColumnRenamed(id_col, "query_id"), minority.withColumnRenamed(id_col, "base_id"),
+        k, dim, vector=vector, metric=metric, exclude_self=True, group="_class", **options,
+    )
 
-    minority = rows.where(F.col(label).isin(*short)).select(id_col, label)
     more = F.array((F.lit(target) - F.col("n")) % F.col("n"))
-    cut = cut_by_hash(minority, label, id_col, lambda s: s.select(label, more.alias("cuts")), "_seg")
-    each = F.lit(None).cast("bigint")
-    for c, lack in short.items():
-        each = F.when(F.col(label) == c, F.lit(lack // sizes[c])).otherwise(each)
-    copies = each + F.when(F.col("_seg") == 0, 1).otherwise(0)
-    spread = any(short[c] // sizes[c] > 100_000 for c in short)
-    drawn = numbered(cut, copies, "copy", spread=spread)
+    cut = cut_by_hash(minority.select(id_col, label), label, id_col, lambda s: s.select(label, more.alias("cuts")), "_seg")
+    copies = F.col("_each") + F.when(F.col("_seg") == 0, 1).otherwise(0)
+    spread = any((target - n) // n > 100_000 for n in short.values())
+    drawn = numbered(cut.join(classes, label), copies, "copy", spread=spread)
     text = F.concat_ws(":", F.col(id_col).cast("string"), F.col("copy").cast("string"))
-    choices = {c: min(k, sizes[c] - 1) for c in short}
-    k_of = F.lit(None).cast("int")
-    for c, n in choices.items():
-        k_of = F.when(F.col(label) == c, F.lit(n)).otherwise(k_of)
     drawn = drawn.select(
-        id_col, label, "copy", (_hash_int(text, 1) % k_of + 1).cast("int").alias("rank"),
+        id_col, label, "copy", (_hash_int(text, 1) % F.col("_k") + 1).cast("int").alias("rank"),
         ((_hash_int(text, 9) % 1_000_000) / F.lit(1e6)).alias("u"),
     )
     pairs = drawn.join(

@@ -96,3 +96,31 @@ def test_balanced_weights_and_stored_options(spark, tmp_path):
     assert (again.k, again.metric, again.weights) == (3, "euclidean", "uniform")
     assert again.vectoriser.getOrDefault("stopWords") == ["app"] and again.vectoriser.getOrDefault("ngramRange") == [1, 1]
     assert again.predict(df).where("prediction <> label").count() == 0
+
+
+@pytest.mark.parametrize("metric,options", [
+    ("euclidean", dict(cell_rows=8, block_rows=4, query_rows=5)), ("cosine", dict(cell_rows=8, block_rows=4, query_rows=5)),
+    ("euclidean", dict(cell_rows=16, max_cells=6)), ("euclidean", {}),
+])
+def test_neighbours_within_groups(spark, metric, options):
+    """Groups with many cells, groups with one, a group of one row; queries of a group without base rows get none."""
+    rng = random.Random(11)
+    sizes = {0: 90, 1: 1, 2: 5, 3: 40, 5: 30}
+    rows = [(g * 1000 + i, g, [rng.gauss(g, 1) for _ in range(3)]) for g, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "id int, g int, v array<double>").repartition(4)
+    base = df.where("g <> 5 or id % 1000 < 20").withColumnRenamed("id", "b")
+    asked = df.unionByName(spark.createDataFrame([(9000, 4, [0.0, 0.0, 1.0]), (9001, 9, [1.0, 0.0, 1.0])], df.schema))
+    found = neighbours.nearest(
+        asked.withColumnRenamed("id", "q"), base, 4, 3, "q", "b", "v", metric=metric, exclude_self=True, group="g", **options
+    ).collect()
+
+    def apart(x, y):
+        if metric == "euclidean":
+            return sum((s - t) ** 2 for s, t in zip(x, y, strict=True))
+        return 1 - sum(s * t for s, t in zip(x, y, strict=True)) / math.sqrt(sum(s * s for s in x) * sum(t * t for t in y))
+
+    for q, g, x in rows:
+        want = sorted((apart(x, y), b) for b, h, y in rows if h == g and b != q and (h != 5 or b % 1000 < 20))[:4]
+        mine = sorted((r for r in found if r["q"] == q), key=lambda r: r["rank"])
+        assert [r["b"] for r in mine] == [b for _, b in want]
+    assert not [r for r in found if r["q"] >= 9000]
