@@ -530,3 +530,28 @@ def test_hot_class_is_cut_exactly(spark):
     assert got == {
         (0, "train"): 20790, (0, "dev"): 4455, (0, "test"): 4455, (1, "train"): 210, (1, "dev"): 45, (1, "test"): 45
     }
+
+
+def test_commits_do_not_read_the_rows_again(spark, tmp_path):
+    """Examples and open requests are found once for a round, and prompts are made behind the shuffle."""
+    log = tmp_path / "read"
+
+    @F.udf("string")
+    def seen(text):
+        with open(log, "a") as f:
+            f.write("x\n")
+        return text
+
+    df = spark.createDataFrame([(str(k), f"text {k}", int(k == 0)) for k in range(12)], "reviewId string, content string, label int")
+    df = df.withColumn("content", seen.asNondeterministic()("content"))
+    full = augment(df, "label", "content", write_reviews, TOPIC_PROMPT, batch=1, commit_every=1)
+    # A dozen rows a scan; one scan for each of the ten commits would need over 120.
+    assert len(log.read_text().splitlines()) <= 60
+    assert dict(full.groupBy("label").count().collect()) == {0: 11, 1: 11}
+    sent = []
+    shown = spark.createDataFrame([(0, "x"), (1, "y")], "label int, exemplars string")
+    requests = spark.createDataFrame([(0, 0, 1), (1, 0, 2)], "label int, request_no long, n_wanted int")
+    render = lambda d: sent.append(d.columns) or balance.with_prompts(d, shown, "label", TOPIC_PROMPT)
+    asked = ask(requests, lambda b: [p[:5] for p in b], key=["label", "request_no"], render=render)
+    assert sent == [["label", "request_no", "n_wanted"]]
+    assert sorted(asked.collect()) == [(0, 0, 1, "Topic", None), (1, 0, 2, "Topic", None)]
