@@ -31,6 +31,7 @@ CONTEXT = 4
 DIMENSIONS = 32
 NOISE = 64
 BATCH = 1024
+_CHUNK = 512
 _END_TOKEN = b"\n"
 _SHAPES = [(CONTEXT, CLASSES, DIMENSIONS), (CLASSES, DIMENSIONS), (CLASSES,)]
 
@@ -134,9 +135,9 @@ class Model:
         return model
 
     def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        q = self.context[0][contexts[:, 0]]
+        q = self.context[0].take(contexts[:, 0], axis=0)
         for k in range(1, CONTEXT):
-            q = q + self.context[k][contexts[:, k]]
+            q += self.context[k].take(contexts[:, k], axis=0)
         return q
 
     def log_probabilities(self, contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -144,8 +145,8 @@ class Model:
         longest = lambda m: float(np.sqrt((m * m).sum(axis=-1)).max())
         small = CONTEXT * longest(self.context) * longest(self.target) + float(np.abs(self.bias).max()) < 80
         out = np.empty(len(classes))
-        for at in range(0, len(classes), 2048):
-            part = slice(at, at + 2048)
+        for at in range(0, len(classes), _CHUNK):
+            part = slice(at, at + _CHUNK)
             logits = self.predicted(contexts[part]) @ self.target.T
             logits += self.bias
             if not small:  # else no exponential overflows
@@ -161,58 +162,65 @@ def noise_shares(counts: Counts) -> np.ndarray:
     return n / n.sum()
 
 
+def _add_rows(into: np.ndarray, classes: np.ndarray, rows: np.ndarray) -> None:
+    """Add each row to that of its class; rows of a class are summed side by side."""
+    order = np.argsort(classes.astype(np.int16), kind="stable")
+    sorted_ = classes[order]
+    first = np.flatnonzero(np.diff(sorted_, prepend=-1))
+    into[sorted_[first]] += np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+
+
 def train_batch(model: Model, memory: np.ndarray, contexts: np.ndarray, classes: np.ndarray, noise: np.ndarray, rng, rate: float) -> None:
     """One step of noise-contrastive estimation; the batch shares its noise classes."""
     drawn = rng.choice(CLASSES, NOISE, p=noise)
     offset = np.log(NOISE * noise).astype(np.float32)
     q = model.predicted(contexts)
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-    own = model.target[classes]
+    own = model.target.take(classes, axis=0)
     d_own = sigmoid((q * own).sum(axis=1) + model.bias[classes] - offset[classes]) - 1
     d_noise = sigmoid(q @ model.target[drawn].T + model.bias[drawn] - offset[drawn])
     n = len(classes)
     d_own, d_noise = (d_own / n).astype(np.float32), (d_noise / n).astype(np.float32)
     d_q = d_own[:, None] * own + d_noise @ model.target[drawn]
     slope = Model(np.zeros_like(model.flat))
-    pick = np.zeros((n, CLASSES), np.float32)
-    rows = np.arange(n)
     for k in range(CONTEXT):
-        pick[rows, contexts[:, k]] = 1
-        slope.context[k] = pick.T @ d_q
-        pick[rows, contexts[:, k]] = 0
-    pick[rows, classes] = d_own
-    slope.target[:] = pick.T @ q
-    slope.bias[:] = pick.sum(axis=0)
-    np.add.at(slope.target, drawn, d_noise.T @ q)
-    np.add.at(slope.bias, drawn, d_noise.sum(axis=0))
+        _add_rows(slope.context[k], contexts[:, k], d_q)
+    _add_rows(slope.target, classes, d_own[:, None] * q)
+    _add_rows(slope.target, drawn, d_noise.T @ q)
+    slope.bias[:] = np.bincount(classes, weights=d_own, minlength=CLASSES)
+    slope.bias += np.bincount(drawn, weights=d_noise.sum(axis=0), minlength=CLASSES)
     memory += slope.flat**2
     model.flat -= rate * slope.flat / (np.sqrt(memory) + 1e-8)
 
 
-class _ClassOf(dict):
-    """Token to class; tokens that are not singled out have a shared one."""
+class _NumberOf(dict):
+    """Known token to its number; -1 for others."""
 
     def __missing__(self, token: bytes) -> int:
-        return shared_class(token)
+        return -1
 
 
 class _Reader:
     """Turns texts into known-token numbers and classes within a task."""
 
     def __init__(self, counts: Counts):
-        self.number = {t: k for k, t in enumerate(counts.known)}
-        self.class_of = _ClassOf(zip(counts.known, counts.classes().tolist(), strict=True))
+        self.number = _NumberOf((t, k) for k, t in enumerate(counts.known))
+        self.of_number = counts.classes().astype(np.int64)
 
     def classes(self, text: bytes) -> np.ndarray:
         """Class of each token and of the end."""
-        of = self.class_of
-        return np.array([*[of[t] for t in tokens_of(text)], END], np.int64)
+        return self.read(text)[2]
 
     def read(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """(tokens, number of each or -1, class of each and the end)."""
         tokens = tokens_of(text)
-        get, of = self.number.get, self.class_of
-        return tokens, np.array([get(t, -1) for t in tokens], np.int64), np.array([*[of[t] for t in tokens], END], np.int64)
+        number = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
+        classes = np.full(len(tokens) + 1, END, np.int64)
+        known = number >= 0
+        classes[:-1][known] = self.of_number[number[known]]
+        rare = np.flatnonzero(~known)
+        classes[rare] = [shared_class(tokens[k]) for k in rare.tolist()]
+        return tokens, number, classes
 
 
 def contexts_of(classes: list[np.ndarray], taken: np.ndarray | None = None) -> np.ndarray:
@@ -252,13 +260,15 @@ def _averaged(blobs: DataFrame) -> np.ndarray | None:
     return (sum(w * f for w, f in found) / weight).astype(np.float32) if found else None
 
 
-def fit(texts: DataFrame, counts: Counts, rounds: int = 2, share: float = 0.25, rate: float = 0.15, seed: int = 5) -> Model:
+def fit(texts: DataFrame, counts: Counts, rounds: int = 2, share: float = 1.0, rate: float = 0.15, seed: int = 5) -> Model:
     """Train on texts (one column): each task in `rounds` passes, averaged after each.
 
-    A pass learns from a random `share` of all positions of all texts, whatever
-    the size of the corpus.
+    The hash of a text tells which pass reads it, so that all passes together learn once
+    from every position of every text, however large the corpus. A caller may have them
+    learn from a random `share` of the positions only.
     """
     spark = texts.sparkSession
+    column = F.col(texts.columns[0]).cast("string")
     # Plain arrays: a class would be looked up by name in tasks that may not have the package.
     sent = spark.sparkContext.broadcast(vars(counts))
     noise = noise_shares(counts)
@@ -276,7 +286,7 @@ def fit(texts: DataFrame, counts: Counts, rounds: int = 2, share: float = 0.25,
             for batch in slices(batches, 256):
                 read = [reader.classes(t) for t in utf8(batch.column(0))]
                 classes = np.concatenate(read) if read else np.zeros(0, np.int64)
-                taken = np.flatnonzero(rng.random(len(classes)) < share)
+                taken = np.arange(len(classes)) if share >= 1 else np.flatnonzero(rng.random(len(classes)) < share)
                 rng.shuffle(taken)
                 left.append((contexts_of(read, taken), classes[taken]))
                 if sum(len(c) for _, c in left) < BATCH:
@@ -294,10 +304,10 @@ def fit(texts: DataFrame, counts: Counts, rounds: int = 2, share: float = 0.25,
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([mine.flat.tobytes()], pa.binary())], ["weight", "flat"])
 
-        mean = _averaged(saved(texts.mapInArrow(run, "weight double, flat binary"), "lm-round"))
-        if mean is None:
-            break
-        model = Model(mean)
+        mine = texts.where(F.pmod(F.coalesce(F.crc32(column), F.lit(0)), F.lit(rounds)) == number)
+        mean = _averaged(saved(mine.mapInArrow(run, "weight double, flat binary"), "lm-round"))
+        if mean is not None:
+            model = Model(mean)
     return model
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 import zlib
 from collections import Counter
 
@@ -68,3 +69,28 @@ def test_edge_cases(spark):
     none = L.language_scores(docs, L.F.lit(True)).collect()
     assert all(r.train_tokens == 0 and r.base_score == 0 and math.isfinite(r.score) for r in none)
     assert L.language_scores(docs.limit(0), L.F.lit(False)).count() == 0
+
+
+def test_passes_learn_once_from_every_position(spark, monkeypatch, tmp_path):
+    """No position is left out and none is learnt twice, whatever pass reads its text."""
+    docs = spark.createDataFrame([(f"w{k % 7} " * (k % 5) + f"own{k}",) for k in range(300)], "text string")
+    counts = L.gathered(L.token_counts(docs), 1000)
+    real = L.train_batch
+
+    def noted(model, memory, contexts, classes, *rest):
+        (tmp_path / str(uuid.uuid4())).write_text(" ".join(map(str, classes.tolist())))
+        return real(model, memory, contexts, classes, *rest)
+
+    monkeypatch.setattr(L, "train_batch", noted)
+    L.fit(docs, counts)
+    learnt = Counter(int(c) for p in tmp_path.iterdir() for c in p.read_text().split())
+    assert learnt == Counter({k: int(n) for k, n in enumerate(counts.class_tokens) if n})
+
+
+def test_rows_are_added_by_class():
+    rng = np.random.default_rng(3)
+    classes, rows = rng.integers(0, 9, 500), rng.normal(size=(500, 4))
+    got, want = np.zeros((9, 4)), np.zeros((9, 4))
+    L._add_rows(got, classes, rows)
+    np.add.at(want, classes, rows)
+    assert np.allclose(got, want)
