@@ -191,3 +191,14 @@ def test_sweep_as_one_model_at_a_time(spark, chunk, monkeypatch):
         want = plain_cv([d for x, d in docs if x == a], ts, 9)
         assert [got[a, k, t] for t in range(len(ts))] == pytest.approx(want)
     assert coherence.coherence_sweep(df, listed.where("k > 5"), KEYS, ["k"]).count() == 0
+
+
+def test_lda_numbers_its_words_once(spark):
+    """Passes move numbers instead of words, blocks are filled segment by segment, and a segment may lack a name."""
+    df = corpus(spark, 60)
+    models = fit_topics(df.withColumn("app", F.when(F.col("app") == "A", "A")), "tokens", "id", KEYS, ks=[2], passes=2, block_rows=10)
+    named = fit_topics(df, "tokens", "id", KEYS, ks=[2], passes=0)
+    assert "words" not in models.bags.columns and models.needed.columns == ["_block", "_id"]
+    sizes = [r["n"] for r in df.groupBy(*KEYS).agg(F.count("*").alias("n")).collect()]
+    assert models.bags.select("_block").distinct().count() <= sum(-(-n // 10) for n in sizes)
+    assert models.words.count() == named.words.count() and models.probabilities(2).count() == 60
