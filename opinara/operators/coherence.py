@@ -22,6 +22,7 @@ from opinara.session import saved
 
 EPSILON = 1e-12
 _WINDOWS = 4096
+_ROWS = 1024
 
 
 class _Words:
@@ -110,7 +111,8 @@ def _counts(df: DataFrame, topics: DataFrame, keys: Sequence[str], models: Seque
         together = [np.zeros((len(s.words), len(s.words))) for s in segments]
         totals = [np.zeros(len(s.models)) for s in segments]
         for batch in batches:
-            _count(batch, segments, together, totals, window)
+            for at in range(0, batch.num_rows, _ROWS):
+                _count(batch.slice(at, _ROWS), segments, together, totals, window)
         seg, a, b, n = [], [], [], []
         for i, s in enumerate(segments):
             pairs = together[i][s.pairs[:, 0], s.pairs[:, 1]]

@@ -202,3 +202,13 @@ def test_lda_numbers_its_words_once(spark):
     sizes = [r["n"] for r in df.groupBy(*KEYS).agg(F.count("*").alias("n")).collect()]
     assert models.bags.select("_block").distinct().count() <= sum(-(-n // 10) for n in sizes)
     assert models.words.count() == named.words.count() and models.probabilities(2).count() == 60
+
+
+def test_coherence_counts_in_pieces(spark, monkeypatch):
+    """Counts do not depend on how many rows are counted at once."""
+    from opinara.operators import coherence
+
+    df = spark.createDataFrame([(["a", "b", "c"][: k % 4] + ["x"] * (k % 9),) for k in range(50)], "tokens array<string>").coalesce(1)
+    whole = [sorted(part.collect()) for part in coherence.window_counts(df, [["a", "b", "x"]], window=4)]
+    monkeypatch.setattr(coherence, "_ROWS", 7)
+    assert [sorted(part.collect()) for part in coherence.window_counts(df, [["a", "b", "x"]], window=4)] == whole
