@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,3 +125,21 @@ def test_neighbours_within_groups(spark, metric, options):
         mine = sorted((r for r in found if r["q"] == q), key=lambda r: r["rank"])
         assert [r["b"] for r in mine] == [b for _, b in want]
     assert not [r for r in found if r["q"] >= 9000]
+
+
+def test_lots_name_the_same_ngrams(spark, monkeypatch):
+    """Tasks give up what they hold after each lot, and no frequent pair is lost by that."""
+    from opinara.operators import ngrams
+
+    rows = [([k % 3, (k * 7) % 5, k % 3, k % 2],) for k in range(400)]
+    df = spark.createDataFrame(rows, "codes array<int>").coalesce(1)
+    monkeypatch.setattr(ngrams, "_PIECE_ROWS", 16)
+    merged = ngrams._merged
+    sizes = []
+    monkeypatch.setattr(ngrams, "_merged", lambda found, counts: sizes.append(len(found)) or merged(found, counts))
+    monkeypatch.setattr(ngrams, "_LOT_TOKENS", 128)
+    pairs = Counter((a, b) for r, in rows for a, b in zip(r, r[1:]))
+    least = sorted(pairs.values())[len(pairs) // 2]
+    named = ngrams._named(df, 2, 5, None, least / 1600, least)
+    assert {a * 5 + b for (a, b), n in pairs.items() if n >= least} <= set(named.tolist())
+    assert len(list(ngrams._pieces(df.toArrow().to_batches()))) == 25
