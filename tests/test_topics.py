@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.operators import centroids, coherence, topics
+from opinara.operators import centroids, coherence, lda, topics
 from opinara.operators.centroids import fit_clusters
 from opinara.operators.lda import digamma, fit_topics
 
@@ -241,3 +241,19 @@ def test_lloyd_reads_only_segments_that_move(spark):
         want = [mine[near == j].mean(axis=0) if (near == j).any() else c[j] for j in range(len(c))]
         assert fresh[key] == pytest.approx(np.array(want))
         assert cost[key] == pytest.approx(d.min(axis=1).sum())
+
+
+def test_topic_blocks_grow_with_the_input(spark):
+    """Blocks that stay at 1,024 rows repeat the vocabulary of a large input once for each of them."""
+    assert [lda._block_rows(n) for n in (0, 5_000, 320_000, 10_000_000)] == [1024, 1024, 10_000, 16_384]
+
+
+def test_topic_blocks_of_any_size_agree(spark, monkeypatch):
+    df = corpus(spark)
+    monkeypatch.setattr(lda, "_LEAST_ROWS", 7)
+    models = [fit_topics(df, "tokens", "id", KEYS, [2, 3], passes=3, block_rows=n) for n in (8, 1000)]
+    tops = [{(r["app"], r["k"], r["topic"], r["word"]): r["weight"] for r in m.top_words(99).collect()} for m in models]
+    assert tops[0] == pytest.approx(tops[1])
+    probs = [{r["id"]: list(r["probs"]) for r in m.probabilities(3).collect()} for m in models]
+    assert probs[0].keys() == probs[1].keys()
+    assert all(probs[0][i] == pytest.approx(probs[1][i]) for i in probs[0])
