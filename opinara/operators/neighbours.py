@@ -25,12 +25,19 @@ from opinara.session import saved
 _NANO = 1e9
 _SLACK = 1e-6
 _PIVOT_CELLS = 4_000_000
+_PIECE_ROWS = 512
 
 
 def _one(column) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
+def _in_pieces(of: Callable[..., pa.Array], kind: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """What `of` gives for the columns, taken some rows at a time: it holds a number for each row and pivot."""
+    at = range(0, len(columns[0]), _PIECE_ROWS)
+    return pa.concat_arrays([pa.array([], kind), *[of(*[c.slice(i, _PIECE_ROWS) for c in columns]).cast(kind) for i in at]])
+
+
 def _matrix(column, dim: int, metric: str, side: int) -> np.ndarray:
     """Rows as float64. For 'cosine' on the unit sphere, with two spare axes.
 
@@ -193,8 +200,7 @@ def nearest(
         placed = b.withColumn("_cell", lone_of)
     else:
 
-        @F.arrow_udf("cell int, d double")
-        def place(v: pa.Array, groups: pa.Array) -> pa.Array:
+        def placing(v: pa.Array, groups: pa.Array) -> pa.Array:
             of = groups.to_numpy()
             d = np.where(owner[None, :] == of[:, None], _squared(_matrix(v, dim, metric, 0), pivots), np.inf)
             cell = d.argmin(axis=1)
@@ -203,6 +209,10 @@ def nearest(
                 [pa.array(np.where(lone[of] < 0, cell, lone[of]).astype("int32")), pa.array(apart)], names=["cell", "d"]
             )
 
+        @F.arrow_udf("cell int, d double")
+        def place(v: pa.Array, groups: pa.Array) -> pa.Array:
+            return _in_pieces(placing, pa.struct([("cell", pa.int32()), ("d", pa.float64())]), v, groups)
+
         placed = saved(b.withColumn("_p", place("_v", "_g")).select("*", "_p.cell", "_p.d").drop("_p"), "cells")
         summary = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("r")).collect()
         for row in summary:
@@ -267,13 +277,16 @@ def _bounded(
     between = np.sqrt(_squared(pivots, pivots))
     far = np.iinfo("int64").max
 
-    @F.arrow_udf("int")
-    def home_cell(v: pa.Array, groups: pa.Array) -> pa.Array:
+    def homing(v: pa.Array, groups: pa.Array) -> pa.Array:
         of = groups.to_numpy()
         mine = filled[None, :] & (owner[None, :] == of[:, None])
         d = np.where(mine, _squared(_matrix(v, dim, metric, 1), pivots), np.inf)
         return pa.array(np.where(lone[of] < 0, d.argmin(axis=1), lone[of]).astype("int32"))
 
+    @F.arrow_udf("int")
+    def home_cell(v: pa.Array, groups: pa.Array) -> pa.Array:
+        return _in_pieces(homing, pa.int32(), v, groups)
+
     blocks_of = F.lit(np.array(blocks, dtype="int32"))
     homed = q.withColumn("_cell", home_cell("_v", "_g"))
     homed = homed.withColumn("_block", F.pmod(F.xxhash64("_q"), F.get(blocks_of, F.col("_cell"))).cast("int"))
@@ -294,8 +307,7 @@ def _bounded(
     narrow = placed.select("_b", "_v", "_cell", "_block")
     looked = _split_pairs(homed, narrow, blocks, per_cell, query_rows).applyInArrow(bound, schema)
 
-    @F.arrow_udf("array<int>")
-    def cells_to_visit(v: pa.Array, ub: pa.Array, groups: pa.Array) -> pa.Array:
+    def reached(v: pa.Array, ub: pa.Array, groups: pa.Array) -> pa.Array:
         of = groups.to_numpy()
         d = np.sqrt(_squared(_matrix(v, dim, metric, 1), pivots))
         limit = ub.to_numpy()
@@ -316,6 +328,10 @@ def _bounded(
             out.append(np.nonzero(mine & (np.maximum(low, plane) <= r))[0].astype("int32"))
         return pa.array(out, pa.list_(pa.int32()))
 
+    @F.arrow_udf("array<int>")
+    def cells_to_visit(v: pa.Array, ub: pa.Array, groups: pa.Array) -> pa.Array:
+        return _in_pieces(reached, pa.list_(pa.int32()), v, ub, groups)
+
     return looked.withColumn("_cells", cells_to_visit("_v", "_ub", "_g"))
 
 

@@ -8,6 +8,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -555,3 +556,17 @@ def test_commits_do_not_read_the_rows_again(spark, tmp_path):
     asked = ask(requests, lambda b: [p[:5] for p in b], key=["label", "request_no"], render=render)
     assert sent == [["label", "request_no", "n_wanted"]]
     assert sorted(asked.collect()) == [(0, 0, 1, "Topic", None), (1, 0, 2, "Topic", None)]
+
+
+def test_rows_meet_the_pivots_in_pieces():
+    """A number for each row and pivot is held for some rows at a time, not for a whole batch."""
+    seen = []
+
+    def first(v, groups):
+        seen.append(len(v))
+        return pa.array([x["indices"][0] + g for x, g in zip(v.to_pylist(), groups.to_pylist())], pa.int32())
+
+    v = pa.array([{"indices": [i, i + 1]} for i in range(1200)], pa.struct([("indices", pa.list_(pa.int32()))]))
+    found = neighbours._in_pieces(first, pa.int32(), v, pa.array([5] * 1200))
+    assert found.to_pylist() == [i + 5 for i in range(1200)] and seen == [512, 512, 176]
+    assert len(neighbours._in_pieces(first, pa.int32(), v.slice(0, 0), pa.array([], pa.int64()))) == 0
