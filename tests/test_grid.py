@@ -4,10 +4,11 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.operators import features, neighbours
+from opinara.operators import features, neighbours, ngrams
 from opinara.operators.features import TermSetting
 from opinara.operators.text_neighbours import nearest_texts
 from opinara.plans import classification as cl
@@ -143,3 +144,17 @@ def test_lots_name_the_same_ngrams(spark, monkeypatch):
     named = ngrams._named(df, 2, 5, None, least / 1600, least)
     assert {a * 5 + b for (a, b), n in pairs.items() if n >= least} <= set(named.tolist())
     assert len(list(ngrams._pieces(df.toArrow().to_batches()))) == 25
+
+
+def test_texts_are_weighed_in_pieces():
+    """A batch of any size is worked on in parts, whose arrays over all n-grams are what a task holds."""
+    seen = []
+
+    def sizes(lists):
+        seen.append(len(lists))
+        return pa.array([len(x) for x in lists.to_pylist()], pa.int32())
+
+    lists = pa.array([["w"] * (i % 4) for i in range(2500)], pa.list_(pa.string()))
+    assert ngrams._in_pieces(lists, sizes).to_pylist() == [i % 4 for i in range(2500)]
+    assert seen == [1024, 1024, 452]
+    assert len(ngrams._in_pieces(lists.slice(0, 0), sizes)) == 0
