@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -30,40 +33,67 @@ def numbered_rows(df: DataFrame) -> DataFrame:
     return saved(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
 
+_NEGATES, _NEGATED, _CONTENT = 1, 2, 4
+# Texts that look their words up together.
+_BLOCK_ROWS = 4096
+
+
+def _marked(lexicon: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    """(tok, lemma, tag, marks): what the merge needs to know of a token, worked out once for each lexicon row."""
+    token, lemma, pos = F.col("token"), F.col("lemma"), F.col("pos")
+    content = ~token.isin(*stop_words) & token.rlike(r"^\p{L}+$") & (F.length(lemma) > 1) & pos.isin(*CONTENT_POS)
+    rules = ((lemma.isin(*NEGATIONS), _NEGATES), (pos.isin(*NEGATED_POS), _NEGATED), (content, _CONTENT))
+    marks = sum((F.when(rule, mark).otherwise(0) for rule, mark in rules), F.lit(0))
+    return lexicon.select(token.alias("tok"), "lemma", pos.alias("tag"), marks.alias("marks"))
+
+
+def _merged_lemmas(rows: pa.Table, known: pa.Table) -> pa.Table:
+    """(_row, lemmas) of a block of token lists, from the lexicon rows of its words."""
+    order = [(c, "ascending") for c in ("tok", "lemma", "tag")]
+    known = known.take(pc.sort_indices(known, sort_keys=order, null_placement="at_start"))
+    lists = rows["tokens"].combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    words = known["tok"].combine_chunks().dictionary_encode()
+    counts = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+    code = pc.index_in(lists.flatten(), value_set=words.dictionary)
+    place = np.flatnonzero(pc.is_valid(code).to_numpy(zero_copy_only=False))
+    code = pc.drop_null(code).to_numpy()
+    # A token takes the place of as many entries as the lexicon has rows for it: one, as a rule.
+    many = counts[code]
+    place, first = np.repeat(place, many), np.repeat((np.cumsum(counts) - counts)[code], many)
+    entry = first + np.arange(len(first)) - np.repeat(np.cumsum(many) - many, many)
+    row = np.repeat(np.arange(len(sizes)), sizes)[place]
+    marks = known["marks"].to_numpy()[entry]
+    # Words that the lexicon does not list leave a gap between places.
+    beside = (row[1:] == row[:-1]) & (place[1:] - place[:-1] <= 1)
+    merges = beside & (marks[:-1] & _NEGATES > 0) & (marks[1:] & _NEGATED > 0)
+    swallowed, prefixed = (np.concatenate(x)[: len(row)] for x in (([False], merges), (merges, [False])))
+    prefixed = prefixed & ~swallowed
+    kept = np.flatnonzero(~swallowed & (prefixed | (marks & _CONTENT > 0)))
+    joined = prefixed[kept]
+    lemma = known["lemma"].combine_chunks().take(pa.array(entry[np.minimum(kept + joined, max(len(entry) - 1, 0))]))
+    lemma = pc.if_else(pa.array(joined), pc.binary_join_element_wise("not_", lemma, ""), lemma)
+    held = pc.is_valid(lemma).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row[kept][held], minlength=len(sizes)))])
+    return pa.table({"_row": rows["_row"], "lemmas": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lemma.filter(pa.array(held)))})
+
+
 def lemmatise(
     df: DataFrame, lexicon: DataFrame, stop_words: Sequence[str], tokens: str = "tokens"
 ) -> DataFrame:
     """Content lemmas per review, with 'not_<lemma>' for a negated ADJ or VERB.
 
-    lexicon(token, lemma, pos), one row per token, is looked up once for each token. The
-    only shuffle of tokens regroups them by row, with their tags; the list is then in
-    order, so neighbours are the same list shifted by one. Rows have a number of their own:
-    ids may repeat. Reviews without a lemma keep an empty list.
+    lexicon(token, lemma, pos), one row per token, is joined with the different words of each
+    block of reviews, never with all tokens; a block then looks its words up in place. Rows
+    have a number of their own: ids may repeat. Reviews without a lemma keep an empty list.
     """
     rows = numbered_rows(df)
-    lex = lexicon.select(F.col("token").alias("tok"), "lemma", F.col("pos").alias("tag"))
-    flat = rows.select("_row", F.posexplode(tokens).alias("pos", "tok"))
-    tagged = flat.join(lex, "tok", "left").groupBy("_row").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "tok", "lemma", "tag"))).alias("_w")
-    )
-    w = F.col("_w")
-    merges = lambda x, y: x["lemma"].isin(*NEGATIONS) & y["tag"].isin(*NEGATED_POS)
-
-    def content(x: Column) -> Column:
-        return (
-            ~x["tok"].isin(*stop_words) & x["tok"].rlike(r"^\p{L}+$") & (F.length(x["lemma"]) > 1) & x["tag"].isin(*CONTENT_POS)
-        )
-
-    def lemma(x: Column, i: Column) -> Column:
-        before, after = F.get(w, i - 1), F.get(w, i + 1)
-        return (
-            F.when(F.coalesce(merges(before, x), F.lit(False)), None)
-            .when(F.coalesce(merges(x, after), F.lit(False)), F.concat(F.lit("not_"), after["lemma"]))
-            .when(F.coalesce(content(x), F.lit(False)), x["lemma"])
-        )
-
-    lists = tagged.select("_row", F.filter(F.transform(w, lemma), lambda x: x.isNotNull()).alias("lemmas"))
-    out = rows.join(lists, "_row", "left").drop("_row")
+    block = F.floor(F.col("_row") / _BLOCK_ROWS).alias("_block")
+    words = rows.select(block, F.explode(tokens).alias("tok")).distinct()
+    known = words.join(_marked(lexicon, stop_words), "tok")
+    lists = rows.select(block, "_row", F.col(tokens).alias("tokens")).groupBy("_block").cogroup(known.groupBy("_block"))
+    found = lists.applyInArrow(_merged_lemmas, "_row bigint, lemmas array<string>")
+    out = rows.join(found, "_row", "left").drop("_row")
     return out.withColumn("lemmas", F.coalesce("lemmas", F.array().cast("array<string>")))
 
 
