@@ -19,15 +19,6 @@ NEGATED_POS = ("ADJ", "VERB")
 CONTENT_POS = ("NOUN", "ADJ", "VERB", "PROPN")
 
 
-def shift(tokens: Column, by: int) -> Column:
-    """The list moved by one place, padded with null: +1 next, -1 previous token."""
-    none = F.array(F.lit(None).cast("string"))
-    n = F.size(tokens)
-    if by > 0:
-        return F.concat(F.slice(tokens, F.lit(2), F.greatest(n - 1, F.lit(0))), none)
-    return F.concat(none, F.slice(tokens, F.lit(1), F.greatest(n - 1, F.lit(0))))
-
-
 def numbered_rows(df: DataFrame) -> DataFrame:
     """df with `_row`, a number of each row that stays the same when it is read again."""
     return saved(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
@@ -97,19 +88,25 @@ def lemmatise(
     return out.withColumn("lemmas", F.coalesce("lemmas", F.array().cast("array<string>")))
 
 
+def _pairs(df: DataFrame, tokens: str) -> DataFrame:
+    """df with (pos, a, b) of each token and the next one."""
+    each = df.select("*", F.posexplode(tokens).alias("pos", "a"))
+    return each.withColumn("b", F.get(tokens, F.col("pos") + 1)).where(F.col("b").isNotNull()).drop(tokens)
+
+
 def learn_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, threshold: float = 10.0) -> DataFrame:
     """Word pairs (a, b) that occur together more than chance.
 
     score = (n_ab - min_count) * V / (n_a * n_b), V distinct words plus distinct
-    pairs. Rare pairs are dropped before the two joins with the word counts.
+    pairs. Rare pairs are dropped before the two joins with the word counts. df is read
+    twice, so lists that take long to make are better saved before.
     """
     t = F.col(tokens)
     words = df.select(unfold(t).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     words = saved(words, "word-counts")
     pairs = (
-        df.select(F.explode(F.arrays_zip(t.alias("a"), shift(t, 1).alias("b"))).alias("p"))
-        .where(F.col("p.b").isNotNull())
-        .groupBy("p.a", "p.b")
+        _pairs(df.select(tokens), tokens)
+        .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n_ab"))
     )
     # The distinct pairs are counted while the frequent ones are written.
@@ -124,20 +121,20 @@ def learn_phrases(df: DataFrame, tokens: str = "tokens", min_count: int = 5, thr
     return joined.select("a", "b", "n_ab", "n_a", "n_b", score.alias("score")).where(F.col("score") > threshold)
 
 
-def apply_phrases(df: DataFrame, phrases: DataFrame, tokens: str = "tokens") -> DataFrame:
+def apply_phrases(df: DataFrame, phrases: DataFrame, tokens: str = "tokens", row: str | None = None) -> DataFrame:
     """Merge learned pairs to 'a_b', left to right without overlap.
 
-    Only the positions of learned pairs are shuffled. In each run of consecutive
+    The pairs are written once, so that Spark knows their bytes: if they are few, they are
+    broadcast and only the positions of learned pairs are shuffled. In each run of consecutive
     positions the 1st, 3rd, 5th ... pair merges. The list is then rebuilt in
-    place from slices. Rows have a number of their own: ids may repeat.
+    place from slices. Rows have a number of their own: ids may repeat. `row` names that
+    column, as of `numbered_rows`, if df has it already; it is left out of the result.
     """
-    df = numbered_rows(df)
+    df = numbered_rows(df) if row is None else df.withColumnRenamed(row, "_row")
     t = F.col(tokens)
-    side = phrases.select("a", "b")
+    side = saved(phrases.select("a", "b"), "phrases")
     hits = (
-        df.select("_row", F.posexplode(F.arrays_zip(t.alias("a"), shift(t, 1).alias("b"))).alias("pos", "p"))
-        .where(F.col("p.b").isNotNull())
-        .select("_row", "pos", "p.a", "p.b")
+        _pairs(df.select("_row", tokens), tokens)
         .join(side, ["a", "b"])
         .select("_row", "pos")
     )

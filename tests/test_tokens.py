@@ -56,3 +56,12 @@ def test_tokens_are_not_shuffled_for_the_lexicon(spark):
     found = tok.lemmatise(df, lex, [])
     assert "CoGroup" in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.agg(F.sum(F.size("lemmas"))).first()[0] == 9000
+
+
+def test_phrases_over_numbered_rows(spark):
+    lists = [["a", "b", "a", "b", "c"], ["b", "c", "a"], [], ["a", "a", "b"], None, ["c"]] * 6
+    df = spark.createDataFrame([(i % 7, t) for i, t in enumerate(lists)], "id int, tokens array<string>")
+    rows = tok.numbered_rows(df)
+    pairs = tok.learn_phrases(rows, min_count=1, threshold=0.1).select("a", "b")
+    one, two = (sorted(map(str, x.collect())) for x in (tok.apply_phrases(rows, pairs, row="_row"), tok.apply_phrases(df, pairs)))
+    assert one == two and any("a_b" in x for x in one)
