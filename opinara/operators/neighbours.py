@@ -26,6 +26,9 @@ _NANO = 1e9
 _SLACK = 1e-6
 _PIVOT_CELLS = 4_000_000
 _PIECE_ROWS = 512
+# Pairs of a block of base rows and a block of queries, beyond which blocks grow up to so many rows.
+_PAIRS = 1024
+_BLOCK_ROWS = 4096
 
 
 def _one(column) -> pa.Array:
@@ -109,6 +112,37 @@ def _top_block(left: pa.Table, right: pa.Table, k: int, dim: int, metric: str, e
     return right, np.concatenate(rows), np.concatenate(cols), np.concatenate(keys)
 
 
+def _blocks_of(cells: Sequence[int], block_rows: int) -> list[int]:
+    return [max(1, -(-n // block_rows)) for n in cells] or [1]
+
+
+def _pairs(blocks: list[int], queries_per_cell: dict[int, int], query_rows: int) -> int:
+    return sum(n * -(-queries_per_cell.get(c, 0) // query_rows) for c, n in enumerate(blocks))
+
+
+def _bins(cells: Sequence[int], owner: np.ndarray, pivots: np.ndarray, rows: int) -> np.ndarray:
+    """The bin of each cell: cells of a group, in order of distance from its first pivot, fill bins of up to `rows` base rows."""
+    bins = np.zeros(len(cells), "int32")
+    last = -1
+    for group in np.unique(owner):
+        mine = np.flatnonzero(owner == group)
+        held = rows
+        for c in mine[np.argsort(_squared(pivots[mine[:1]], pivots[mine])[0], kind="stable")]:
+            if held + cells[c] > rows:
+                last, held = last + 1, 0
+            bins[c] = last
+            held += cells[c]
+    lone = np.arange(len(owner), len(cells))
+    bins[lone] = last + 1 + np.arange(len(lone))
+    return bins
+
+
+def _visitors(wide: DataFrame) -> dict[int, int]:
+    """Number of queries that visit each cell."""
+    seen = wide.select(F.explode("_cells").alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    return {r["c"]: r["n"] for r in seen.collect()}
+
+
 def _split_pairs(queries: DataFrame, base: DataFrame, blocks: list[int], queries_per_cell: dict[int, int], query_rows: int):
     """Give queries and base the same (cell, block, part) keys; parts bound the query side."""
     parts = [max(1, -(-queries_per_cell.get(c, 0) // query_rows)) for c in range(len(blocks))]
@@ -167,7 +201,9 @@ def nearest(
     `vector` is an array of `dim` numbers or a struct (indices, values) below
     `dim`. dist_nano is the cosine distance or the squared Euclidean distance in
     units of 1e-9; equal distances rank by base id. Row counts that are already
-    known may be passed in. With `group`, an int column of both sides numbered from 0,
+    known may be passed in. `block_rows` and `query_rows` hold as long as a thousand pairs of
+    blocks do: since their number grows with both inputs, cells are then merged and blocks grow,
+    up to 4,096 rows. With `group`, an int column of both sides numbered from 0,
     neighbours are base rows of the query's group; all groups are searched in one job.
     """
     g = F.lit(0) if group is None else F.col(group)
@@ -220,10 +256,12 @@ def nearest(
                 cells[row["cell"]], radius[row["cell"]] = row["n"], row["r"]
         placed = placed.withColumnRenamed("cell", "_cell").drop("d")
 
-    blocks = [max(1, -(-n // block_rows)) for n in cells] or [1]
-    blocks_of = F.lit(np.array(blocks, dtype="int32"))
-    block = F.pmod(F.xxhash64("_b"), F.get(blocks_of, F.col("_cell"))).cast("int")
-    placed = placed.withColumn("_block", block)
+    def blocked(rows: DataFrame) -> DataFrame:
+        of = F.get(F.lit(np.array(blocks, dtype="int32")), F.col("_cell"))
+        return rows.withColumn("_block", F.pmod(F.xxhash64("_b"), of).cast("int"))
+
+    blocks = _blocks_of(cells, block_rows)
+    placed = blocked(placed)
     far = np.iinfo("int64").max
 
     if not split:
@@ -234,10 +272,18 @@ def nearest(
     if n_cells == 1 and n_queries is not None:
         per_cell = {0: n_queries}
     else:
-        per_cell = {
-            r["c"]: r["n"]
-            for r in wide.select(F.explode("_cells").alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()
-        }
+        per_cell = _visitors(wide)
+    pairs = _pairs(blocks, per_cell, query_rows)
+    if pairs > _PAIRS:
+        most = max(1, min(_BLOCK_ROWS, _PIVOT_CELLS // dim))
+        block_rows, query_rows = (max(n, min(int(n * (pairs / _PAIRS) ** 0.5), most)) for n in (block_rows, query_rows))
+        bins = _bins(cells, owner, pivots, block_rows)
+        bin_of = F.lit(bins)
+        blocks = _blocks_of(np.bincount(bins, weights=cells).astype(int).tolist(), block_rows)
+        placed = blocked(placed.withColumn("_cell", F.get(bin_of, F.col("_cell"))))
+        wide = wide.withColumn("_cells", F.array_distinct(F.transform("_cells", lambda c: F.get(bin_of, c))))
+        per_cell = _visitors(wide)
+    blocks_of = F.lit(np.array(blocks, dtype="int32"))
 
     visits = wide.select("_q", "_v", "_ub", F.explode("_cells").alias("_cell")).withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.get(blocks_of, F.col("_cell")) - 1))
@@ -291,7 +337,9 @@ def _bounded(
     homed = q.withColumn("_cell", home_cell("_v", "_g"))
     homed = homed.withColumn("_block", F.pmod(F.xxhash64("_q"), F.get(blocks_of, F.col("_cell"))).cast("int"))
     homed = homed.withColumn("_ub", F.lit(int(far)))
-    per_cell = {r["_cell"]: r["n"] for r in homed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # The queries of a cell are dealt to its blocks.
+    counts = homed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()
+    per_cell = {r["_cell"]: -(-r["n"] // blocks[r["_cell"]]) for r in counts}
     schema = T.StructType([q.schema["_q"], q.schema["_v"], q.schema["_g"], T.StructField("_ub", T.LongType())])
 
     def bound(left: pa.Table, right: pa.Table) -> pa.Table:
