@@ -7,7 +7,7 @@ share a key are candidates; a cheap comparison of samples comes before verificat
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +20,11 @@ from opinara.llm.components import components
 from opinara.session import saved
 
 BLOCK = 256
+#: Rows of a block in which all members of larger keys meet; a row is copied for each block that it meets.
+LARGEST = 4096
 _SLICE = 8192
+_PAIRS = 1 << 18
+_MATRIX = 4096
 
 
 @dataclass
@@ -42,6 +46,11 @@ class Rules:
     least_overlap: float
 
 
+def equal(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many columns, a multiple of 8, two matrices agree, by row."""
+    return np.bitwise_count((x == y).view(np.uint64)).sum(axis=1, dtype=np.int64)
+
+
 def members_of(items: DataFrame) -> DataFrame:
     """(key, id, least): the items at keys that several items share, and the smallest of them."""
     keyed = items.select("id", F.explode("keys").alias("key"))
@@ -76,33 +85,104 @@ def _verified(rules: Rules):
     return run
 
 
-def _candidates(block: pa.Table, rules: Rules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of different components that agree enough, the closest first, and the components.
+def _starts(block: pa.Table) -> np.ndarray:
+    """First row of each group; rows of a group lie side by side."""
+    new = np.zeros(block.num_rows, bool)
+    new[:1] = True
+    for c in _GROUP:
+        values = block[c].to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 8192) -> Iterator[pa.Table]:
+    """Tables of some `rows` rows or of one larger group, cut between groups only."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < rows:
+            continue
+        block = pa.Table.from_batches(held).combine_chunks()
+        cut = int(_starts(block)[-1])
+        if cut:
+            yield block.slice(0, cut)
+        held = block.slice(cut).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _pairs(begin: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(x, y): each row x with the n[x] rows from begin[x] on, in slices of some _PAIRS pairs."""
+    total = np.cumsum(n)
+    low = 0
+    while low < len(n):
+        high = max(low + 1, int(np.searchsorted(total, total[low] - n[low] + _PAIRS, "right")))
+        some = n[low:high]
+        x = np.repeat(np.arange(low, high), some)
+        y = np.arange(len(x)) + np.repeat(begin[low:high] - np.cumsum(some) + some, some)
+        if len(x):
+            yield x, y
+        low = high
+
+
+def _candidates(block: pa.Table, rules: Rules) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs within groups, of different components, that agree enough, how much, and the components.
 
-    A pair counts at its first common key only.
+    A pair counts at its first common key only. Rows of a group lie side by side. The pairs
+    of all small groups are compared in one go, those of a large one as matrices.
     """
     column = lambda c: block[c].combine_chunks()
-    n, chunk, side = (np.asarray(column(c)) for c in ("n", "chunk", "side"))
-    sample = rules.samples(column("sample").to_pylist())
-    keys = np.array(column("keys").to_pylist(), np.int64)
-    codes: dict = {}
-    comp = np.array([codes.setdefault(c, len(codes)) for c in column("comp").to_pylist()])
-    key, within, i, j = (block[c][0].as_py() for c in ("key", "within", "i", "j"))
-    left = np.flatnonzero(chunk == i) if within else np.flatnonzero(side == 0)
-    right = np.flatnonzero(chunk == j) if within else np.flatnonzero(side == 1)
-    big, small = np.maximum(n[left][:, None], n[right][None, :]), np.minimum(n[left][:, None], n[right][None, :])
-    ok = (comp[left][:, None] != comp[right][None, :]) & (small >= rules.least * big)
-    if within and i == j:
-        ok &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
-    if not ok.any():
-        return left[:0], left[:0], comp
-    same = rules.agreement(sample[left], sample[right], True)
-    ok &= same >= rules.enough(n[left][:, None], n[right][None, :])
-    x, y = np.nonzero(ok)
-    order = np.argsort(-same[x, y].astype(np.int64), kind="stable")
-    x, y = left[x[order]], right[y[order]]
-    mine = keys[x, (keys[x] == keys[y]).argmax(axis=1)] == key
-    return x[mine], y[mine], comp
+    first = _starts(block)
+    group = np.repeat(np.arange(len(first)), np.diff(first, append=block.num_rows))
+    within, i, j, chunk, side = (block[c].to_numpy() for c in ("within", "i", "j", "chunk", "side"))
+    second = np.where(within, chunk != i, side == 1)
+    comp = column("comp").dictionary_encode().indices.to_numpy()
+    order = np.lexsort((comp, second, group))  # within a group, those that meet the rest come first
+    key, n, second = block["key"].to_numpy()[order], block["n"].to_numpy()[order], second[order]
+    sample = rules.samples(block["sample"].to_pylist())[order]
+    keys = column("keys").flatten().to_numpy().reshape(len(order), -1)[order]
+    mine = comp[order]
+    ends = np.append(first[1:], len(order))
+    among = (within & (i == j))[first]
+    begin = np.where(among[group], np.arange(len(order)) + 1, (ends - np.add.reduceat(second.astype(np.int64), first))[group])
+    partners = np.where(second, 0, ends[group] - begin)
+    large = np.add.reduceat(partners, first) > _MATRIX
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def keep(x, y, same):
+        ok = same >= rules.enough(n[x], n[y])
+        x, y, same = x[ok], y[ok], same[ok]
+        ok = keys[x, (keys[x] == keys[y]).argmax(axis=1)] == key[x]
+        found.append((x[ok], y[ok], same[ok].astype(np.int64)))
+
+    def may(x, y):
+        return (mine[x] != mine[y]) & (np.minimum(n[x], n[y]) >= rules.least * np.maximum(n[x], n[y]))
+
+    for x, y in _pairs(begin, np.where(large[group], 0, partners)):
+        ok = may(x, y)
+        if ok.any():
+            x, y = x[ok], y[ok]
+            keep(x, y, rules.agreement(sample[x], sample[y], False))
+    for g in np.flatnonzero(large):
+        stop = ends[g] if among[g] else begin[first[g]]
+        at = first[g]
+        while at < stop:
+            low = begin[at]
+            left = np.arange(at, min(stop, at + max(1, _PAIRS // (ends[g] - low + 1))))
+            right = np.arange(low, ends[g])
+            ok = may(left[:, None], right[None, :])
+            if among[g]:
+                ok &= left[:, None] < right[None, :]
+            at = int(left[-1]) + 1
+            rows, columns = ok.any(axis=1), ok.any(axis=0)
+            left, right, ok = left[rows], right[columns], ok[np.ix_(rows, columns)]
+            if len(left):
+                same = rules.agreement(sample[left], sample[right], True)
+                ok &= same >= rules.enough(n[left][:, None], n[right][None, :])
+                x, y = np.nonzero(ok)
+                keep(left[x], right[y], same[x, y])
+    x, y, same = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(3))
+    return order[x], order[y], same, comp
 
 
 def _overlaps(runs: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -130,24 +210,24 @@ def _overlaps(runs: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarra
     return common[np.searchsorted(rows, x), np.searchsorted(rows, y)]
 
 
-def _parts(size) -> Column:
-    return F.greatest(F.ceil(size / BLOCK).cast("int"), F.lit(1))
+def _parts(rows: Column, block: int) -> Column:
+    return F.greatest(F.ceil(rows / block).cast("int"), F.lit(1))
 
 
 def _chunk(parts: Column) -> Column:
     return F.pmod(F.xxhash64("id", "key"), parts).cast("int")
 
 
-def _local_blocks(placed: DataFrame, sizes: DataFrame) -> DataFrame:
+def _local_blocks(placed: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     """Each key's members dealt to chunks; only chunk mates meet."""
-    cut = placed.join(sizes.select("key", "size"), "key").withColumn("chunk", _chunk(_parts(F.col("size"))))
+    cut = placed.join(sizes.select("key", "size"), "key").withColumn("chunk", _chunk(_parts(F.col("size"), block)))
     return cut.select("key", F.lit(True).alias("within"), F.col("chunk").alias("i"), F.col("chunk").alias("j"), "chunk", F.lit(1).alias("side"), "id", "comp")
 
 
-def _all_blocks(placed: DataFrame, sizes: DataFrame) -> DataFrame:
+def _all_blocks(placed: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     """Blocks in which all members of a key meet, but for those of its largest component among themselves."""
     cut = placed.join(sizes, "key")
-    inner, outer = _parts(F.col("top")), _parts(F.col("size") - F.col("top"))
+    inner, outer = _parts(F.col("top"), block), _parts(F.col("size") - F.col("top"), block)
     cut = cut.withColumn("side", (F.col("comp") != F.col("largest")).cast("int"))
     cut = cut.withColumn("chunk", F.when(F.col("side") == 0, _chunk(inner)).otherwise(_chunk(outer)))
     to = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
@@ -167,11 +247,13 @@ def similar_components(items: DataFrame, members: DataFrame, payload: DataFrame,
     """(id, component) of the items that link with another one.
 
     1. Each item is verified against that of its keys' smallest items with which its
-    samples agree best. 2. Members of keys that span several components meet in chunks.
-    Both are linear in the size of a key and join most of a large group. 3. In keys that
-    still span several components all members meet in blocks, except those of the
-    largest component with each other. Pairs of different components whose samples agree
-    are verified, the closest first, until their components are known to be one. No key
+    samples agree best. 2. Members of keys that span several components meet in chunks of
+    BLOCK, then, in keys of more than one such chunk, in chunks of LARGEST. All this is linear
+    in the size of a key and joins most of a large group. 3. In keys of more than LARGEST
+    members that still span several components all members meet in blocks, except those of
+    the largest component with each other; in smaller keys they all have met. Pairs of
+    different components whose samples agree are verified, the closest first, until their
+    components are known to be one. No key
     is cut short.
     """
     side = lambda c: items.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sample").alias(f"sample_{c}"))
@@ -185,14 +267,19 @@ def similar_components(items: DataFrame, members: DataFrame, payload: DataFrame,
     comps = components(linked)
     facts = items.select("id", "n", "keys", "sample")
 
-    def near(block: pa.Table) -> pa.Table:
-        x, y, _ = _candidates(block, rules)
-        return block.take(pa.array(np.union1d(x, y).astype(np.int64))).select([*_GROUP, "chunk", "side", "id", "comp"])
+    def near(batches):
+        for block in _whole_groups(batches):
+            x, y, _, _ = _candidates(block, rules)
+            if len(x):
+                close = block.take(pa.array(np.union1d(x, y).astype(np.int64))).select([*_GROUP, "chunk", "side", "id", "comp"])
+                yield from close.to_batches()
 
     def link(block: pa.Table) -> pa.Table:
-        x, y, comp = _candidates(block, rules)
+        x, y, same, comp = _candidates(block, rules)
+        order = np.argsort(-same, kind="stable")
+        x, y = x[order], y[order]
         seq = [np.frombuffer(r, np.int32) for r in block["runs"].to_pylist()]
-        if len(x):
+        if len(x) > len(seq):
             size = np.array([len(r) for r in seq])
             enough = _overlaps(seq, x, y) >= rules.least_overlap * (size[x] + size[y]) - 1e-6
             x, y = x[enough], y[enough]
@@ -213,17 +300,22 @@ def similar_components(items: DataFrame, members: DataFrame, payload: DataFrame,
         ids = block["id"].to_pylist()
         return pa.table({"a": pa.array([ids[p] for p, _ in found], pa.binary()), "b": pa.array([ids[q] for _, q in found], pa.binary())})
 
-    for blocks in (_local_blocks, _all_blocks):
+    largest = max(LARGEST, BLOCK)
+    for blocks, block in ((_local_blocks, BLOCK), (_local_blocks, largest), (_all_blocks, largest)):
         placed = saved(members.join(comps, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp")), "link-placed")
         counts = placed.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key")
         sizes = counts.agg(F.sum("n").alias("size"), F.max("n").alias("top"), F.max_by("comp", "n").alias("largest"), F.count("*").alias("comps"))
         sizes = saved(sizes.where("comps > 1").drop("comps"), "link-spanning")
-        close = saved(blocks(placed, sizes).join(facts, "id").groupBy(*_GROUP).applyInArrow(near, _PLACE), "link-close")
-        if close.isEmpty():
-            continue
-        full = close.join(facts, "id").join(payload, "id").groupBy(*_GROUP)
-        more = saved(full.applyInArrow(link, "a binary, b binary"), "more-links")
-        if not more.isEmpty():
-            linked = linked.union(more)
-            comps = components(linked)
+        met = blocks(placed, sizes, block).join(facts, "id").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+        close = saved(met.mapInArrow(near, _PLACE), "link-close")
+        if not close.isEmpty():
+            full = close.join(facts, "id").join(payload, "id").groupBy(*_GROUP)
+            more = saved(full.applyInArrow(link, "a binary, b binary"), "more-links")
+            if not more.isEmpty():
+                linked = linked.union(more)
+                comps = components(linked)
+        large = sizes.where(F.col("size") > block).select("key")
+        if large.isEmpty():
+            break
+        members = members.join(large, "key", "left_semi")
     return comps

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from opinara.llm.alignment import sequence_similarity
 from opinara.llm.common import add_column, slices, unused, utf8
-from opinara.llm.linking import Rules, members_of, similar_components
+from opinara.llm.linking import Rules, equal, members_of, similar_components
 from opinara.llm.hashing import U, hashed_words, labelled, mix, positions, sequence_digests, shingles
 from opinara.session import saved
 
@@ -78,7 +78,7 @@ def _samples(column: list[bytes]) -> np.ndarray:
 def _agreement(x: np.ndarray, y: np.ndarray, matrix: bool) -> np.ndarray:
     """How many sampled runs two sets of samples share."""
     if not matrix:
-        return sum((x[:, :, p] == y[:, :, q]).sum(axis=1) for p in (0, 1) for q in (0, 1))
+        return sum(equal(x[:, :, p], y[:, :, q]) for p in (0, 1) for q in (0, 1))
     out = np.zeros((len(x), len(y)), np.uint8)
     for j in range(SKETCHES):
         for p in (0, 1):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from opinara.llm.common import slices, utf8
 from opinara.llm.hashing import U, hashed_words, mix, powers, sequence_digests, shingles
-from opinara.llm.linking import Rules, members_of, similar_components
+from opinara.llm.linking import Rules, equal, members_of, similar_components
 from opinara.session import saved
 
 MIN_WORDS = 40
@@ -62,7 +62,7 @@ def _samples(column: list[bytes]) -> np.ndarray:
 
 def _agreement(x: np.ndarray, y: np.ndarray, matrix: bool) -> np.ndarray:
     if not matrix:
-        return (x == y).sum(axis=1)
+        return equal(x, y)
     out = np.zeros((len(x), len(y)), np.uint8)
     for j in range(HASHES):
         out += x[:, j, None] == y[None, :, j]
