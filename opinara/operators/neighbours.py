@@ -403,20 +403,32 @@ def vote(
     return per.groupBy(query_id).agg(best.alias(name))
 
 
+def knn_neighbours(
+    test: DataFrame, train: DataFrame, dim: int, id_col: str, label: str, vector: str = "vector", k: int = 5,
+    search: Callable[..., DataFrame] = nearest, metric: str = "cosine", **options,
+) -> DataFrame:
+    """The k nearest training rows of each test row, with their labels, as `knn_classify` wants them."""
+    return search(
+        test.withColumnRenamed(id_col, "query_id"), train.withColumnRenamed(id_col, "base_id"), k, dim,
+        vector=vector, carry=[label], metric=metric, **options,
+    )
+
+
 def knn_classify(
     test: DataFrame, train: DataFrame, dim: int, id_col: str, label: str, vector: str = "vector", k: int = 5,
-    search: Callable[..., DataFrame] = nearest, metric: str = "cosine", weights: str = "distance", **options,
+    search: Callable[..., DataFrame] = nearest, metric: str = "cosine", weights: str = "distance",
+    found: DataFrame | None = None, **options,
 ) -> DataFrame:
     """k-nearest-neighbour labels for the test rows.
 
     `search` is `nearest`, or `text_neighbours.nearest_texts` for sparse vectors of texts;
-    `metric` is 'cosine' or 'euclidean', `weights` 'distance' or 'uniform'.
+    `metric` is 'cosine' or 'euclidean', `weights` 'distance' or 'uniform'. `found` are the
+    neighbours by the same metric if they are there already, k or more of each row.
     """
-    found = search(
-        test.withColumnRenamed(id_col, "query_id"), train.withColumnRenamed(id_col, "base_id"), k, dim,
-        vector=vector, carry=[label], metric=metric, **options,
-    )
-    return vote(found, "query_id", label, weights=weights, metric=metric).withColumnRenamed("query_id", id_col)
+    if found is None:
+        found = knn_neighbours(test, train, dim, id_col, label, vector, k, search, metric, **options)
+    first = found.where(F.col("rank") <= k)
+    return vote(first, "query_id", label, weights=weights, metric=metric).withColumnRenamed("query_id", id_col)
 
 
 def _hash_int(text: Column, start: int) -> Column:
